@@ -52,7 +52,7 @@ def running_totals(
         .orderBy(*[turn(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = _join_null_safe(placed, F.broadcast(offsets), [*keys, "_bucket"])
+    joined = join_null_safe(placed, F.broadcast(offsets), [*keys, "_bucket"])
     totals = [(F.col(f"_off_{c}") + F.sum(c).over(within)).alias(f"cum_{c}") for c in sums]
     return joined.select(*df.columns, *totals, *[f"all_{c}" for c in sums])
 
@@ -69,11 +69,11 @@ def _place_by_sample(df: DataFrame, keys: list[str], order: str, sums: Sequence[
         .agg(F.collect_list(order).alias("_cuts"))
     )
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    cut = _join_null_safe(df, F.broadcast(cuts), keys)
+    cut = join_null_safe(df, F.broadcast(cuts), keys)
     return cut.withColumn("_bucket", F.coalesce(below, F.lit(0))).drop("_cuts")
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which a null key is a key like any other, as it is for groupBy."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .. import domain
 from ..functions import base_id, contains_ci, log2p1, null_to_zero, subject_id
 from ..roles import DEFAULT, Roles
+from ..session import reliable
 from .sizing import broadcast_if_small, is_small
 
 
@@ -153,9 +154,12 @@ def feature_dictionary(long: DataFrame, r: Roles = DEFAULT) -> DataFrame:
 
 
 def restrict_features(long: DataFrame, features: DataFrame | Sequence[str], r: Roles = DEFAULT) -> DataFrame:
-    """Long rows of the listed features; a frame of features is joined, a list becomes one."""
+    """Long rows of the listed features; a frame of features is joined, a list becomes one.
+
+    A frame is cut off from its lineage, which may well be the long table, before it is counted and joined.
+    """
     if isinstance(features, DataFrame):
-        wanted = broadcast_if_small(features.select(r.feature).distinct())
+        wanted = broadcast_if_small(reliable(features.select(r.feature).distinct()))
     else:
         wanted = F.broadcast(long.sparkSession.createDataFrame([(f,) for f in features], f"{r.feature} string"))
     return long.join(wanted, r.feature, "left_semi")

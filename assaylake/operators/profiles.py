@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import share_pct
 from ..roles import DEFAULT, Roles
-from .ordered import BUCKETS, exact_quantiles
+from .ordered import BUCKETS, exact_quantiles, join_null_safe
 
 # Quartiles of the value distribution.
 _QUARTILES = {"q1_log2_tpm": 0.25, "mediana_log2_tpm": 0.5, "q3_log2_tpm": 0.75}
@@ -66,7 +66,7 @@ def value_stats(
     if exact:
         ranked = exact_quantiles(long, [r.cls], r.value, _QUARTILES, buckets)
         quartiles = ranked.select(r.cls, *[F.round(q, 4).alias(q) for q in _QUARTILES])
-        stats = long.groupBy(r.cls).agg(*ends).join(quartiles, r.cls, "left")
+        stats = join_null_safe(long.groupBy(r.cls).agg(*ends), quartiles, [r.cls])
     else:
         points = F.percentile_approx(value, list(_QUARTILES.values()), accuracy).alias("_points")
         stats = long.groupBy(r.cls).agg(*ends, points)

@@ -38,7 +38,7 @@ def build_trusted(
     stored. Only files that are listed with bytes can be chosen; the listing opens no file.
     """
     files = list_raw_files(spark, raw_path, raw_needle, r).filter("length > 0")
-    measured = with_file_id(read_measurements(spark, raw_path, r), r)
+    measured = with_file_id(read_measurements(spark, raw_path, r=r), r)
     chosen = prepare.chosen_files(
         prepare.clean_measurements(measured, r=r), metadata, classes, needle, present=files, r=r
     )

@@ -6,23 +6,20 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from ..operators.sizing import is_small
-
-# A report table up to this many rows goes into one file.
-ONE_FILE_ROWS = 200_000
-
 
 def export_csv(df: DataFrame, path: str, order: Sequence = (), limit: int | None = None) -> None:
     """Headered CSV below ``path``: one file for a report-sized table, several for a larger one.
 
+    Adaptive execution merges the rows of a small table into one partition, so nothing is counted beforehand.
     ``limit`` keeps the first rows in ``order``, which it therefore needs.
     """
-    if limit is not None and not order:
+    if limit is None:
+        rows = df.hint("rebalance")
+        rows = rows.sortWithinPartitions(*order) if order else rows
+    elif order:
+        rows = df.orderBy(*order).limit(limit)
+    else:
         raise ValueError("a limit needs an order that says which rows are first")
-    rows = df.orderBy(*order) if order else df
-    rows = rows if limit is None else rows.limit(limit)
-    if (limit is not None and limit <= ONE_FILE_ROWS) or is_small(df, ONE_FILE_ROWS):
-        rows = rows.coalesce(1)
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -13,18 +13,21 @@ MEASUREMENT_SCHEMA = """gene_id string, gene_name string, gene_type string, unst
     fpkm_uq_unstranded double"""
 
 
-def read_measurements(spark: SparkSession, path: str, r: Roles = DEFAULT) -> DataFrame:
-    """All TSV files below ``path`` with the file each row came from; lines starting with # are comments."""
-    return (
+def read_measurements(spark: SparkSession, path: str, glob: str | None = None, r: Roles = DEFAULT) -> DataFrame:
+    """All files below ``path`` as TSV with the file each row came from; lines starting with # are comments.
+
+    ``glob`` limits the file names where other files lie in between.
+    """
+    reader = (
         spark.read.schema(MEASUREMENT_SCHEMA)
         .option("sep", "\t")
         .option("header", True)
         .option("comment", "#")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.tsv")
-        .csv(path)
-        .withColumn(r.source, F.col("_metadata.file_path"))
     )
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.csv(path).withColumn(r.source, F.col("_metadata.file_path"))
 
 
 def with_file_id(measurements: DataFrame, r: Roles = DEFAULT) -> DataFrame:
