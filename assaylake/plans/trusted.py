@@ -35,9 +35,9 @@ def build_trusted(
     """Choose the files, write the samples table, then the long table by class, then the feature dictionary.
 
     Every table is read back after it is written, so nothing is computed twice and the checks run on what was
-    stored. Only files that are listed with bytes can be chosen; the listing opens no file.
+    stored. Only listed files, which have bytes, can be chosen; the listing opens none of them.
     """
-    files = list_raw_files(spark, raw_path, raw_needle, r).filter("length > 0")
+    files = list_raw_files(spark, raw_path, raw_needle, r)
     measured = with_file_id(read_measurements(spark, raw_path, r=r), r)
     chosen = prepare.chosen_files(
         prepare.clean_measurements(measured, r=r), metadata, classes, needle, present=files, r=r

@@ -40,7 +40,10 @@ def file_id_check(measurements: DataFrame, n: int = 10, r: Roles = DEFAULT) -> D
 
 
 def list_raw_files(spark: SparkSession, path: str, needle: str = domain.RAW_FILE_NEEDLE, r: Roles = DEFAULT) -> DataFrame:
-    """(path, length, file id) of the raw files whose name contains ``needle``; no file is opened."""
+    """(path, length, file id) of the raw files whose name contains ``needle``.
+
+    No file is opened, and Spark lists no file without bytes.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

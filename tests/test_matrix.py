@@ -65,7 +65,7 @@ def test_split_does_not_depend_on_partitioning(spark, rows):
 
 
 def test_subject_in_two_classes_is_not_multiplied_but_reported(spark, rows):
-    df = subjects(spark, {"a": 40, "b": 40}).withColumn("patient_id", F.regexp_replace("patient_id", "^[ab]", "x"))
+    df = subjects(spark, {"a": 40, "b": 13}).withColumn("patient_id", F.regexp_replace("patient_id", "^[ab]", "x"))
     split = matrix.stratified_split(df)
     assert split.count() == df.count()
     assert sum(rows(checks.leakage_check(split))[0]) > 0
