@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from assaylake import bind  # noqa: E402
 from assaylake.functions import class_lookup, vector_values  # noqa: E402
-from assaylake.models import scoring, training  # noqa: E402
+from assaylake.models import scoring, storage, training  # noqa: E402
 from assaylake.operators import (  # noqa: E402
     checks, counts, curves, evaluate, feeds, intake, matrix, prepare, profiles, ranking,
 )
@@ -23,7 +23,9 @@ from assaylake.plans import modelling  # noqa: E402
 from assaylake.roles import DEFAULT as R  # noqa: E402
 from assaylake.session import reliable, tune  # noqa: E402
 from assaylake.sinks import exports, manifest, tables as table_sinks  # noqa: E402
-from assaylake.sources import measurements as raw, metadata as listing, tables as table_sources  # noqa: E402
+from assaylake.sources import (  # noqa: E402
+    measurements as raw, metadata as listing, new_samples as new_files, tables as table_sources,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,14 +65,14 @@ def _measured(df: DataFrame) -> DataFrame:
 
 def _scratch(spark: SparkSession) -> str:
     """A new folder for tables that a query stores and reads back, in the cluster's shared folder if it names one."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='assaylake-')}/assaylake-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="assaylake-")
+    return f"{shared}/assaylake-{uuid.uuid4().hex}"
 
 
 # Raw to trusted
 
 
-def _hits(spark: SparkSession, sf: str) -> DataFrame:
+def _hit_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as nested listing hits: some without cases, some cases without samples, some with two of each."""
     customer = bind.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     orders = bind.table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -101,7 +103,11 @@ def _hits(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("STAR - Counts").alias("workflow_type")).alias("analysis"),
         F.filter(F.array(case("case-"), case("second-")), lambda _: key % 11 != 0).alias("cases"),
     )
-    return listing.explode_hits(orders.select(F.array(hit).alias("hits")))
+    return orders.select(F.array(hit).alias("hits"))
+
+
+def _hits(spark: SparkSession, sf: str) -> DataFrame:
+    return listing.explode_hits(_hit_documents(spark, sf))
 
 
 def _select_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,8 +196,72 @@ def _csv_export(spark: SparkSession, sf: str) -> DataFrame:
     return table_sources.load_refined(spark, "conteo_clases", "csv", folder)
 
 
+def _published_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A report as a managed table, in a database that lies in the scratch folder."""
+    space = f"assaylake_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {space} LOCATION '{_scratch(spark)}'")
+    name = f"{space}.refined_conteo_clases"
+    table_sinks.publish(counts.class_counts(bind.long(spark, sf)), name)
+    return table_sources.table_or_compute(spark, name, lambda: spark.range(0))
+
+
+def _table_status(spark: SparkSession, sf: str) -> DataFrame:
+    folder, long = _scratch(spark), bind.long(spark, sf)
+    exports.export_tables(
+        {"refined_conteo_clases": counts.class_counts(long), "refined_top_genes_por_clase": ranking.top_features(long)},
+        folder,
+    )
+    return table_sources.table_status(spark, "csv", folder).drop("origen")
+
+
+def _metadata_json(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark)
+    _hit_documents(spark, sf).write.json(path)
+    return listing.flatten_metadata(listing.explode_hits(listing.read_hits(spark, path, multi_line=False)), PROJECTS)
+
+
+def _metadata_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark)
+    exports.export_csv(bind.metadata(spark, sf), path)
+    return listing.official_files(listing.read_metadata_csv(spark, path), bind.CLASSES, bind.NEEDLE)
+
+
+def _measurement_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as TSV files, one folder per supplier named by a UUID, read back and summed up per file."""
+    path, digits = _scratch(spark), F.md5(F.col("l_suppkey").cast("string"))
+    parts = [F.substring(digits, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    unused = [F.lit(1.0).alias(c) for c in ("unstranded", "stranded_first", "stranded_second")]
+    unused_too = [F.lit(1.0).alias(c) for c in ("fpkm_unstranded", "fpkm_uq_unstranded")]
+    number = F.col("l_linenumber").cast("string")
+    lines = bind.table(spark, sf, "lineitem").select(
+        F.concat_ws("-", *parts).alias("folder"),
+        F.when(number == "7", "N_unmapped").otherwise(F.concat(F.lit("G"), number, F.lit(".1"))).alias("gene_id"),
+        F.concat(F.lit("g"), number).alias(R.feature_name),
+        F.when(F.col("l_returnflag") == "A", "lncRNA").otherwise("protein_coding").alias(R.feature_type),
+        *unused,
+        F.when(F.round(F.col("l_tax") * 100) != 8, F.col("l_extendedprice")).alias(R.measure),
+        *unused_too,
+    )
+    written = lines.hint("rebalance", "folder").write.partitionBy("folder").option("header", True).option("sep", "\t")
+    written.csv(path)
+    read = prepare.clean_measurements(raw.with_file_id(raw.read_measurements(spark, path)))
+    summed = read.groupBy(R.file, R.feature).agg(
+        F.count("*").alias("n"), F.sum(R.measure).alias(R.measure), F.avg(R.value).alias(R.value)
+    )
+    return _r4(summed, R.measure, R.value)
+
+
 def _storage() -> dict[str, Query]:
-    return {"stored_long": _stored_long, "registered_table": _registered_table, "csv_export": _csv_export}
+    return {
+        "stored_long": _stored_long,
+        "registered_table": _registered_table,
+        "published_table": _published_table,
+        "csv_export": _csv_export,
+        "table_status": _table_status,
+        "metadata_json": _metadata_json,
+        "metadata_csv": _metadata_csv,
+        "measurement_files": _measurement_files,
+    }
 
 
 # Counts and checks
@@ -272,7 +342,7 @@ def _features(long: DataFrame) -> list[str]:
 def _wide(spark: SparkSession, sf: str) -> DataFrame:
     long = bind.long(spark, sf)
     features = _features(long)
-    return _r4(matrix.to_matrix(long, features), *features)
+    return _r4(matrix.to_matrix(long, features, unique=True), *features)
 
 
 def _vectors(spark: SparkSession, sf: str) -> DataFrame:
@@ -386,6 +456,12 @@ def _new_samples(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _new_samples_csv(spark: SparkSession, sf: str) -> DataFrame:
+    path = _scratch(spark)
+    exports.export_csv(_new_samples(spark, sf), path)
+    return _r4(intake.clean_new_samples(new_files.read_new_samples(spark, path)), R.value)
+
+
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
     lists = ("errores", "advertencias", "columnas")
     report = intake.validate_new_samples(_new_samples(spark, sf))
@@ -415,6 +491,7 @@ def _intake() -> dict[str, Query]:
     return {
         "validate_new_samples": _validated,
         "clean_new_samples": lambda s, sf: _r4(intake.clean_new_samples(_new_samples(s, sf)), R.value),
+        "new_samples_csv": _new_samples_csv,
         "to_numeric": lambda s, sf: _r4(
             intake.to_numeric(_new_samples(s, sf), R.value).select(R.sample, R.feature, R.value), R.value
         ),
@@ -466,11 +543,12 @@ def _train_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _score_new(spark: SparkSession, sf: str) -> DataFrame:
-    """Train on the labelled documents, then score all documents as if they came without a label."""
-    values = reliable(bind.document_values(spark, sf))
+    """Train on the labelled documents, store and load the model, score all documents as if without a label."""
+    values, path = reliable(bind.document_values(spark, sf)), _scratch(spark)
     compared = modelling.compare_models(values, n_features=15, names=["NaiveBayes"])
+    storage.save_model(spark, training.pick(compared.models, "NaiveBayes"), path, compared.features)
     uploaded = values.select(R.sample, R.subject, R.feature, F.col(R.value).cast("string").alias(R.value))
-    return scoring.score_new(uploaded, training.pick(compared.models, "NaiveBayes"), compared.features)
+    return scoring.score_new(uploaded, storage.load_model(path), storage.load_features(spark, path))
 
 
 def _models() -> dict[str, Query]:

@@ -13,16 +13,27 @@ from .ordered import running_totals
 
 
 def to_matrix(
-    long: DataFrame, features: Sequence[str], keys: Sequence[str] | None = None, r: Roles = DEFAULT
+    long: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str] | None = None,
+    unique: bool = False,
+    r: Roles = DEFAULT,
 ) -> DataFrame:
     """One row per sample, one double column per listed feature in the listed order; a missing cell is 0.0.
 
+    The cells of a sample are brought together before the pivot. Otherwise every task would ship a full-width
+    row for each sample it has one cell of. Repeated cells are averaged before that shuffle, unless the long
+    table is known to be ``unique`` in sample and feature, as the trusted one is.
+
     Meant for up to a few thousand features, see ``to_vectors`` beyond.
     """
     keys = list(keys) if keys is not None else [r.sample, r.subject, r.cls]
     features = list(features)
-    listed = long.filter(F.col(r.feature).isin(features)).select(*keys, r.feature, r.value)
-    return listed.groupBy(*keys).pivot(r.feature, features).agg(F.avg(r.value)).fillna(0.0, features)
+    cells = long.filter(F.col(r.feature).isin(features)).select(*keys, r.feature, r.value)
+    if not unique:
+        cells = cells.groupBy(*keys, r.feature).agg(F.avg(r.value).alias(r.value))
+    together = cells.repartition(*keys)
+    return together.groupBy(*keys).pivot(r.feature, features).agg(F.avg(r.value)).fillna(0.0, features)
 
 
 def to_vectors(

@@ -17,47 +17,62 @@ def running_totals(
     descending: bool = False,
     bucket: Column | None = None,
     buckets: int = BUCKETS,
+    few_groups: bool = True,
 ) -> DataFrame:
     """Adds ``cum_<c>`` (running total up to and including the row) and ``all_<c>`` (group total) for each sum.
 
     ``df`` has one row per keys and order value, with non-negative sums. A plain ordered window would put each
-    group into one task. Here a group is cut into ordered buckets: every bucket runs its own window, and the
-    totals of the buckets before it, a frame of at most groups x buckets rows, are added on top. ``keys`` are
-    label-like (model, split, class), so that frame is small by construction.
+    group into one task. Here a group is cut into ordered buckets. Every bucket starts with a row that carries
+    the total of the buckets before it, and runs its own window.
 
-    ``bucket`` may give the bucket as an expression that rises with the order; otherwise the cut points are the
-    order values with the lowest hashes, the same sample on every run however the rows are spread.
+    ``bucket`` may give the bucket as an expression that rises with the order; otherwise cut points are taken
+    from the group, see ``_place_by_sample``, and ``few_groups`` says whether the groups are few (labels,
+    models, splits), so that the cut points of all groups are small enough to broadcast.
     """
     keys, order = list(keys), list(order)
     if bucket is None:
-        placed = _place_by_sample(df, keys, order[0], sums, buckets)
+        placed = _place_by_sample(df, keys, order[0], sums, buckets, few_groups)
     else:
         placed = df.withColumn("_bucket", bucket)
-    turn = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+
+    def turn(c: str) -> Column:
+        return F.col(c).desc() if descending else F.col(c).asc()
 
     before = Window.partitionBy(*keys).orderBy(turn("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    offsets = (
+    starts = (
         placed.groupBy(*keys, "_bucket")
         .agg(*[F.sum(c).alias(f"_in_{c}") for c in sums])
         .select(
             *keys,
             "_bucket",
-            *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
+            F.lit(0).alias("_row"),
+            *[F.coalesce(F.sum(f"_in_{c}").over(before), F.lit(0)).alias(f"_add_{c}") for c in sums],
             *[F.sum(f"_in_{c}").over(whole).alias(f"all_{c}") for c in sums],
         )
     )
+    rows = placed.select(
+        "*", F.lit(1).alias("_row"), *[F.col(c).cast("bigint").alias(f"_add_{c}") for c in sums]
+    )
     within = (
         Window.partitionBy(*keys, "_bucket")
-        .orderBy(*[turn(c) for c in order])
+        .orderBy("_row", *[turn(c) for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = join_null_safe(placed, F.broadcast(offsets), [*keys, "_bucket"])
-    totals = [(F.col(f"_off_{c}") + F.sum(c).over(within)).alias(f"cum_{c}") for c in sums]
-    return joined.select(*df.columns, *totals, *[f"all_{c}" for c in sums])
+    both = rows.unionByName(starts, allowMissingColumns=True)
+    totals = [F.sum(f"_add_{c}").over(within).alias(f"cum_{c}") for c in sums]
+    wholes = [F.max(f"all_{c}").over(within).alias(f"all_{c}") for c in sums]
+    return both.select(*df.columns, "_row", *totals, *wholes).filter(F.col("_row") == 1).drop("_row")
 
 
-def _place_by_sample(df: DataFrame, keys: list[str], order: str, sums: Sequence[str], buckets: int) -> DataFrame:
+def _place_by_sample(
+    df: DataFrame, keys: list[str], order: str, sums: Sequence[str], buckets: int, few_groups: bool
+) -> DataFrame:
+    """``df`` with a bucket per row: how many of its group's cut points lie below the order value.
+
+    Cut points are the order values with the lowest hashes: the same sample on every run, however the rows are
+    spread. Beyond few groups they are joined by a shuffle, in which adaptive execution splits the hot groups.
+    """
     # Rows without weight move no total. The filter also keeps the sums in the plan of the sample, so that the
     # sample and the rows read one and the same shuffle.
     weighty = df.filter(sum((F.col(c) for c in sums), F.lit(0)) > 0)
@@ -69,7 +84,7 @@ def _place_by_sample(df: DataFrame, keys: list[str], order: str, sums: Sequence[
         .agg(F.collect_list(order).alias("_cuts"))
     )
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    cut = join_null_safe(df, F.broadcast(cuts), keys)
+    cut = join_null_safe(df, F.broadcast(cuts) if few_groups else cuts, keys)
     return cut.withColumn("_bucket", F.coalesce(below, F.lit(0))).drop("_cuts")
 
 
@@ -81,11 +96,16 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float], buckets: int = BUCKETS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    buckets: int = BUCKETS,
+    few_groups: bool = True,
 ) -> DataFrame:
     """Per group the least value whose share of rows at or below it reaches each quantile; nulls do not count."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    ranked = running_totals(counted, keys, [value], ["n"], buckets=buckets)
+    ranked = running_totals(counted, keys, [value], ["n"], buckets=buckets, few_groups=few_groups)
     return ranked.groupBy(*keys).agg(
         *[
             F.min(F.when(F.col("cum_n") >= F.lit(q) * F.col("all_n"), F.col(value))).alias(name)

@@ -36,14 +36,17 @@ def compare_models(
     n_features: int = 100,
     seed: int = 42,
     names: Sequence[str] = tuple(training.PIPELINES),
+    unique: bool = True,
     r: Roles = DEFAULT,
 ) -> Comparison:
     """Train the named models on the most variable features and score all of them on all splits.
 
+    ``long`` is taken to have one row per sample and feature, as the trusted table has; say so if it has more.
+
     The split matrix and the predictions are cut off from their long lineage: both are read many times.
     """
     features = ranking.select_features(ranking.variability(long, r), n_features, r)
-    split = reliable(matrix.stratified_split(matrix.to_matrix(long, features, r=r), seed, r=r))
+    split = reliable(matrix.stratified_split(matrix.to_matrix(long, features, unique=unique, r=r), seed, r=r))
     models = training.train_all(split, features, names, r)
     labels = training.label_names(next(iter(models.values())))
     predictions = reliable(training.predict_all(models, split, r))

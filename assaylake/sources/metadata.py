@@ -22,11 +22,14 @@ METADATA_SCHEMA = """file_id string, file_name string, file_size bigint, case_id
     cancer_name string"""
 
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Listing documents, one ``hits`` array per row, whether at the top level or under ``data``."""
+def read_hits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Listing documents, one ``hits`` array per row, whether at the top level or under ``data``.
+
+    A file is one document; with ``multi_line`` off every line is one, so that large files can be split.
+    """
     raw = (
         spark.read.schema(f"hits {_HITS}, data struct<hits: {_HITS}>")
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .json(path)
     )

@@ -304,6 +304,28 @@ def oracle_sql() -> dict[str, str]:
         "stored_long": _with(_LONG, _ROUNDED_LONG + "long"),
         "registered_table": _with(_LONG, "SELECT cancer_type, count(*) AS n FROM long GROUP BY cancer_type"),
         "csv_export": _with(f"{_LONG},{_CLASS_COUNTS}", "SELECT * FROM counts"),
+        "published_table": _with(f"{_LONG},{_CLASS_COUNTS}", "SELECT * FROM counts"),
+        "table_status": _with(
+            f"{_LONG},{_CLASS_COUNTS},{_TOP}",
+            """SELECT 'calidad_datos' AS clave, 'refined_calidad_datos' AS tabla, 'csv' AS modo, FALSE AS existe,
+              0 AS filas, 0 AS columnas
+            UNION ALL SELECT 'conteo_clases', 'refined_conteo_clases', 'csv', TRUE, (SELECT count(*) FROM counts), 4
+            UNION ALL SELECT 'expresion_global', 'refined_expresion_global', 'csv', FALSE, 0, 0
+            UNION ALL SELECT 'resumen_general', 'refined_resumen_general', 'csv', FALSE, 0, 0
+            UNION ALL SELECT 'top_genes', 'refined_top_genes_por_clase', 'csv', TRUE, (SELECT count(*) FROM top), 5
+            UNION ALL SELECT 'metricas', 'refined_metricas_modelos_sparkml', 'csv', FALSE, 0, 0""",
+        ),
+        "metadata_json": _with(_HITS, "SELECT * FROM flat"),
+        "metadata_csv": _with(_META, "SELECT * FROM meta WHERE lower(sample_type) LIKE '%i%'"),
+        "measurement_files": """
+            WITH h AS (
+              SELECT md5(CAST(l_suppkey AS VARCHAR)) AS h, 'G' || l_linenumber AS gene_id_base,
+                CASE WHEN round(l_tax * 100) = 8 THEN 0e0 ELSE l_extendedprice END AS v
+              FROM lineitem WHERE l_linenumber <> 7 AND l_returnflag <> 'A')
+            SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-'
+              || substr(h, 21, 12) AS file_id, gene_id_base, count(*) AS n, round(sum(v), 4) AS tpm_unstranded,
+              round(avg(log2(v + 1)), 4) AS log2_tpm
+            FROM h GROUP BY ALL""",
         # counts and checks
         "summary": _with(
             _LONG,
@@ -532,6 +554,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT sample_id, patient_id, gene_id_base, round(TRY_CAST(log2_tpm AS DOUBLE), 4) AS log2_tpm FROM intake
             WHERE patient_id IS NOT NULL AND TRY_CAST(log2_tpm AS DOUBLE) IS NOT NULL""",
         ),
+        "new_samples_csv": _with(
+            _INTAKE,
+            """SELECT sample_id, patient_id, gene_id_base, round(TRY_CAST(log2_tpm AS DOUBLE), 4) AS log2_tpm FROM intake
+            WHERE patient_id IS NOT NULL AND TRY_CAST(log2_tpm AS DOUBLE) IS NOT NULL""",
+        ),
         "to_numeric": _with(
             _INTAKE, "SELECT sample_id, gene_id_base, round(TRY_CAST(log2_tpm AS DOUBLE), 4) AS log2_tpm FROM intake"
         ),

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from assaylake.operators.ordered import exact_quantiles, running_totals
+from assaylake.operators.ordered import _place_by_sample, exact_quantiles, running_totals
 
 
 def frame(spark, n, seed, hot=0.6):
@@ -38,12 +38,9 @@ def test_running_totals(spark, descending, buckets, parts):
 
 def test_hot_group_is_cut_into_buckets(spark):
     _, df = frame(spark, 3000, 2, hot=0.95)
-    counted = df.withColumn("v", F.col("v") + F.rand(3)).groupBy("k", "v").agg(F.count("*").alias("n"))
-    plan = running_totals(counted, ["k"], ["v"], ["n"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_bucket" in plan
-    from assaylake.operators.ordered import _place_by_sample
-
-    sizes = [r[0] for r in _place_by_sample(counted, ["k"], "v", ["n"], 32).filter("k = 'hot'").groupBy("_bucket").count().select("count").collect()]
+    spread = F.col("v") + F.xxhash64(F.monotonically_increasing_id()) / 2.0**63
+    counted = df.coalesce(1).withColumn("v", spread).groupBy("k", "v").agg(F.count("*").alias("n"))
+    sizes = [r[0] for r in _place_by_sample(counted, ["k"], "v", ["n"], 32, True).filter("k = 'hot'").groupBy("_bucket").count().select("count").collect()]
     assert len(sizes) == 32 and max(sizes) < 0.25 * sum(sizes)
 
 
@@ -65,3 +62,22 @@ def test_exact_quantiles(spark, seed):
         for name, q in asked.items():
             want = next(v for i, v in enumerate(values, 1) if i >= q * len(values))
             assert r[name] == want
+
+
+def test_many_groups_need_no_broadcast(spark):
+    data = [(f"g{i % 90}", float(i * 7919 % 101)) for i in range(1500)]
+    df = spark.createDataFrame(data, "k string, v double")
+    counted = df.groupBy("k", "v").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = running_totals(counted, ["k"], ["v"], ["n"], buckets=4, few_groups=False)
+        assert {(r["k"], r["v"]): (r["cum_n"], r["all_n"]) for r in ranked.collect()} == brute(data, False)
+        assert "Broadcast" not in ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 3), ("a", 1.0, 1)], "k string, v double, n bigint")
+    got = {(r["k"], r["v"]): (r["cum_n"], r["all_n"]) for r in running_totals(df, ["k"], ["v"], ["n"]).collect()}
+    assert got == {(None, 1.0): (2, 5), (None, 2.0): (5, 5), ("a", 1.0): (1, 1)}
