@@ -11,8 +11,12 @@ from ..roles import DEFAULT, Roles
 
 
 def _per_sample(long: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct sample-level rows with their row count: a long table shrinks by its features before any shuffle."""
-    return long.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    """Distinct sample-level rows with their row count: a long table shrinks by its features before any shuffle.
+
+    The filter is true for every group. It keeps the optimizer from folding this step into the distinct counts
+    above it, which would copy every long row once per counted column.
+    """
+    return long.groupBy(*columns).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 0)
 
 
 def _n(column: str, name: str):

@@ -9,9 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
 from ..models import training
+from ..models.storage import save_model
 from ..operators import curves, evaluate, matrix, ranking
 from ..roles import DEFAULT, Roles
 from ..session import reliable
+from ..sinks.tables import publish
 
 
 @dataclass(frozen=True)
@@ -37,15 +39,17 @@ def compare_models(
     seed: int = 42,
     names: Sequence[str] = tuple(training.PIPELINES),
     unique: bool = True,
+    variable: DataFrame | None = None,
     r: Roles = DEFAULT,
 ) -> Comparison:
     """Train the named models on the most variable features and score all of them on all splits.
 
     ``long`` is taken to have one row per sample and feature, as the trusted table has; say so if it has more.
+    ``variable`` is the stored table of variable features, which saves the pass that computes it.
 
     The split matrix and the predictions are cut off from their long lineage: both are read many times.
     """
-    features = ranking.select_features(ranking.variability(long, r), n_features, r)
+    features = ranking.select_features(ranking.variability(long, r) if variable is None else variable, n_features, r)
     split = reliable(matrix.stratified_split(matrix.to_matrix(long, features, unique=unique, r=r), seed, r=r))
     models = training.train_all(split, features, names, r)
     labels = training.label_names(next(iter(models.values())))
@@ -66,3 +70,17 @@ def best_model_reports(c: Comparison, r: Roles = DEFAULT) -> dict[str, DataFrame
         "refined_curvas_roc": curves.roc_points(test, c.labels, top),
         "refined_curvas_pr": curves.pr_points(test, c.labels, top),
     }
+
+
+def publish_comparison(
+    c: Comparison, model_path: str, namespace: str | None = None, fmt: str = "parquet", r: Roles = DEFAULT
+) -> None:
+    """Matrix, metrics and the best model's tables into the catalog, the best model and its features to storage."""
+    frames = {
+        "refined_ml_matriz": c.split.drop("split"),
+        "refined_metricas_modelos_sparkml": c.metrics,
+        **best_model_reports(c, r),
+    }
+    for name, frame in frames.items():
+        publish(frame, f"{namespace}.{name}" if namespace else name, fmt=fmt)
+    save_model(c.split.sparkSession, c.best(), model_path, c.features)

@@ -4,7 +4,7 @@ import pytest
 
 from assaylake import domain
 from assaylake.operators import checks, counts
-from assaylake.plans import refined, trusted
+from assaylake.plans import evidence, modelling, refined, scoring, trusted
 from assaylake.sinks import manifest
 from assaylake.sources import measurements, metadata, tables
 
@@ -79,3 +79,55 @@ def test_class_list_is_closed(lake, rows):
     _, _, made = lake
     unexpected = checks.domain_check(made.samples, list(domain.CLASS_NAMES)).filter("estado = 'unexpected'")
     assert unexpected.count() == 0
+
+
+def test_ingest_evidence(spark, lake, tmp_path):
+    root, meta, _ = lake
+    found = manifest.ingest_manifest(meta, measurements.list_raw_files(spark, str(root / "raw")))
+    evidence.export_ingest(meta, found, str(tmp_path))
+
+    def lines(name):
+        return sum(1 for _ in spark.read.text(str(tmp_path / name)).collect())
+
+    assert lines("metadatos_completo.csv") == 7
+    assert lines("metadatos_oficial.csv") == 6
+    assert lines("manifest_descargas.csv") == 7
+
+
+def test_models_from_stored_tables_to_scored_file(spark, tmp_path, rows):
+    """Published comparison, stored model, scored file and result evidence, on well separated classes."""
+    cells = [
+        (f"{c}{i}", f"p{c}{i}", c, g, g.lower(), (3.0 if g[1] == c else 0.5) + (i % 7) / 10)
+        for c in "ABC" for i in range(40) for g in ("gA", "gB", "gC")
+    ]
+    long = spark.createDataFrame(
+        cells, "sample_id string, patient_id string, cancer_type string, gene_id_base string, gene_name string, log2_tpm double"
+    )
+    compared = modelling.compare_models(long, n_features=3, names=["LogisticRegression", "NaiveBayes"])
+    space = f"db_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {space}")
+    try:
+        modelling.publish_comparison(compared, str(tmp_path / "model"), space)
+        assert tables.load_refined(spark, "metricas", namespace=space).count() == 6
+        assert len(spark.table(f"{space}.refined_ml_matriz").columns) == 6
+        predictions = spark.table(f"{space}.refined_predicciones_test_mejor_modelo")
+        evidence.export_results(compared.metrics, long.groupBy("cancer_type").count().withColumnRenamed("count", "n_muestras"), predictions, str(tmp_path))
+        shown = spark.read.option("header", True).csv(str(tmp_path / "app_predicciones_muestra.csv"))
+        assert shown.count() == predictions.count()
+        assert spark.read.option("header", True).csv(str(tmp_path / "app_tabla_metricas.csv")).count() == 4
+        (tmp_path / "new.csv").write_text("sample_id,patient_id,gene_id_base,log2_tpm\nx,px,gB,3.2\nx,px,gA,0.6\nx,px,zz,1\nx,px,gC,bad\n")
+        scored = scoring.score_file(spark, str(tmp_path / "new.csv"), str(tmp_path / "model"), f"{space}.predicciones")
+        assert rows(scored.select("sample_id", "patient_id", "cancer_predicho")) == [("x", "px", "B")]
+        assert scored.columns == ["sample_id", "patient_id", "cancer_predicho", "probabilidad_predicha", "prediction", "probability_array"]
+    finally:
+        spark.sql(f"DROP DATABASE {space} CASCADE")
+
+
+def test_features_from_the_stored_table(spark):
+    cells = [(f"s{i}", f"p{i}", "AB"[i % 2], g, g, float(i % 2) * (g == "g1") + i % 3) for i in range(40) for g in ("g1", "g2")]
+    long = spark.createDataFrame(
+        cells, "sample_id string, patient_id string, cancer_type string, gene_id_base string, gene_name string, log2_tpm double"
+    )
+    stored = spark.createDataFrame([("g2", "g2", 9.0), ("g1", "g1", 1.0)], "gene_id_base string, gene_name string, sd_entre_clases double")
+    compared = modelling.compare_models(long, 1, names=["NaiveBayes"], variable=stored)
+    assert compared.features == ["g2"]
