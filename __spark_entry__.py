@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -21,7 +20,7 @@ from assaylake.operators import (  # noqa: E402
 )
 from assaylake.plans import modelling  # noqa: E402
 from assaylake.roles import DEFAULT as R  # noqa: E402
-from assaylake.session import reliable, tune  # noqa: E402
+from assaylake.session import reliable, shared_folder, tune  # noqa: E402
 from assaylake.sinks import exports, manifest, tables as table_sinks  # noqa: E402
 from assaylake.sources import (  # noqa: E402
     measurements as raw, metadata as listing, new_samples as new_files, tables as table_sources,
@@ -64,8 +63,10 @@ def _measured(df: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder for tables that a query stores and reads back, in the cluster's shared folder if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="assaylake-")
+    """A new folder for tables that a query stores and reads back."""
+    shared = shared_folder(spark)
+    if shared is None:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{shared}/assaylake-{uuid.uuid4().hex}"
 
 

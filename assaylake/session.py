@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes the shuffles; a hot join key is split even where the split costs one more shuffle.
 _ADAPTIVE = {
@@ -39,19 +39,26 @@ def local_session(cpus: int | str = 8, memory: str = "12g", app: str = "assaylak
     return tune(spark)
 
 
-def reliable(df, eager: bool = True):
-    """Cut the lineage of ``df`` in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session without one gets a temporary
-    folder; on a cluster without one the frame is returned as it is, to be recomputed where needed.
+    Only a local session without the setting gets a temporary folder; a cluster without it has none.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="assaylake-")
+    return folder
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and cut off from its lineage.
+
+    A cluster without such a folder gets the frame back as it is, to be recomputed where it is needed.
+    """
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="assaylake-checkpoint-")
+        folder = shared_folder(df.sparkSession)
         if folder is None:
             return df
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager)
+    return df.checkpoint()

@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 @dataclass(frozen=True)
 class TableEntry:
-    """Where a refined table lives: its name, which is also its CSV folder or file name, and its schema."""
+    """Where a refined table lives: its name, which is also its CSV folder or file name, and its schema.
+
+    Without a schema the columns are those of the header, as text: the matrix has one per chosen feature.
+    """
 
     name: str
-    schema: str
+    schema: str | None
 
 
 _METRICS = """modelo string, split string, accuracy double, balanced_accuracy double, precision_macro double,
@@ -48,6 +51,7 @@ REFINED = {
         "cancer_type string, rank_gen bigint, gene_id_base string, gene_name string, avg_log2_tpm double",
     ),
     "metricas": TableEntry("refined_metricas_modelos_sparkml", _METRICS),
+    "matriz_genes": TableEntry("refined_ml_matriz", None),
 }
 
 
@@ -64,14 +68,13 @@ def table_or_compute(spark: SparkSession, name: str, compute: Callable[[], DataF
     return spark.table(name) if spark.catalog.tableExists(name) else compute()
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """A headered CSV bound to ``schema`` by header name; an empty frame when the path does not exist."""
-    try:
-        header = spark.read.option("header", True).csv(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    header = _csv_if_there(spark, path)
+    if header is None:
+        return spark.createDataFrame([], schema or "struct<>")
+    if schema is None:
+        return header
     wanted = spark.createDataFrame([], schema).schema
     present = set(header.columns)
     return header.select(
@@ -130,10 +133,14 @@ def find_tables(spark: SparkSession, pattern: str, namespace: str | None = None)
 
 
 def _existing(spark: SparkSession, mode: str, origin: str) -> DataFrame | None:
-    if mode != "csv":
-        return spark.table(origin) if spark.catalog.tableExists(origin) else None
+    if mode == "csv":
+        return _csv_if_there(spark, origin)
+    return spark.table(origin) if spark.catalog.tableExists(origin) else None
+
+
+def _csv_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.option("header", True).csv(origin)
+        return spark.read.option("header", True).csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -313,7 +313,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'expresion_global', 'refined_expresion_global', 'csv', FALSE, 0, 0
             UNION ALL SELECT 'resumen_general', 'refined_resumen_general', 'csv', FALSE, 0, 0
             UNION ALL SELECT 'top_genes', 'refined_top_genes_por_clase', 'csv', TRUE, (SELECT count(*) FROM top), 5
-            UNION ALL SELECT 'metricas', 'refined_metricas_modelos_sparkml', 'csv', FALSE, 0, 0""",
+            UNION ALL SELECT 'metricas', 'refined_metricas_modelos_sparkml', 'csv', FALSE, 0, 0
+            UNION ALL SELECT 'matriz_genes', 'refined_ml_matriz', 'csv', FALSE, 0, 0""",
         ),
         "metadata_json": _with(_HITS, "SELECT * FROM flat"),
         "metadata_csv": _with(_META, "SELECT * FROM meta WHERE lower(sample_type) LIKE '%i%'"),
@@ -577,7 +578,7 @@ def oracle_sql() -> dict[str, str]:
         # feeds
         "kpis": _with(
             f"{_LONG},{_CLASS_COUNTS}",
-            "SELECT '2/6' AS fuentes, (SELECT count(*) FROM counts) AS clases, 25 AS genes_matriz, 2 AS modelos",
+            "SELECT '2/7' AS fuentes, (SELECT count(*) FROM counts) AS clases, 25 AS genes_matriz, 2 AS modelos",
         ),
         "class_feed": _with(
             f"{_LONG},{_CLASS_COUNTS}",

@@ -66,7 +66,7 @@ def test_publish_and_read_back(spark, lake, rows):
         assert spark.table(f"{space}.trusted_long").count() == 9
         assert rows(tables.load_refined(spark, "conteo_clases", namespace=space)) == [("GBM", "gbm", 1, 1), ("OV", "ov", 2, 2)]
         status = {r["clave"]: r["existe"] for r in tables.table_status(spark, namespace=space).collect()}
-        assert status.pop("metricas") is False and all(status.values())
+        assert not status.pop("metricas") and not status.pop("matriz_genes") and all(status.values())
         assert tables.find_tables(spark, "refined_*", space).count() == 10
         top = tables.load_refined(spark, "top_genes", namespace=space)
         assert top.groupBy("cancer_type").count().filter("count > 10").count() == 0
@@ -109,7 +109,7 @@ def test_models_from_stored_tables_to_scored_file(spark, tmp_path, rows):
     try:
         modelling.publish_comparison(compared, str(tmp_path / "model"), space)
         assert tables.load_refined(spark, "metricas", namespace=space).count() == 6
-        assert len(spark.table(f"{space}.refined_ml_matriz").columns) == 6
+        assert len(tables.load_refined(spark, "matriz_genes", namespace=space).columns) == 6
         predictions = spark.table(f"{space}.refined_predicciones_test_mejor_modelo")
         evidence.export_results(compared.metrics, long.groupBy("cancer_type").count().withColumnRenamed("count", "n_muestras"), predictions, str(tmp_path))
         shown = spark.read.option("header", True).csv(str(tmp_path / "app_predicciones_muestra.csv"))

@@ -116,7 +116,10 @@ def test_refined_by_key(spark, tmp_path, rows):
     status = {r["clave"]: (r["existe"], r["filas"], r["columnas"]) for r in tables.table_status(spark, "csv", folder).collect()}
     assert status["conteo_clases"] == (True, 2, 4)
     assert status["metricas"] == (False, 0, 0)
-    assert len(status) == 6
+    assert len(status) == 7
+    assert tables.load_refined(spark, "matriz_genes", "csv", folder).columns == []
+    (tmp_path / "refined_ml_matriz.csv").write_text("sample_id,patient_id,cancer_type,G1\ns,p,OV,1.5\n")
+    assert tables.load_refined(spark, "matriz_genes", "csv", folder).columns[-1] == "G1"
 
 
 def test_table_or_compute(spark):
