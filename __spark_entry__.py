@@ -350,7 +350,7 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     """The vector form, its cells spread out again by feature name."""
     long = bind.long(spark, sf)
     features = _features(long)
-    cells = matrix.to_vectors(long, features).withColumn("cells", vector_values("features_raw"))
+    cells = matrix.to_vectors(long, features, unique=True).withColumn("cells", vector_values("features_raw"))
     named = [F.round(F.get("cells", F.lit(at)), 4).alias(f) for at, f in enumerate(features)]
     return cells.select(R.sample, R.subject, R.cls, *named)
 

@@ -37,28 +37,47 @@ def to_matrix(
 
 
 def to_vectors(
-    long: DataFrame, features: Sequence[str], keys: Sequence[str] | None = None, r: Roles = DEFAULT
+    long: DataFrame,
+    features: Sequence[str],
+    keys: Sequence[str] | None = None,
+    unique: bool = False,
+    block: int = 256,
+    r: Roles = DEFAULT,
 ) -> DataFrame:
     """One row per sample with a ``features_raw`` vector in the listed order, without a column per feature.
 
-    Cells are averaged first, so a sample gathers at most one entry per listed feature.
+    Features are numbered and cut into blocks. A pivot over the place within a block makes the dense values of
+    one block, and a sample gathers its blocks, so the plan has ``block`` columns for any number of features.
+    As in ``to_matrix`` a sample's cells meet once, and repeated ones are averaged before unless ``unique``.
     """
     keys = list(keys) if keys is not None else [r.sample, r.subject, r.cls]
-    spark = long.sparkSession
-    places = spark.createDataFrame(list(enumerate(features)), f"_at int, {r.feature} string")
-    cells = (
-        long.join(F.broadcast(places), r.feature)
-        .groupBy(*keys, "_at")
-        .agg(F.coalesce(F.avg(r.value), F.lit(0.0)).alias("_cell"))
+    features = list(features)
+    block = min(block, len(features))
+    n_blocks = -(-len(features) // block)
+    places = [(f, at // block, at % block) for at, f in enumerate(features)]
+    numbered = long.sparkSession.createDataFrame(places, f"{r.feature} string, _block int, _place int")
+    cells = long.select(*keys, r.feature, r.value).join(F.broadcast(numbered), r.feature).drop(r.feature)
+    if not unique:
+        cells = cells.groupBy(*keys, "_block", "_place").agg(F.avg(r.value).alias(r.value))
+    slots = [str(at) for at in range(block)]
+    dense = (
+        cells.repartition(*keys)
+        .groupBy(*keys, "_block")
+        .pivot("_place", list(range(block)))
+        .agg(F.avg(r.value))
+        .fillna(0.0, slots)
+        .select(*keys, "_block", F.array(*slots).alias("_values"))
     )
-    filled = F.transform(
-        F.sequence(F.lit(0), F.lit(len(features) - 1)),
-        lambda at: F.coalesce(F.try_element_at("_cells", at), F.lit(0.0)),
+    whole = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(n_blocks - 1)),
+            lambda at: F.coalesce(F.try_element_at("_blocks", at), F.array_repeat(F.lit(0.0), block)),
+        )
     )
     return (
-        cells.groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_at", "_cell"))).alias("_cells"))
-        .select(*keys, array_to_vector(filled).alias("features_raw"))
+        dense.groupBy(*keys)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_block", "_values"))).alias("_blocks"))
+        .select(*keys, array_to_vector(F.slice(whole, 1, len(features))).alias("features_raw"))
     )
 
 

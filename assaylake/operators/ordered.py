@@ -81,11 +81,14 @@ def _place_by_sample(
         weighty.withColumn("_nth", F.row_number().over(lowest))
         .filter(F.col("_nth") < buckets)
         .groupBy(*keys)
-        .agg(F.collect_list(order).alias("_cuts"))
+        .agg(F.sort_array(F.collect_list(order)).alias("_cuts"))
     )
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
-    cut = join_null_safe(df, F.broadcast(cuts) if few_groups else cuts, keys)
-    return cut.withColumn("_bucket", F.coalesce(below, F.lit(0))).drop("_cuts")
+    placed = join_null_safe(df, F.broadcast(cuts) if few_groups else cuts, keys).withColumn("_bucket", F.lit(0))
+    # Halving steps over the sorted cut points; a place beyond the array is null and adds nothing.
+    for step in (1 << i for i in reversed(range(buckets.bit_length()))):
+        reached = F.get("_cuts", F.col("_bucket") + (step - 1)) < F.col(order)
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(reached, step).otherwise(0))
+    return placed.drop("_cuts")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

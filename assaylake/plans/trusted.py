@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import domain
 from ..operators import prepare
 from ..roles import DEFAULT, Roles
-from ..sinks.tables import publish_path, write_long
+from ..sinks.tables import publish_path, register_location, write_long
 from ..sources.measurements import list_raw_files, read_measurements, with_file_id
 
 
@@ -51,8 +51,12 @@ def build_trusted(
     return Trusted(long, samples, spark.read.format(fmt).load(f"{out}/dictionary"))
 
 
-def publish_trusted(spark: SparkSession, out: str, prefix: str, fmt: str = "parquet", r: Roles = DEFAULT) -> None:
-    """The stored trusted tables as catalog tables."""
-    publish_path(spark, f"{out}/long", f"{prefix}long", [r.cls], fmt)
-    publish_path(spark, f"{out}/samples", f"{prefix}samples", fmt=fmt)
-    publish_path(spark, f"{out}/dictionary", f"{prefix}dictionary", fmt=fmt)
+def publish_trusted(
+    spark: SparkSession, out: str, prefix: str, copy: bool = False, fmt: str = "parquet", r: Roles = DEFAULT
+) -> None:
+    """The stored trusted tables as catalog tables: registered where they lie, or written once more as a ``copy``."""
+    for part, by in (("long", [r.cls]), ("samples", []), ("dictionary", [])):
+        if copy:
+            publish_path(spark, f"{out}/{part}", f"{prefix}{part}", by, fmt)
+        else:
+            register_location(spark, f"{prefix}{part}", f"{out}/{part}", fmt)

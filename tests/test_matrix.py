@@ -30,6 +30,20 @@ def test_vectors_hold_the_matrix(long, rows):
     assert {r["sample_id"]: r["v"] for r in vectors.collect()} == {"s1": [0.0, 2.0], "s2": [4.0, 0.0], "s3": [0.0, 0.0]}
 
 
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 256])
+def test_vector_blocks(spark, block):
+    """Cells of all, some and no blocks of a sample, for blocks that divide the features and that do not."""
+    features = [f"F{i}" for i in range(7)]
+    cells = [("all", "p", "A", f, float(i + 1)) for i, f in enumerate(features)]
+    cells += [("last", "p", "A", "F6", 9.0), ("middle", "p", "A", "F3", 4.0), ("null", "p", "A", "F0", None)]
+    long = spark.createDataFrame(cells, LONG)
+    want = {"all": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], "last": [0.0] * 6 + [9.0], "middle": [0.0] * 3 + [4.0] + [0.0] * 3, "null": [0.0] * 7}
+    for unique in (True, False):
+        vectors = matrix.to_vectors(long, features, unique=unique, block=block)
+        got = {r[0]: r[1] for r in vectors.select("sample_id", vector_values("features_raw")).collect()}
+        assert got == want
+
+
 def subjects(spark, sizes):
     rows = [(f"{c}-{i}-{j}", f"{c}-{i}", c) for c, n in sizes.items() for i in range(n) for j in range(1 + i % 2)]
     return spark.createDataFrame(rows, "sample_id string, patient_id string, cancer_type string")

@@ -63,7 +63,10 @@ def test_publish_and_read_back(spark, lake, rows):
     try:
         refined.publish_refined(made, space)
         trusted.publish_trusted(spark, str(root / "trusted"), f"{space}.trusted_")
-        assert spark.table(f"{space}.trusted_long").count() == 9
+        trusted.publish_trusted(spark, str(root / "trusted"), f"{space}.copied_", copy=True)
+        for kind in ("trusted", "copied"):
+            assert spark.table(f"{space}.{kind}_long").count() == 9
+            assert spark.table(f"{space}.{kind}_samples").count() == spark.table(f"{space}.{kind}_dictionary").count() == 3
         assert rows(tables.load_refined(spark, "conteo_clases", namespace=space)) == [("GBM", "gbm", 1, 1), ("OV", "ov", 2, 2)]
         status = {r["clave"]: r["existe"] for r in tables.table_status(spark, namespace=space).collect()}
         assert not status.pop("metricas") and not status.pop("matriz_genes") and all(status.values())
