@@ -62,10 +62,19 @@ PIPELINES = {
 
 
 def train_all(
-    split: DataFrame, features: Sequence[str] | None, names: Sequence[str] = tuple(PIPELINES), r: Roles = DEFAULT
+    split: DataFrame,
+    features: Sequence[str] | None,
+    names: Sequence[str] = tuple(PIPELINES),
+    parts: int | None = None,
+    r: Roles = DEFAULT,
 ) -> dict[str, PipelineModel]:
-    """The named models, fitted on the train rows, which are kept in memory and on disk meanwhile."""
-    train = take_split(split, "train").persist()
+    """The named models, fitted on the train rows, which are kept in memory and on disk meanwhile.
+
+    Training passes over the rows many times and is bound by computing, so they are spread over ``parts`` tasks,
+    one per core by default, and not over as few as their size asks for.
+    """
+    parts = parts or split.sparkSession.sparkContext.defaultParallelism
+    train = take_split(split, "train").repartition(parts, r.sample).persist()
     try:
         return {name: PIPELINES[name](features, r).fit(train) for name in names}
     finally:

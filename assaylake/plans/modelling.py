@@ -51,7 +51,7 @@ def compare_models(
     """
     features = ranking.select_features(ranking.variability(long, r) if variable is None else variable, n_features, r)
     split = reliable(matrix.stratified_split(matrix.to_matrix(long, features, unique=unique, r=r), seed, r=r))
-    models = training.train_all(split, features, names, r)
+    models = training.train_all(split, features, names, r=r)
     labels = training.label_names(next(iter(models.values())))
     predictions = reliable(training.predict_all(models, split, r))
     return Comparison(features, split, models, predictions, labels, evaluate.metrics_table(predictions, len(labels)))
