@@ -20,12 +20,25 @@ from assaylake.operators import (  # noqa: E402
 )
 from assaylake.plans import modelling  # noqa: E402
 from assaylake.roles import DEFAULT as R  # noqa: E402
-from assaylake.session import reliable, shared_folder, tune  # noqa: E402
+from assaylake.session import ensure_shared_folder, reliable, scratch_folder, tune  # noqa: E402
 from assaylake.sinks import exports, manifest, tables as table_sinks  # noqa: E402
 from assaylake.sources import (  # noqa: E402
     measurements as raw, metadata as listing, new_samples as new_files, tables as table_sources,
 )
 
+try:
+    from assaylake.llm import registry as corpus  # noqa: E402
+except ModuleNotFoundError as missing:  # the corpus subpackage may be left out; nothing else may be missing
+    if missing.name != "assaylake.llm":
+        raise
+    corpus = None
+try:
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("assaylake.llm", "corpus_pipeline"):
+        raise
+    corpus_pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE_SF = "/root/testdata/sf0.001"
@@ -39,18 +52,27 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    found = oracles.oracle_sql()
+    if corpus:
+        found |= corpus.ORACLE_SQL
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
 
 
 def queries() -> dict[str, Query]:
     found = {}
     for group in (_preparation, _storage, _counting, _distributions, _matrix, _evaluation, _intake, _feeds, _models):
         found.update(group())
+    if corpus:
+        found |= corpus.QUERIES
+    if corpus_pipeline:
+        found["pipeline"] = corpus_pipeline.run
     return {name: _tuned(query) for name, query in found.items()}
 
 
 def _tuned(query: Query) -> Query:
-    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+    return lambda spark, sf_dir: query(tune(ensure_shared_folder(spark)), sf_dir)
 
 
 def _r4(df: DataFrame, *columns: str) -> DataFrame:
@@ -64,10 +86,7 @@ def _measured(df: DataFrame) -> DataFrame:
 
 def _scratch(spark: SparkSession) -> str:
     """A new folder for tables that a query stores and reads back."""
-    shared = shared_folder(spark)
-    if shared is None:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"{shared}/assaylake-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "assaylake")
 
 
 # Raw to trusted

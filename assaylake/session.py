@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,29 +37,34 @@ def local_session(cpus: int | str = 8, memory: str = "12g", app: str = "assaylak
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    return tune(ensure_shared_folder(spark))
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
-
-    Only a local session without the setting gets a temporary folder; a cluster without it has none.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="assaylake-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the context's checkpoint folder, else the one ``spark.checkpoint.dir`` names."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir, or call sparkContext.setCheckpointDir")
     return folder
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and cut off from its lineage.
+def ensure_shared_folder(spark: SparkSession) -> SparkSession:
+    """For local sessions that name no shared folder, such as tests: give them one below the working folder's temp."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and spark.conf.get("spark.checkpoint.dir", None) is None:
+        if context.master.startswith("local") and not context.master.startswith("local-cluster"):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="assaylake-"))
+    return spark
+
 
-    A cluster without such a folder gets the frame back as it is, to be recomputed where it is needed.
-    """
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A path of its own below the shared folder, for tables that one run stores and reads back."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and cut off from its lineage."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = shared_folder(df.sparkSession)
-        if folder is None:
-            return df
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
