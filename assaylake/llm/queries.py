@@ -4,11 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing
-from .common import table
+from . import licenses, mixing, quality
+from .common import crc_remainder, table
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
     taken = (F.col("n_copies") * F.col("size")).cast("bigint").alias("taken")
     return planned.select("doc_id", "size", "source_size", "target", taken)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(documents, quality.training_labels(table(spark, sf_dir, "labels")))
+    scored = quality.score_quality(documents.select("doc_id", "text"), model)
+    held_out = crc_remainder("doc_id", 3) == 1
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda labels: F.array_join(labels, ",")
+    return scanned.select(
+        "doc_id", "scan.n_words", "scan.n_base", "scan.first_word", "scan.last_word",
+        joined(F.col("scan.base_labels")).alias("base_labels"), joined(licenses.labels_of()).alias("labels"),
+        licenses.confidence_of().alias("score"),
+    )
