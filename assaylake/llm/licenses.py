@@ -1,7 +1,7 @@
 """License scans: ordered signature rules with keyword prefilter, priorities and containment suppression.
 
-A rule is a label, a priority, a confidence, a keyword and a pattern. Its pattern is tried only on texts that hold
-the keyword. Of overlapping detections, one that lies inside an accepted one of the same or higher priority is
+A rule is a label, a priority, a confidence, keywords and a pattern. Its pattern is tried only on texts that hold
+all keywords as words. Of overlapping detections, one that lies inside an accepted one of the same or higher priority is
 suppressed. Texts are read as bytes with A-Z in lower case; a word is a run of digits, letters a-z and bytes of
 characters beyond ASCII.
 """
@@ -112,8 +112,8 @@ SENTENCES = (
     ("copyright", 0.5, "copyright c"),
 )
 
-# Words too common to serve as a keyword where the phrase has another one.
-_COMMON = frozenset("the of and in any to or is this with license licence software general public open source program free".split())
+# Longer words too common to serve as keywords.
+_COMMON = frozenset("this with without that from used".split())
 
 # How a grant begins.
 GRANTS = "licensed|released|distributed|available|published|provided|covered|redistributed|shared|made available"
@@ -129,14 +129,14 @@ class Rule:
     label: str
     priority: int
     confidence: float
-    keyword: bytes
+    keywords: frozenset[bytes]
     pattern: re.Pattern
 
 
-def _keyword(phrase: str) -> str:
-    """The longest word of a phrase that is not common in prose; every text that matches the phrase holds it."""
+def _keywords(phrase: str) -> frozenset[bytes]:
+    """Words that every text holds that matches the phrase: those of four letters or more, else the longest."""
     words = phrase.replace("...", "").split()
-    return max([w for w in words if w not in _COMMON] or words, key=len)
+    return frozenset(w.encode() for w in [w for w in words if len(w) > 3 and w not in _COMMON] or [max(words, key=len)])
 
 
 def _words(text: str) -> bytes:
@@ -166,8 +166,8 @@ def rules() -> tuple[Rule, ...]:
     grant += rb"of" + _GAP + rb"(?:the" + _GAP + rb")?)?"
     found: list[Rule] = []
 
-    def add(name: str, label: str, priority: int, confidence: float, keyword: str, pattern: bytes) -> None:
-        found.append(Rule(name, label, priority, confidence, keyword.encode(), _whole(pattern)))
+    def add(name: str, label: str, priority: int, confidence: float, phrase: str, pattern: bytes) -> None:
+        found.append(Rule(name, label, priority, confidence, _keywords(phrase), _whole(pattern)))
 
     spdx = rb"spdx" + _GAP + rb"license" + _GAP + rb"identifier" + _GAP
     for label, names, versions in FAMILIES:
@@ -176,9 +176,8 @@ def rules() -> tuple[Rule, ...]:
             tail = _version(version) if version else b""
             add(f"id:{full}", full, 100, 1.0, "spdx", spdx + re.escape(label.encode()) + (rb"-" + re.escape(version.encode()) if version else b""))
             for name in names:
-                keyword = _keyword(name)
-                add(f"grant:{name}:{version}", full, 90 if version else 70, 0.97 if version else 0.9, keyword, grant + _words(name) + tail)
-                add(f"name:{name}:{version}", full, 60 if version else 40, 0.8 if version else 0.6, keyword, _words(name) + tail)
+                add(f"grant:{name}:{version}", full, 90 if version else 70, 0.97 if version else 0.9, name, grant + _words(name) + tail)
+                add(f"name:{name}:{version}", full, 60 if version else 40, 0.8 if version else 0.6, name, _words(name) + tail)
     for parts, prose in CC_PARTS:
         for version in CC_VERSIONS:
             full = f"cc-{parts}-{version}" if version else f"cc-{parts}"
@@ -190,20 +189,21 @@ def rules() -> tuple[Rule, ...]:
             add(f"name:{full}", full, 65 if version else 45, 0.8 if version else 0.6, "cc", short + tail)
             add(f"prose:{full}", full, 65 if version else 45, 0.9 if version else 0.8, "creative", long_ + tail)
     for i, (label, confidence, sentence) in enumerate(SENTENCES):
-        add(f"text:{i}:{label}", label, 80 if confidence >= 0.9 else 50, confidence, _keyword(sentence), _words(sentence))
+        add(f"text:{i}:{label}", label, 80 if confidence >= 0.9 else 50, confidence, sentence, _words(sentence))
     return tuple(sorted(found, key=lambda r: -r.priority))
 
 
 @cache
-def _by_keyword() -> dict[bytes, tuple[Rule, ...]]:
-    return {k: tuple(r for r in rules() if r.keyword == k) for k in dict.fromkeys(r.keyword for r in rules())}
+def _by_keywords() -> dict[frozenset[bytes], tuple[Rule, ...]]:
+    kinds = dict.fromkeys(r.keywords for r in rules())
+    return {k: tuple(r for r in rules() if r.keywords == k) for k in kinds}
 
 
 @cache
 def _prefilter() -> ahocorasick.Automaton:
     """Finds all keywords in one pass. It reads each byte as one character."""
     found = ahocorasick.Automaton()
-    for keyword in _by_keyword():
+    for keyword in frozenset().union(*_by_keywords()):
         found.add_word(keyword.decode("latin-1"), keyword)
     found.make_automaton()
     return found
@@ -235,9 +235,11 @@ def _word_starts(text: bytes) -> np.ndarray:
 
 def detect(text: bytes) -> list[tuple[int, int, Rule]]:
     """The detections in a lower-case text that stand: start, end and rule, by priority, then longest, then first."""
+    present = _keywords_in(text)
     hits = [
         (m.start(), m.end(), rule)
-        for keyword in _keywords_in(text) for rule in _by_keyword()[keyword] for m in rule.pattern.finditer(text)
+        for needed, of in _by_keywords().items() if needed <= present
+        for rule in of for m in rule.pattern.finditer(text)
     ]
     hits.sort(key=lambda h: (-h[2].priority, h[0] - h[1], h[0], h[2].name))
     stand: list[tuple[int, int, Rule]] = []
