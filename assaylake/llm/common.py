@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
 
-#: Rows in one Arrow batch. Long texts make a batch large, so the number is well below Spark's default.
-BATCH_ROWS = 1000
+#: Bytes of one Arrow batch that is handed to Python. Texts may be long, so rows alone do not bound a batch.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that one Arrow batch hands to Python."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Bound the bytes that one Arrow batch hands to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -53,5 +53,5 @@ def as_bytes(texts: pa.Array) -> Iterator[bytes]:
 
 
 def crc_remainder(key, modulus: int):
-    """crc32 of a key's decimal text, modulo ``modulus``: the split into training and held-out rows."""
-    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus))
+    """crc32 of a key's decimal text, modulo ``modulus``; -1 for a null key."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(modulus)), F.lit(-1))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, mixing, quality
+from . import licenses, lm, mixing, quality
 from .common import crc_remainder, table
 
 
@@ -32,3 +32,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.col("scan.base_labels")).alias("base_labels"), joined(licenses.labels_of()).alias("labels"),
         licenses.confidence_of().alias("score"),
     )
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = crc_remainder("doc_id", 7)
+    scored = lm.score_texts(documents, trains=remainder != 2)
+    return scored.withColumn("held_out", remainder == 2)

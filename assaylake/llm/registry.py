@@ -8,6 +8,7 @@ QUERIES = {
     "op4_quality": queries.op4_quality,
     "op7_licenses": queries.op7_licenses,
     "op9_mixing": queries.op9_mixing,
+    "op10_lm": queries.op10_lm,
 }
 ORACLE_SQL = {
     "op9_mixing": sql.MIXING,
