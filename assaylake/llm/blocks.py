@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +51,8 @@ class Block:
     #: The texts' bytes one after another, and where each ends.
     data: np.ndarray
     ends: np.ndarray
-    #: What a counting pass answered, by part; empty without one.
-    answers: dict[int, bytes]
+    #: What each counting pass answered, by part.
+    answers: tuple[dict[int, bytes], ...]
 
     @property
     def starts(self) -> np.ndarray:
@@ -64,39 +65,42 @@ class Blocks:
     #: How many ranges the keys are counted in.
     parts: int
 
-    def each(self, work: Callable[[Block], Iterator[pa.RecordBatch]], schema: str, answers: DataFrame | None = None) -> DataFrame:
-        """What ``work`` yields for each block; with ``answers``, each block comes with what it was answered."""
-        frame = self.frame.withColumn("answers", F.lit(None).cast("array<struct<part:int,answer:binary>>"))
-        if answers is not None:
-            gathered = answers.groupBy("block").agg(F.collect_list(F.struct("part", "answer")).alias("answers"))
-            frame = self.frame.join(gathered, "block", "left")
+    def each(self, work: Callable[[Block], Iterator[pa.RecordBatch]], schema, *answers: DataFrame) -> DataFrame:
+        """What ``work`` yields for each block; each block comes with what it was answered, answer by answer."""
+        frame = self.frame.withColumn("answers", F.lit(None).cast("array<struct<ask:int,part:int,answer:binary>>"))
+        if answers:
+            every = reduce(DataFrame.unionAll, (a.withColumn("ask", F.lit(i)) for i, a in enumerate(answers)))
+            told = every.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("ask", "part", "answer")).alias("answers"))
+            frame = self.frame.join(told, "block", "left")
         small_batches(self.frame.sparkSession)
+        n = len(answers)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    yield from work(_unpacked(batch.slice(i, 1)))
+                    yield from work(_unpacked(batch.slice(i, 1), n))
 
         return frame.mapInArrow(run, schema)
 
-    def ask(self, keys: Callable[[Block], tuple[np.ndarray, np.ndarray]], answers: DataFrame | None = None) -> DataFrame:
-        """Requests: ``keys`` gives a block's distinct keys in ascending order, and a weight for each."""
+    def ask(self, keys: Callable[[Block], tuple[np.ndarray, ...]], *answers: DataFrame) -> DataFrame:
+        """Requests: ``keys`` gives a block's distinct keys in ascending order and a weight for each. If it also gives
+        a second hash for each, keys are pairs of both, in ascending order of both."""
         parts = self.parts
 
         def requests(block: Block) -> Iterator[pa.RecordBatch]:
-            found, weights = keys(block)
+            found, weights, *second = keys(block)
             cuts = np.append(np.searchsorted(found, part_starts(parts)), len(found))
             rows = [
-                (p, block.number, found[a:b].tobytes(), squeeze(weights[a:b].astype(np.uint32).tobytes()))
+                (p, block.number, found[a:b].tobytes(), squeeze(weights[a:b].astype(np.uint32).tobytes()), *(x[a:b].tobytes() for x in second))
                 for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a
             ]
-            yield pa.RecordBatch.from_pylist([dict(zip(_REQUESTS.names, r, strict=True)) for r in rows], _REQUESTS)
+            yield pa.RecordBatch.from_pylist([dict(zip(_REQUESTS.names, r, strict=False)) for r in rows], _REQUESTS)
 
-        return self.each(requests, REQUESTS, answers)
+        return self.each(requests, REQUESTS, *answers)
 
 
-REQUESTS = "part int, block long, keys binary, weights binary"
-_REQUESTS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("weights", pa.binary())])
+REQUESTS = "part int, block long, keys binary, weights binary, second binary"
+_REQUESTS = pa.schema([("part", pa.int32()), ("block", pa.int64()), *((n, pa.binary()) for n in ("keys", "weights", "second"))])
 
 
 def part_starts(parts: int) -> np.ndarray:
@@ -104,15 +108,17 @@ def part_starts(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(parts)], np.uint64)
 
 
-def _unpacked(row: pa.RecordBatch) -> Block:
+def _unpacked(row: pa.RecordBatch, n_answers: int) -> Block:
     of = {name: row.column(name)[0] for name in row.schema.names}
-    answers = of["answers"].as_py() or []
+    answers: tuple[dict[int, bytes], ...] = tuple({} for _ in range(n_answers))
+    for a in of["answers"].as_py() or []:
+        answers[a["ask"]][a["part"]] = a["answer"]
     return Block(
         of["block"].as_py(),
         pa.ipc.open_stream(unsqueeze(of["rows"].as_py())).read_all(),
         np.frombuffer(unsqueeze(of["text"].as_py()), np.uint8),
         np.frombuffer(unsqueeze(of["ends"].as_py()), np.int64),
-        {a["part"]: a["answer"] for a in answers},
+        answers,
     )
 
 
@@ -186,9 +192,8 @@ def count_keys(requests: DataFrame) -> DataFrame:
         keys = [np.frombuffer(k.as_py(), np.uint64) for k in group.column("keys")]
         weights = np.concatenate([np.frombuffer(unsqueeze(w.as_py()), np.uint32) for w in group.column("weights")])
         joined = np.concatenate(keys)
-        order = np.argsort(joined, kind="stable")
-        ranked = joined[order]
-        new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+        second = [np.frombuffer(k.as_py(), np.uint64) for k in group.column("second") if k.is_valid]
+        order, new = _ranked(joined, np.concatenate(second) if second else None)
         key_of, w = np.cumsum(new) - 1, weights[order].astype(np.int64)
         sums = np.bincount(key_of, w).astype(np.int64)
         # The order is stable, so of each key's entries with a weight the first is of the first block.
@@ -207,6 +212,28 @@ def count_keys(requests: DataFrame) -> DataFrame:
     return stored(requests.groupBy("part").applyInArrow(count, ANSWERS), "answers")
 
 
+def _ranked(keys: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of keys, or of pairs of keys, and where in it a new one begins."""
+    order = np.argsort(keys, kind="stable") if second is None else np.lexsort((second, keys))
+    new = np.ones(len(keys), bool)
+    for of in (keys,) if second is None else (keys, second):
+        ranked = of[order]
+        differs = ranked[1:] != ranked[:-1]
+        new[1:] = differs if of is keys else new[1:] | differs
+    return order, new
+
+
+def tally(weights: np.ndarray, keys: np.ndarray, second: np.ndarray | None = None) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """What a block asks about: distinct keys in ascending order with summed weights (and second hashes), and the
+    place of each given key among them."""
+    order, new = _ranked(keys, second)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    heads = order[new]
+    sums = np.bincount(place, weights, minlength=len(heads)).astype(np.int64)
+    return (keys[heads], sums) if second is None else (keys[heads], sums, second[heads]), place
+
+
 def _packed(counts: np.ndarray) -> bytes:
     wide = bool(len(counts)) and int(counts.max()) >= 2**32
     return bytes([wide]) + squeeze(counts.astype(np.uint64 if wide else np.uint32).tobytes())
@@ -216,9 +243,9 @@ def _unpacked_counts(blob: bytes) -> np.ndarray:
     return np.frombuffer(unsqueeze(blob[1:]), np.uint64 if blob[0] else np.uint32).astype(np.int64)
 
 
-def answered(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """For a block's keys in ascending order: the sums over all blocks, and whether this block owns the key."""
-    told = [_unpacked_counts(block.answers[p]) for p in sorted(block.answers)]
+def answered(block: Block, ask: int) -> tuple[np.ndarray, np.ndarray]:
+    """For the keys a block asked about, in ascending order: the sums over all blocks, and whether it owns the key."""
+    told = [_unpacked_counts(a) for _, a in sorted(block.answers[ask].items())]
     told = np.concatenate(told) if told else np.empty(0, np.int64)
     return told >> 1, (told & 1).astype(bool)
 

@@ -14,13 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .blocks import Block, answered, count_keys, make_blocks, mixed, totals, words
+from .blocks import Block, answered, count_keys, make_blocks, mixed, tally, totals, words
 
 _TRAIN = "_llm_train"
 _END, _BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -60,29 +59,24 @@ def _tokens(block: Block) -> _Tokens:
     return _Tokens(distinct, at, contexts, context, of, np.asarray(block.rows.column(_TRAIN).to_numpy(zero_copy_only=False), bool))
 
 
-def _sum_by(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(at, weights, minlength=len(distinct)).astype(np.int64), at
-
-
-def _word_requests(block: Block) -> tuple[np.ndarray, np.ndarray]:
+def _word_requests(block: Block) -> tuple[np.ndarray, ...]:
     t = _tokens(block)
     return t.distinct, np.bincount(t.token, t.trains[t.doc], minlength=len(t.distinct)).astype(np.int64)
 
 
-def _pair_requests(block: Block) -> tuple[np.ndarray, np.ndarray]:
+def _pair_requests(block: Block) -> tuple[np.ndarray, ...]:
     t = _tokens(block)
-    return _sum_by(t.pairs, t.trains[t.doc])[:2]
+    return tally(t.trains[t.doc], t.pairs)[0]
 
 
-def _follower_requests(block: Block) -> tuple[np.ndarray, np.ndarray]:
+def _follower_requests(block: Block) -> tuple[np.ndarray, ...]:
     """Contexts, each with the number of its arcs that this block owns: summed up, the arcs of the context's state."""
     t = _tokens(block)
-    _, owned = answered(block)
-    _, at = np.unique(t.pairs, return_inverse=True)
-    one = np.empty(len(owned), np.int64)
-    one[at] = t.context  # a pair has one context
-    return t.contexts, np.bincount(one[owned], minlength=len(t.contexts)).astype(np.int64)
+    _, owned = answered(block, 0)
+    _, pair = tally(t.trains[t.doc], t.pairs)
+    of = np.empty(len(owned), np.int64)
+    of[pair] = t.context  # a pair has one context
+    return t.contexts, np.bincount(of[owned], minlength=len(t.contexts)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -131,22 +125,18 @@ def score_texts(documents: DataFrame, trains: Column, text: str = "text") -> Dat
     _, _, once, twice, *_ = totals(pair_counts)
     discount = float(once / (once + 2 * twice)) if once and twice else 0.5
     arc_counts = count_keys(blocks.ask(_follower_requests, pair_counts))
-    parts = blocks.parts
-    every = _labelled((word_counts, pair_counts, arc_counts), parts)
-    schema = documents.select(*(F.col(f"`{c}`") for c in kept)).schema
-    for field in SCORES.split(", "):
-        schema = schema.add(*field.split())
+    schema = T.StructType([*documents.select(*(F.col(f"`{c}`") for c in kept)).schema, *T.StructType.fromDDL(SCORES)])
 
     def score(block: Block) -> Iterator[pa.RecordBatch]:
-        t, got = _tokens(block), _told(block, ("words", "pairs", "arcs"), parts)
-        pairs, pair = np.unique(t.pairs, return_inverse=True)
-        pair_context, pair_word = np.empty(len(pairs), np.int64), np.empty(len(pairs), np.int64)
+        t = _tokens(block)
+        (count_of, _), (pair_count, _), (context_arcs, _) = (answered(block, i) for i in range(3))
+        _, pair = tally(t.trains[t.doc], t.pairs)
+        pair_context, pair_word = np.empty(len(pair_count), np.int64), np.empty(len(pair_count), np.int64)
         pair_context[pair], pair_word[pair] = t.context, t.token
         # A context is followed as often as it occurs, the beginning as often as the end.
-        count_of = got["words"]
         at = np.searchsorted(t.distinct, np.where(t.contexts == _BEGIN, _END, t.contexts))
         at = np.minimum(at, len(t.distinct) - 1)
-        automaton = build(count_of, got["pairs"], pair_context, pair_word, count_of[at], got["arcs"], n_train, n_words, discount)
+        automaton = build(count_of, pair_count, pair_context, pair_word, count_of[at], context_arcs, n_train, n_words, discount)
         steps, base = automaton.walk(t.context, t.token, pair), automaton.root[t.token]
         n = len(block.ends)
         columns = [
@@ -158,19 +148,4 @@ def score_texts(documents: DataFrame, trains: Column, text: str = "text") -> Dat
             rows = rows.append_column(name, pa.array(values))
         yield from rows.to_batches()
 
-    return blocks.each(score, schema, every)
-
-
-def _labelled(answers: tuple[DataFrame, ...], parts: int) -> DataFrame:
-    """Several answers as one, told apart by ranges of the part number."""
-    moved = [df.withColumn("part", (F.col("part") + i * parts).cast("int")) for i, df in enumerate(answers)]
-    return reduce(DataFrame.unionAll, moved).where("block IS NOT NULL")
-
-
-def _told(block: Block, names: tuple[str, ...], parts: int) -> dict[str, np.ndarray]:
-    found = {}
-    for i, name in enumerate(names):
-        own = {p - i * parts: a for p, a in block.answers.items() if i * parts <= p < (i + 1) * parts}
-        found[name] = answered(Block(block.number, block.rows, block.data, block.ends, own))[0]
-    return found
-
+    return blocks.each(score, schema, word_counts, pair_counts, arc_counts)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, lm, mixing, quality
+from . import licenses, lm, mixing, quality, repeats
 from .common import crc_remainder, table
 
 
@@ -14,6 +14,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit_quality(documents, quality.training_labels(table(spark, sf_dir, "labels")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import queries, sql
 
 QUERIES = {
+    "op1_repeats": queries.op1_repeats,
     "op4_quality": queries.op4_quality,
     "op7_licenses": queries.op7_licenses,
     "op9_mixing": queries.op9_mixing,
