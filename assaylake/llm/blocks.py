@@ -29,6 +29,8 @@ from .common import small_batches, stored, text_parts
 BLOCK_BYTES = 4 << 20
 #: What a document counts besides its text, so that very many empty ones fill a block too.
 _ROW_BYTES = 32
+#: A document's node is its block's number and, in so many bits, its place in the block.
+NODE_BITS = 20
 _BLOCK = "block long, rows binary, ends binary, text binary"
 _SCHEMA = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("ends", pa.binary()), ("text", pa.binary())])
 ANSWERS = "block long, part int, answer binary"
@@ -54,6 +56,18 @@ class Block:
     #: What each counting pass answered, by part.
     answers: tuple[dict[int, bytes], ...]
 
+    def only(self, places: np.ndarray) -> Block:
+        """A block of some of the documents, without their rows."""
+        lengths = (self.ends - self.starts)[places]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        return Block(self.number, self.rows.slice(0, 0), self.data[at], ends, ())
+
+    @property
+    def nodes(self) -> np.ndarray:
+        """A number for each document that no other row has, whatever ids the rows carry."""
+        return (self.number << NODE_BITS) + np.arange(len(self.ends))
+
     @property
     def starts(self) -> np.ndarray:
         return np.concatenate(([0], self.ends[:-1])).astype(np.int64)
@@ -82,6 +96,21 @@ class Blocks:
 
         return frame.mapInArrow(run, schema)
 
+    def each_of(self, work: Callable[[Block, np.ndarray], Iterator[pa.RecordBatch]], schema, nodes: DataFrame) -> DataFrame:
+        """What ``work`` yields for each block that holds some of ``nodes``, and the places of these in the block."""
+        place = F.col("node").bitwiseAND(F.lit((1 << NODE_BITS) - 1)).cast("int")
+        wanted = nodes.groupBy(F.shiftright("node", NODE_BITS).alias("block")).agg(F.sort_array(F.collect_set(place)).alias("places"))
+        small_batches(self.frame.sparkSession)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    row = batch.slice(i, 1)
+                    places = np.array(row.column("places")[0].as_py(), np.int64)
+                    yield from work(_unpacked(row.select(_SCHEMA.names), 0), places)
+
+        return self.frame.join(wanted, "block").mapInArrow(run, schema)
+
     def ask(self, keys: Callable[[Block], tuple[np.ndarray, ...]], *answers: DataFrame) -> DataFrame:
         """Requests: ``keys`` gives a block's distinct keys in ascending order and a weight for each. If it also gives
         a second hash for each, keys are pairs of both, in ascending order of both."""
@@ -111,7 +140,7 @@ def part_starts(parts: int) -> np.ndarray:
 def _unpacked(row: pa.RecordBatch, n_answers: int) -> Block:
     of = {name: row.column(name)[0] for name in row.schema.names}
     answers: tuple[dict[int, bytes], ...] = tuple({} for _ in range(n_answers))
-    for a in of["answers"].as_py() or []:
+    for a in (of["answers"].as_py() or []) if n_answers else []:
         answers[a["ask"]][a["part"]] = a["answer"]
     return Block(
         of["block"].as_py(),
@@ -141,7 +170,7 @@ def make_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLO
         return pa.RecordBatch.from_arrays([pa.array([number]), *(pa.array([squeeze(b)], pa.binary()) for b in blobs)], schema=_SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, rows, texts, ends, held = TaskContext.get().partitionId() << 32, [], [], [], 0
+        number, rows, texts, ends, held = TaskContext.get().partitionId() << NODE_BITS, [], [], [], 0
         for batch in batches:
             at = batch.schema.get_field_index(text)
             data, stops = text_parts(batch.column(at))

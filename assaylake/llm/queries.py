@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, lm, mixing, quality, repeats
+from . import licenses, lm, mixing, neardup, quality, repeats
 from .common import crc_remainder, table
 
 
@@ -44,3 +44,8 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = crc_remainder("doc_id", 7)
     scored = lm.score_texts(documents, trains=remainder != 2)
     return scored.withColumn("held_out", remainder == 2)
+
+
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

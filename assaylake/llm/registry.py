@@ -8,6 +8,7 @@ QUERIES = {
     "op1_repeats": queries.op1_repeats,
     "op4_quality": queries.op4_quality,
     "op7_licenses": queries.op7_licenses,
+    "op8_neardup": queries.op8_neardup,
     "op9_mixing": queries.op9_mixing,
     "op10_lm": queries.op10_lm,
 }
