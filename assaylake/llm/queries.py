@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, lm, mixing, neardup, quality, repeats
+from ..session import scratch_folder
+from . import licenses, lm, mixing, neardup, quality, repeats, token_files
 from .common import crc_remainder, table
 
 
@@ -19,6 +21,12 @@ def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_folder(spark, "llm-tokens")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    return token_files.read_checksums(spark, path).withColumnRenamed("key", "doc_id")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit_quality(documents, quality.training_labels(table(spark, sf_dir, "labels")))

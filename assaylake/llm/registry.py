@@ -6,6 +6,7 @@ from . import queries, sql
 
 QUERIES = {
     "op1_repeats": queries.op1_repeats,
+    "op2_tokens": queries.op2_tokens,
     "op4_quality": queries.op4_quality,
     "op7_licenses": queries.op7_licenses,
     "op8_neardup": queries.op8_neardup,
