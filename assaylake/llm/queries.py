@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
-from . import licenses, lm, mixing, neardup, quality, repeats, token_files
+from . import licenses, lm, mixing, neardup, pieces, quality, repeats, token_files
 from .common import crc_remainder, table
 
 
@@ -37,6 +37,15 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), pieces.checksum().alias("ids_crc32"),
+        F.sha2(pieces.decoded(model), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda labels: F.array_join(labels, ",")

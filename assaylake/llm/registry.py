@@ -8,6 +8,7 @@ QUERIES = {
     "op1_repeats": queries.op1_repeats,
     "op2_tokens": queries.op2_tokens,
     "op4_quality": queries.op4_quality,
+    "op5_pieces": queries.op5_pieces,
     "op7_licenses": queries.op7_licenses,
     "op8_neardup": queries.op8_neardup,
     "op9_mixing": queries.op9_mixing,

@@ -21,8 +21,8 @@ from .common import as_bytes, small_batches
 #: Ids after which a segment is closed; a document is never parted. Bytes of text that one task writes.
 SEGMENT_IDS = 2_000_000
 PART_BYTES = 16 << 20
-#: Words whose ids a worker remembers; when there are more it forgets all and begins anew.
-REMEMBERED = 400_000
+#: Words of late whose ids a worker remembers; it also keeps as many earlier ones.
+REMEMBERED = 300_000
 _SEGMENT = "part int, seq int, n_tokens long, n_docs long, docs binary, payload binary"
 _SCHEMA = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("docs", pa.binary()), ("payload", pa.binary())]
@@ -43,7 +43,9 @@ class WordCoder:
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.remembered = remembered
+        # Words of late, and those before them, which are forgotten next.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         """Joined by spaces, a few hundred at a time; where a token stands tells whose it is."""
@@ -66,14 +68,19 @@ class WordCoder:
         fresh = {w for w in words if w not in known}
         if fresh:
             if len(known) > self.remembered:
-                known.clear()
-                fresh = set(words)
+                self.older, self.known = known, {}
+                known, fresh = self.known, set(words)
             parted = {}
             for word in fresh:
+                if (ids := self.older.get(word)) is not None:
+                    known[word] = ids
+                    continue
                 core = word.rstrip(_MARKS)
                 if core and core != word and (core[-1] | 0x20) in range(0x61, 0x7B):
                     parted[word] = (core, word[len(core) :])
-            needed = (fresh - parted.keys()).union(*parted.values()) if parted else fresh
+            needed = (fresh - parted.keys()).union(*parted.values())
+            for word in needed & self.older.keys():
+                known[word] = self.older[word]
             self._learn([w for w in needed if w not in known])
             for word, (core, marks) in parted.items():
                 known[word] = known[core] + known[marks]
