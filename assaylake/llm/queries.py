@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
-from . import licenses, lm, mixing, neardup, pieces, quality, repeats, token_files
+from . import balltree, licenses, lm, mixing, neardup, pieces, quality, repeats, token_files
 from .common import crc_remainder, table
 
 
@@ -46,6 +46,10 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_products(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, k=5)
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
     joined = lambda labels: F.array_join(labels, ",")

@@ -9,11 +9,13 @@ QUERIES = {
     "op2_tokens": queries.op2_tokens,
     "op4_quality": queries.op4_quality,
     "op5_pieces": queries.op5_pieces,
+    "op6_topk": queries.op6_topk,
     "op7_licenses": queries.op7_licenses,
     "op8_neardup": queries.op8_neardup,
     "op9_mixing": queries.op9_mixing,
     "op10_lm": queries.op10_lm,
 }
 ORACLE_SQL = {
+    "op6_topk": sql.TOP_PRODUCTS,
     "op9_mixing": sql.MIXING,
 }
