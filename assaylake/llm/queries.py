@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
-from . import balltree, licenses, lm, mixing, neardup, pieces, quality, repeats, token_files
+from . import balltree, licenses, lm, mixing, neardup, nndescent, pieces, quality, repeats, token_files
 from .common import crc_remainder, table
 
 
@@ -27,6 +27,11 @@ def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_checksums(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nndescent.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select("vec_id", "n_links", "component_id", "kept", "audited_recall")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit_quality(documents, quality.training_labels(table(spark, sf_dir, "labels")))

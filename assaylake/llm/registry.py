@@ -7,6 +7,7 @@ from . import queries, sql
 QUERIES = {
     "op1_repeats": queries.op1_repeats,
     "op2_tokens": queries.op2_tokens,
+    "op3_neighbours": queries.op3_neighbours,
     "op4_quality": queries.op4_quality,
     "op5_pieces": queries.op5_pieces,
     "op6_topk": queries.op6_topk,
