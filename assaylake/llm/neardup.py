@@ -2,19 +2,20 @@
 
 Texts with equal shingle sets count as one. Signatures of the different sets come from two permutations, one of them
 circularly shifted; sets that agree in all coordinates of a band share a bucket. A bucket of m sets is not turned into
-m * m pairs: its members are first compared with one of them (exactly, on the full sets), then those that this did not
-link with another of theirs, and only what is then still in different groups is compared member by member.
+m * m pairs: its members are first compared with one of them (exactly, on the full sets), then those that this left
+outside the bucket's main group with a few others, and only what is then still in different groups member by member.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .blocks import NODE_BITS, Block, Blocks, make_blocks
+from .blocks import Block, Blocks, make_blocks
 from .common import stored
 from .graph import components
 from .shingles import band_keys, set_keys, shingle_sets, signatures
@@ -23,7 +24,8 @@ from .shingles import band_keys, set_keys, shingle_sets, signatures
 COORDINATES, BAND = 240, 6
 #: Least similarity, in hundredths.
 SIMILARITY = 80
-_MASK = (1 << NODE_BITS) - 1
+#: With how many others those are compared at a time that the first comparison left outside, and how many times.
+MORE, TURNS = 4, 2
 _OWN = ("node", "local", "n_shingles", "hi", "lo", "bands")
 _DDL = "node long, local long, n_shingles long, hi long, lo long, bands array<long>"
 
@@ -85,14 +87,28 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 
 
 def _groups(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of those buckets that lie in several groups, each with its group."""
+    """The members of those buckets that lie in several groups, each with its group and the bucket's main one."""
     found = components(links).select(F.col("node").alias("of"), "component")
     labelled = members.join(found, F.col("node") == F.col("of"), "left").select(
         "key", "node", "n", F.coalesce("component", "node").alias("component")
     )
-    several = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                          F.min(F.struct("node", "component")).alias("lead")).where("low <> high")
-    return stored(labelled.join(several, "key").select("key", "node", "n", "component", F.col("lead.component").alias("main")), "groups")
+    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("m"))
+    several = sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max(F.struct("m", "component")).alias("largest"))
+    several = several.where("groups > 1").select("key", F.col("largest.component").alias("main"))
+    return stored(labelled.join(several, "key"), "groups")
+
+
+def _more_pairs(grouped: DataFrame, turn: int) -> DataFrame:
+    """Each member outside its bucket's main group with some of that group, and with one outside; other ones each turn."""
+    outside, hubs = F.col("component") != F.col("main"), []
+    for i in range(MORE):
+        drawn = F.struct(F.xxhash64("node", F.lit(MORE * turn + i)).alias("h"), "node", "n", "component")
+        hubs.append(F.min(F.when(outside if i == 0 else ~outside, drawn)).alias(f"hub{i}"))
+    chosen = grouped.groupBy("key").agg(*hubs)
+    left = grouped.where(outside).join(chosen, "key").select("node", "n", "component", F.explode(F.array(*(f"hub{i}" for i in range(MORE)))).alias("hub"))
+    a, b = F.struct("hub.node", "hub.n"), F.struct("node", "n")
+    pairs = left.where("hub IS NOT NULL AND hub.component <> component").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    return pairs.distinct().select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
 
 
 def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFrame:
@@ -101,11 +117,11 @@ def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFram
     buckets = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = stored(members.join(buckets, "key"), "members")
     links = _verified(blocks, _first_pairs(members), k, similarity)
-    # Those that the first comparison left outside their bucket's main group: one of them against the others.
     grouped = _groups(members, links)
-    links = stored(links.union(_verified(blocks, _first_pairs(grouped.where("component <> main").select("key", "node", "n")), k, similarity)), "links")
+    for turn in range(TURNS):
+        links = stored(links.union(_verified(blocks, _more_pairs(grouped, turn), k, similarity)), "links")
+        grouped = _groups(grouped.drop("component", "main"), links)
     # What is still apart: members outside the main group with all members of other groups.
-    grouped = _groups(members, links)
     a = grouped.where("component <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     b = grouped.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "main")
     fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
@@ -113,7 +129,16 @@ def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFram
     return stored(links.union(_verified(blocks, rest.select("a", "b", "n_a", "n_b").distinct(), k, similarity)), "links")
 
 
-def _grouped(documents: DataFrame, text: str, k: int, similarity: int, coordinates: int, band: int) -> tuple[Blocks, DataFrame]:
+@dataclass(frozen=True)
+class _Grouped:
+    blocks: Blocks
+    #: One row per document: its columns, ``node``, ``n_shingles`` and ``local``, the first node of its block with its set.
+    rows: DataFrame
+    #: ``local`` and ``component``; documents without shingles have no row.
+    groups: DataFrame
+
+
+def _grouped(documents: DataFrame, text: str, k: int, similarity: int, coordinates: int, band: int) -> _Grouped:
     kept = [c for c in documents.columns if c not in (*_OWN, text)]
     slim = documents.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`"))
     blocks = make_blocks(slim, text)
@@ -125,8 +150,14 @@ def _grouped(documents: DataFrame, text: str, k: int, similarity: int, coordinat
     sets = stored(leading.join(same.where("node = set").select("node"), "node", "left_semi").select("node", "n", "bands"), "sets")
     found = components(_links(blocks, sets, k, similarity)).select(F.col("node").alias("set"), "component")
     groups = same.join(found, "set", "left").select(F.col("node").alias("local"), F.coalesce("component", "set").alias("component"))
-    rows = rows.drop("hi", "lo", "bands").join(groups, "local", "left").drop("local")
-    return blocks, stored(rows.withColumn("component", F.coalesce("component", "node")), "grouped")
+    return _Grouped(blocks, rows.drop("hi", "lo", "bands"), stored(groups, "groups"))
+
+
+def _least(of: _Grouped, what: Column) -> DataFrame:
+    """The least ``what`` of each group, per leading node: rows of equal sets are reduced within their block first."""
+    own = of.rows.groupBy("local").agg(F.min(what).alias("least"))
+    groups = of.groups.join(own, "local")
+    return groups.join(groups.groupBy("component").agg(F.min("least").alias("all")), "component").select("local", F.col("all").alias("least"))
 
 
 def near_duplicates(
@@ -141,16 +172,20 @@ def near_duplicates(
     sequence as its only shingle; null, empty and blank texts have none and form groups of their own. Rows with equal
     ids are rows of their own and, with equal texts, one group. A null key counts as larger than all others.
     """
-    _, rows = _grouped(documents, text, k, similarity, coordinates, band)
-    least = rows.groupBy("component").agg(F.min(key).alias("component_id"))
-    return rows.join(least, "component").withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False))).drop("component", "node")
+    of = _grouped(documents, text, k, similarity, coordinates, band)
+    component = F.coalesce("least", F.col(f"`{key}`"))
+    return of.rows.join(_least(of, F.col(f"`{key}`")), "local", "left").select(
+        *(F.col(f"`{c}`") for c in of.rows.columns if c not in ("node", "local")), component.alias("component_id"),
+        F.coalesce(component == F.col(f"`{key}`"), F.lit(False)).alias("kept"),
+    )
 
 
 def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """``documents`` without near duplicates: of each group the row with the least key stays, whole and unchanged."""
-    blocks, rows = _grouped(documents, text, k, similarity, COORDINATES, BAND)
-    first: Column = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("first")
-    wanted = rows.groupBy("component").agg(first).select(F.col("first.node").alias("node"))
+    of = _grouped(documents, text, k, similarity, COORDINATES, BAND)
+    blocks, key_of = of.blocks, F.col(f"`{key}`")
+    first = _least(of, F.struct(key_of.isNull().alias("none"), key_of.alias("key"), F.col("node")))
+    wanted = first.select(F.col("least.node").alias("node")).distinct().union(of.rows.where("n_shingles = 0").select("node"))
     names = documents.columns
 
     def work(block: Block, places: np.ndarray) -> Iterator[pa.RecordBatch]:

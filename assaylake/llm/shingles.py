@@ -10,7 +10,7 @@ from .blocks import Block, mixed, words
 
 #: Size of the universe that the first permutation deals the shingles to, and over which the second one runs.
 UNIVERSE_BITS = 20
-_CHUNK = 16_384
+_CHUNK = 4_096
 
 
 def shingle_sets(block: Block, k: int) -> tuple[np.ndarray, np.ndarray]:
