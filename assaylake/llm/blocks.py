@@ -31,6 +31,7 @@ BLOCK_BYTES = 4 << 20
 _ROW_BYTES = 32
 #: A document's node is its block's number and, in so many bits, its place in the block.
 NODE_BITS = 20
+_NULLS = "_llm_null"
 _BLOCK = "block long, rows binary, ends binary, text binary"
 _SCHEMA = pa.schema([("block", pa.int64()), ("rows", pa.binary()), ("ends", pa.binary()), ("text", pa.binary())])
 ANSWERS = "block long, part int, answer binary"
@@ -55,13 +56,15 @@ class Block:
     ends: np.ndarray
     #: What each counting pass answered, by part.
     answers: tuple[dict[int, bytes], ...]
+    #: Which texts are null.
+    nulls: np.ndarray
 
     def only(self, places: np.ndarray) -> Block:
         """A block of some of the documents, without their rows."""
         lengths = (self.ends - self.starts)[places]
         ends = np.cumsum(lengths)
         at = np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        return Block(self.number, self.rows.slice(0, 0), self.data[at], ends, ())
+        return Block(self.number, self.rows.slice(0, 0), self.data[at], ends, (), self.nulls[places])
 
     @property
     def nodes(self) -> np.ndarray:
@@ -142,12 +145,14 @@ def _unpacked(row: pa.RecordBatch, n_answers: int) -> Block:
     answers: tuple[dict[int, bytes], ...] = tuple({} for _ in range(n_answers))
     for a in (of["answers"].as_py() or []) if n_answers else []:
         answers[a["ask"]][a["part"]] = a["answer"]
+    rows = pa.ipc.open_stream(unsqueeze(of["rows"].as_py())).read_all()
     return Block(
         of["block"].as_py(),
-        pa.ipc.open_stream(unsqueeze(of["rows"].as_py())).read_all(),
+        rows.drop_columns([_NULLS]),
         np.frombuffer(unsqueeze(of["text"].as_py()), np.uint8),
         np.frombuffer(unsqueeze(of["ends"].as_py()), np.int64),
         answers,
+        rows.column(_NULLS).to_numpy(),
     )
 
 
@@ -174,7 +179,7 @@ def make_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLO
         for batch in batches:
             at = batch.schema.get_field_index(text)
             data, stops = text_parts(batch.column(at))
-            others = batch.select([n for n in batch.schema.names if n != text])
+            others = batch.select([n for n in batch.schema.names if n != text]).append_column(_NULLS, batch.column(at).is_null())
             begin = 0
             while begin < batch.num_rows:
                 base = int(stops[begin - 1]) if begin else 0

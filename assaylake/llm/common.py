@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import scratch_folder
 
 #: Bytes of one Arrow batch that is handed to Python. Texts may be long, so rows alone do not bound a batch.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

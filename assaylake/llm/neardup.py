@@ -26,8 +26,10 @@ COORDINATES, BAND = 240, 6
 SIMILARITY = 80
 #: With how many others those are compared at a time that the first comparison left outside, and how many times.
 MORE, TURNS = 4, 2
-_OWN = ("node", "local", "n_shingles", "hi", "lo", "bands")
-_DDL = "node long, local long, n_shingles long, hi long, lo long, bands array<long>"
+#: The column with what the search knows of a document, and its fields.
+_OWN = "_llm_sets"
+_FIELDS = ("node", "local", "n_shingles", "hi", "lo", "bands")
+_DDL = f"{_OWN} struct<node:long,local:long,n_shingles:long,hi:long,lo:long,bands:array<long>>"
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -50,9 +52,7 @@ def _sets(blocks: Blocks, kept: T.StructType, k: int, coordinates: int, band: in
         offsets = pa.array(np.concatenate(([0], np.cumsum(width))).astype(np.int32), mask=np.append(~leads, False))
         bands = pa.ListArray.from_arrays(offsets, _signed(keys[leads].ravel()))
         columns = (pa.array(nodes), pa.array(nodes[local]), pa.array(n), _signed(hi), _signed(lo), bands)
-        rows = block.rows.combine_chunks()
-        for name, values in zip(_OWN, columns, strict=True):
-            rows = rows.append_column(name, values)
+        rows = block.rows.combine_chunks().append_column(_OWN, pa.StructArray.from_arrays(list(columns), list(_FIELDS)))
         yield from rows.to_batches()
 
     return blocks.each(work, T.StructType([*kept, *T.StructType.fromDDL(_DDL)]))
@@ -132,30 +132,30 @@ def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFram
 @dataclass(frozen=True)
 class _Grouped:
     blocks: Blocks
-    #: One row per document: its columns, ``node``, ``n_shingles`` and ``local``, the first node of its block with its set.
+    #: One row per document: its columns, and a struct with ``node``, ``n_shingles`` and ``local``, the first node of its
+    #: block with an equal set.
     rows: DataFrame
     #: ``local`` and ``component``; documents without shingles have no row.
     groups: DataFrame
 
 
 def _grouped(documents: DataFrame, text: str, k: int, similarity: int, coordinates: int, band: int) -> _Grouped:
-    kept = [c for c in documents.columns if c not in (*_OWN, text)]
-    slim = documents.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`"))
+    slim = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c != text), F.col(f"`{text}`"))
     blocks = make_blocks(slim, text)
     rows = stored(_sets(blocks, slim.drop(text).schema, k, coordinates, band), "rows")
     # Equal sets within a block have one leading node; equal sets of different blocks meet here, one row per block.
-    leading = rows.where("bands IS NOT NULL").select("node", "hi", "lo", F.col("n_shingles").alias("n"), "bands")
+    leading = rows.select(f"{_OWN}.*").where("bands IS NOT NULL").select("node", "hi", "lo", F.col("n_shingles").alias("n"), "bands")
     least = leading.groupBy("hi", "lo").agg(F.min("node").alias("set"))
     same = stored(leading.select("node", "hi", "lo").join(least, ["hi", "lo"]).select("node", "set"), "same")
     sets = stored(leading.join(same.where("node = set").select("node"), "node", "left_semi").select("node", "n", "bands"), "sets")
     found = components(_links(blocks, sets, k, similarity)).select(F.col("node").alias("set"), "component")
     groups = same.join(found, "set", "left").select(F.col("node").alias("local"), F.coalesce("component", "set").alias("component"))
-    return _Grouped(blocks, rows.drop("hi", "lo", "bands"), stored(groups, "groups"))
+    return _Grouped(blocks, rows, stored(groups, "groups"))
 
 
 def _least(of: _Grouped, what: Column) -> DataFrame:
     """The least ``what`` of each group, per leading node: rows of equal sets are reduced within their block first."""
-    own = of.rows.groupBy("local").agg(F.min(what).alias("least"))
+    own = of.rows.groupBy(F.col(f"{_OWN}.local").alias("local")).agg(F.min(what).alias("least"))
     groups = of.groups.join(own, "local")
     return groups.join(groups.groupBy("component").agg(F.min("least").alias("all")), "component").select("local", F.col("all").alias("least"))
 
@@ -173,10 +173,12 @@ def near_duplicates(
     ids are rows of their own and, with equal texts, one group. A null key counts as larger than all others.
     """
     of = _grouped(documents, text, k, similarity, coordinates, band)
-    component = F.coalesce("least", F.col(f"`{key}`"))
-    return of.rows.join(_least(of, F.col(f"`{key}`")), "local", "left").select(
-        *(F.col(f"`{c}`") for c in of.rows.columns if c not in ("node", "local")), component.alias("component_id"),
-        F.coalesce(component == F.col(f"`{key}`"), F.lit(False)).alias("kept"),
+    names = [c for c in documents.columns if c not in (text, "n_shingles", "component_id", "kept")]
+    least = _least(of, F.col(f"`{key}`")).withColumnRenamed("least", "_llm_least")
+    component = F.coalesce("_llm_least", F.col(f"`{key}`"))
+    return of.rows.join(least, F.col(f"{_OWN}.local") == least["local"], "left").select(
+        *(of.rows[f"`{c}`"] for c in names), F.col(f"{_OWN}.n_shingles").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(component == of.rows[f"`{key}`"], F.lit(False)).alias("kept"),
     )
 
 
@@ -184,15 +186,15 @@ def keep_one(documents: DataFrame, key: str = "doc_id", text: str = "text", k: i
     """``documents`` without near duplicates: of each group the row with the least key stays, whole and unchanged."""
     of = _grouped(documents, text, k, similarity, COORDINATES, BAND)
     blocks, key_of = of.blocks, F.col(f"`{key}`")
-    first = _least(of, F.struct(key_of.isNull().alias("none"), key_of.alias("key"), F.col("node")))
-    wanted = first.select(F.col("least.node").alias("node")).distinct().union(of.rows.where("n_shingles = 0").select("node"))
+    first = _least(of, F.struct(key_of.isNull().alias("none"), key_of.alias("key"), F.col(f"{_OWN}.node").alias("node")))
+    wanted = first.select(F.col("least.node").alias("node")).distinct().union(of.rows.select(f"{_OWN}.*").where("n_shingles = 0").select("node"))
     names = documents.columns
 
     def work(block: Block, places: np.ndarray) -> Iterator[pa.RecordBatch]:
         part = block.only(places)
-        texts = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(places), [None, pa.py_buffer(np.concatenate(([0], part.ends)).astype(np.int64)), pa.py_buffer(part.data.tobytes())]
-        ).cast(pa.string())
+        raw, ends = part.data.tobytes(), part.ends.tolist()
+        texts = [None if none else raw[a:b].decode() for a, b, none in zip([0, *ends], ends, part.nulls.tolist())]
+        texts = pa.array(texts, pa.string())
         rows = block.rows.take(pa.array(places)).append_column(text, texts)
         yield from rows.select(names).combine_chunks().to_batches()
 

@@ -24,7 +24,7 @@ from .common import small_batches
 
 MARK = "▁"
 #: Word forms of late whose ids a worker remembers; it also keeps as many earlier ones.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _ID = np.dtype("<u4")
 
 
@@ -203,50 +203,36 @@ def encoder(path: str) -> Encoder:
     return Encoder(Pieces.load(path))
 
 
-def encode_texts(documents: DataFrame, model: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """``documents`` with an array column of the ids of each whole text. A null or empty text has none.
+def encode_texts(documents: DataFrame, model: str, text: str = "text", into: str = "ids", binary: bool = False) -> DataFrame:
+    """``documents`` with the ids of each whole text: an array, or little-endian 32-bit numbers if ``binary``.
 
-    ``model`` is the path of a SentencePiece model. ``into`` replaces a column of that name.
+    ``model`` is the path of a SentencePiece model. A null or empty text has no ids. ``into`` replaces a column of that
+    name.
     """
     small_batches(documents.sparkSession)
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(model)
         for batch in batches:
-            parts = [coder.encode(t or "") for t in batch.to_pylist()]
+            parts = [coder.encode(t.as_py() or "") for t in batch]
+            if binary:
+                yield pa.array(parts, pa.binary())
+                continue
             ends = np.cumsum([0, *map(len, parts)]) // _ID.itemsize
             ids = np.frombuffer(b"".join(parts), _ID).astype(np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
-    return documents.withColumn(into, F.arrow_udf(encode, "array<int>", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
+    kind = "binary" if binary else "array<int>"
+    return documents.withColumn(into, F.arrow_udf(encode, kind, F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`")))
 
 
 def decoded(model: str, ids: str = "ids") -> Column:
-    """The text of an array of ids; empty for null ids."""
+    """The text of the ids that ``encode_texts`` gives, in either form; empty for null ids."""
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = encoder(model).pieces
         for batch in batches:
-            flat, out, at = batch.flatten().to_numpy(zero_copy_only=False).tolist(), [], 0
-            for n in batch.value_lengths().fill_null(0).to_pylist():
-                out.append(pieces.decode(flat[at : at + n]))
-                at += n
-            yield pa.array(out, pa.string())
+            of = (lambda x: np.frombuffer(x.as_py() or b"", _ID)) if pa.types.is_binary(batch.type) else lambda x: x.values.to_numpy() if x.is_valid else []
+            yield pa.array([pieces.decode(np.asarray(of(x)).tolist()) for x in batch], pa.string())
 
     return F.arrow_udf(decode, "string", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{ids}`"))
-
-
-def checksum(ids: str = "ids") -> Column:
-    """crc32 of the ids as little-endian unsigned 32-bit numbers."""
-
-    def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import zlib
-
-        for batch in batches:
-            raw, at, out = batch.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes(), 0, []
-            for n in batch.value_lengths().fill_null(0).to_pylist():
-                out.append(zlib.crc32(raw[at : at + 4 * n]))
-                at += 4 * n
-            yield pa.array(out, pa.int64())
-
-    return F.arrow_udf(crc, "long", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{ids}`"))

@@ -18,7 +18,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
 def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +44,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), model, binary=True)
     return encoded.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), pieces.checksum().alias("ids_crc32"),
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
         F.sha2(pieces.decoded(model), 256).alias("decoded_sha256"),
     )
 

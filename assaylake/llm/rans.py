@@ -128,6 +128,8 @@ def decode(segment: bytes) -> np.ndarray:
         place = np.minimum(at[:, None] + taken - 1, len(stream) - 1)
         state = np.where(short, (state << np.uint64(16)) | stream[place], state)
         at = at + taken[:, -1]
+    if (state != _LOW).any():  # where every lane began to be coded
+        raise ValueError("a segment of token ids is damaged")
     flat = out.reshape(-1)[:n]
     if has_escape:
         ids = np.append(symbols, np.uint32(0))[flat]

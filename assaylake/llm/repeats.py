@@ -182,7 +182,7 @@ def find_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH) -
 
     A byte goes if it lies in a string of ``width`` bytes that starts anywhere else too, in the same document
     or in another; all its occurrences go, and all are judged on the input. Texts are bytes of UTF-8, a null text is
-    empty; texts shorter than ``width`` keep all. A row that occurs twice is a copy of itself, so both lose their
+    empty and keeps null; texts shorter than ``width`` keep all. A row that occurs twice is a copy of itself, so both lose their
     text if it is long enough. Columns named like a result are replaced.
     """
     kept = [c for c in documents.columns if c not in (*RESULT, text)]
@@ -194,14 +194,14 @@ def find_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH) -
     def cut(block: Block) -> Iterator[pa.RecordBatch]:
         gone = _shard(block, width).covered()
         out: dict[str, list] = {name: [] for name in RESULT}
-        for start, end in zip(block.starts.tolist(), block.ends.tolist(), strict=True):
+        for start, end, none in zip(block.starts.tolist(), block.ends.tolist(), block.nulls.tolist(), strict=True):
             mask = gone[start:end]
             edge = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
             out["n_bytes"].append(end - start)
             out["n_removed"].append(int(mask.sum()))
             out["n_spans"].append(len(edge) // 2)
             out["spans"].append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
-            out["kept"].append(block.data[start:end][~mask].tobytes())
+            out["kept"].append(None if none else block.data[start:end][~mask].tobytes())
         rows = block.rows.combine_chunks()
         for name, kind in zip(RESULT, (pa.int64(), pa.int64(), pa.int64(), _SPANS, pa.binary()), strict=True):
             rows = rows.append_column(name, pa.array(out[name], kind))
@@ -215,7 +215,7 @@ def remove_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH)
     """``documents`` with the repeated bytes cut out of the texts. A character that loses a byte goes whole."""
 
     def decoded(parts: pa.Array) -> pa.Array:
-        return pa.array([p.decode("utf-8", "ignore") for p in parts.to_pylist()], pa.string())
+        return pa.array([None if p is None else p.decode("utf-8", "ignore") for p in parts.to_pylist()], pa.string())
 
     found = find_repeats(documents, text, width)
     whole = F.arrow_udf(decoded, "string", F.ArrowUDFType.SCALAR)

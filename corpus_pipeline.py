@@ -40,12 +40,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each text, and whether they decode to it."""
+    """The ids of each text."""
     tune(ensure_shared_folder(spark))
     model = public_tokenizers.path("piece_bpe_32k.model")
     encoded = pieces.encode_texts(docs.select("doc_id", "source", "lang", "text"), model)
-    same = F.coalesce(pieces.decoded(model) == F.translate("text", pieces.MARK, " "), F.col("text").isNull())
-    return encoded.select("doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"), "ids")
+    return encoded.select("doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
 STAGES = [
