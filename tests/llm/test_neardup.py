@@ -66,7 +66,7 @@ def test_one_of_each_group_stays(odd):
     assert kept.columns == odd.columns
     got = kept.collect()
     assert {(r.doc_id, r.text, r.node) for r in got} <= {(r.doc_id, r.text, r.node) for r in odd.collect()}
-    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 12]
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [1, 2, 3, 4, 6, 7, 9, 10, 11, 12]  # 8 shares the passage with 7
     # A null id counts as larger than all others.
     assert not any(r.doc_id is None for r in got)
 
