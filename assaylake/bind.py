@@ -125,18 +125,29 @@ def document_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored rows of one scorer: the first ten embedding values are the class scores."""
-    score = F.transform(F.slice("embedding", 1, N_SCORES), lambda x: x.cast("double"))
+    """Scored rows of one scorer; a class's score is the sum of every tenth value of the whole embedding."""
+    score = _class_scores()
     return _as_predictions(table(spark, sf_dir, "embeddings"), "score", F.lit("all"), score)
 
 
+def _class_scores():
+    """The values at places k, k + 10, ... in millionths, added up: whole numbers, so their order does not matter."""
+    millionths = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1_000_000))
+
+    def of_class(k: int):
+        own = F.filter(millionths, lambda x, at: at % N_SCORES == k)
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda a, x: a + x).cast("double") / 1_000_000
+
+    return F.array(*map(of_class, range(N_SCORES)))
+
+
 def scored_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two scorers, the second with reversed scores, on three splits given by the hash of the row id."""
     digits = F.substring(F.md5(F.col("vec_id").cast("string")), 1, 2)
     split = F.when(digits < SPLIT_CUTS[0], "train").when(digits < SPLIT_CUTS[1], "validation").otherwise("test")
     rows = table(spark, sf_dir, "embeddings")
-    score = F.transform(F.slice("embedding", 1, N_SCORES), lambda x: x.cast("double"))
-    reversed_score = F.transform(F.slice("embedding", 1, N_SCORES), lambda x: -x.cast("double"))
+    score = _class_scores()
+    reversed_score = F.transform(score, lambda x: -x)
     return _as_predictions(rows, "score", split, score).unionByName(
         _as_predictions(rows, "reversed", split, reversed_score)
     )

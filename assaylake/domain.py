@@ -38,7 +38,6 @@ DATA_CATEGORY = "Transcriptome Profiling"
 DATA_TYPE = "Gene Expression Quantification"
 WORKFLOW = "STAR - Counts"
 ACCESS = "open"
-MAX_LISTED_FILES = 20_000
 
 
 def study_projects(prefix: str) -> dict[str, tuple[str, str]]:

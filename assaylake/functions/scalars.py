@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from .. import domain
 
@@ -52,8 +52,14 @@ def class_lookup(
     )
 
 
-def to_number(text: Column | str) -> Column:
-    """Number in a text column, null where the text is no number (NaN counts as none)."""
+def to_number(text: Column | str, kind: T.DataType | None = None) -> Column:
+    """Number in a column, null where there is none (NaN counts as none).
+
+    ``kind`` is the column's type where it is known: a number is then taken as it is, without a look at its text.
+    """
+    if isinstance(kind, T.NumericType):
+        number = _col(text).cast("double")
+        return F.when(~F.isnan(number), number) if isinstance(kind, T.FractionalType) else number
     as_text = _col(text).cast("string")
     return F.when(as_text.rlike(_NUMBER), F.trim(as_text).try_cast("double"))
 

@@ -24,9 +24,9 @@ def score_new(df: DataFrame, model: PipelineModel, features: Sequence[str], r: R
         raise ValueError("no feature of the input is known to the model")
     keys, unlabelled = [r.sample, r.subject], without_indexer(model)
     if any(type(stage).__name__ == "VectorAssembler" for stage in model.stages):
-        matrix = to_matrix(known, features, keys, r)
+        matrix = to_matrix(known, features, keys, r=r)
     else:
-        matrix = to_vectors(known, features, keys, r)
+        matrix = to_vectors(known, features, keys, r=r)
     placed = matrix.withColumn(r.cls, F.lit(domain.UNKNOWN))
     return decode(unlabelled.transform(placed), label_names(model), r)
 

@@ -70,10 +70,10 @@ def train_all(
 ) -> dict[str, PipelineModel]:
     """The named models, fitted on the train rows, which are kept in memory and on disk meanwhile.
 
-    Training passes over the rows many times and is bound by computing, so they are spread over ``parts`` tasks,
-    one per core by default, and not over as few as their size asks for.
+    Training passes over the rows many times and is bound by computing, so they are spread over ``parts`` tasks: by
+    default one per core, or as many as the split has where that is more.
     """
-    parts = parts or split.sparkSession.sparkContext.defaultParallelism
+    parts = parts or max(split.sparkSession.sparkContext.defaultParallelism, split.rdd.getNumPartitions())
     train = take_split(split, "train").repartition(parts, r.sample).persist()
     try:
         return {name: PIPELINES[name](features, r).fit(train) for name in names}
@@ -91,8 +91,9 @@ def known_classes(df: DataFrame, model: PipelineModel, r: Roles = DEFAULT) -> Da
 
 
 def unknown_classes(df: DataFrame, model: PipelineModel, r: Roles = DEFAULT) -> DataFrame:
-    """Rows per class the model has not seen; they cannot be scored."""
-    return df.filter(~F.col(r.cls).isin(label_names(model))).groupBy(r.cls).agg(F.count("*").alias("n"))
+    """Rows per class and split that the model has not seen a class of; they cannot be scored. A null class is one."""
+    unseen = ~F.coalesce(F.col(r.cls).isin(label_names(model)), F.lit(False))
+    return df.filter(unseen).groupBy(r.cls, "split").agg(F.count("*").alias("n"))
 
 
 def predict(model: PipelineModel, name: str, split: DataFrame, r: Roles = DEFAULT) -> DataFrame:

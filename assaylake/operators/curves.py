@@ -34,7 +34,7 @@ def ranked_scores(
     tied = per_class.groupBy(*by, "k", "score").agg(
         F.count_if(positive).alias("p"), F.count_if(~positive).alias("q")
     )
-    return running_totals(tied, [*by, "k"], ["score"], ["p", "q"], descending=True, buckets=buckets)
+    return running_totals(tied, [*by, "k"], ["score"], ["p", "q"], descending=True, buckets=buckets, few_groups=True)
 
 
 def rank_metrics_by_class(

@@ -35,7 +35,7 @@ def class_feed(counts: DataFrame, n: int | None = None, r: Roles = DEFAULT) -> D
 def model_feed(metrics: DataFrame, splits: Sequence[str] | None = HELD_OUT, metric: str = "f1_macro") -> DataFrame:
     """One score by model and split, of the held-out splits or (None) of all."""
     rows = metrics if splits is None else metrics.filter(F.lower("split").isin(*splits))
-    return rows.select("modelo", "split", to_number(metric).alias(metric)).orderBy("modelo", "split")
+    return rows.select("modelo", "split", to_number(metric, rows.schema[metric].dataType).alias(metric)).orderBy("modelo", "split")
 
 
 def accuracy_feed(metrics: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ def to_matrix(
     long: DataFrame,
     features: Sequence[str],
     keys: Sequence[str] | None = None,
+    *,
     unique: bool = False,
     r: Roles = DEFAULT,
 ) -> DataFrame:
@@ -28,7 +29,7 @@ def to_matrix(
     Meant for up to a few thousand features, see ``to_vectors`` beyond.
     """
     keys = list(keys) if keys is not None else [r.sample, r.subject, r.cls]
-    features = list(features)
+    features = _different(features)
     cells = long.filter(F.col(r.feature).isin(features)).select(*keys, r.feature, r.value)
     if not unique:
         cells = cells.groupBy(*keys, r.feature).agg(F.avg(r.value).alias(r.value))
@@ -36,10 +37,18 @@ def to_matrix(
     return together.groupBy(*keys).pivot(r.feature, features).agg(F.avg(r.value)).fillna(0.0, features)
 
 
+def _different(features: Sequence[str]) -> list[str]:
+    features = list(features)
+    if len(set(features)) < len(features):
+        raise ValueError("a feature is listed more than once")
+    return features
+
+
 def to_vectors(
     long: DataFrame,
     features: Sequence[str],
     keys: Sequence[str] | None = None,
+    *,
     unique: bool = False,
     block: int = 256,
     r: Roles = DEFAULT,
@@ -51,7 +60,7 @@ def to_vectors(
     As in ``to_matrix`` a sample's cells meet once, and repeated ones are averaged before unless ``unique``.
     """
     keys = list(keys) if keys is not None else [r.sample, r.subject, r.cls]
-    features = list(features)
+    features = _different(features)
     block = min(block, len(features))
     n_blocks = -(-len(features) // block)
     places = [(f, at // block, at % block) for at, f in enumerate(features)]
@@ -87,7 +96,7 @@ def split_subjects(
     """(subject, class, split): each class's subjects in hash order, cut at the given shares.
 
     The order is the MD5 of subject and seed, so a subject keeps its place however the rows are spread. The
-    first two digits of the hash cut a class into 256 even buckets, which rank in parallel.
+    first four digits of the hash cut a class into 65,536 even buckets, which rank in parallel.
     """
     subjects = (
         df.select(r.subject, r.cls)
@@ -96,7 +105,7 @@ def split_subjects(
         .withColumn("one", F.lit(1))
     )
     ranked = running_totals(
-        subjects, [r.cls], ["_hash", r.subject], ["one"], bucket=F.substring("_hash", 1, 2)
+        subjects, [r.cls], ["_hash", r.subject], ["one"], bucket=F.substring("_hash", 1, 4)
     )
     return ranked.select(r.subject, r.cls, split_label(F.col("cum_one") / F.col("all_one"), cuts).alias("split"))
 

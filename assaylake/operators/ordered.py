@@ -6,7 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+#: Halving steps: enough for 2**20 cut points, that is 10**12 rows of a group.
+_MOST_BITS = 20
+#: Buckets of a group at least, and rows of a bucket, about, in a larger group.
+BUCKETS, ROWS = 64, 1_000_000
 
 
 def running_totals(
@@ -17,7 +20,7 @@ def running_totals(
     descending: bool = False,
     bucket: Column | None = None,
     buckets: int = BUCKETS,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Adds ``cum_<c>`` (running total up to and including the row) and ``all_<c>`` (group total) for each sum.
 
@@ -26,8 +29,9 @@ def running_totals(
     the total of the buckets before it, and runs its own window.
 
     ``bucket`` may give the bucket as an expression that rises with the order; otherwise cut points are taken
-    from the group, see ``_place_by_sample``, and ``few_groups`` says whether the groups are few (labels,
-    models, splits), so that the cut points of all groups are small enough to broadcast.
+    from the group, see ``_place_by_sample``; they grow with the group, so that no bucket has much more than
+    ``ROWS`` rows. ``few_groups`` says that the groups are a closed list (labels, models, splits), so that their cut
+    points may be broadcast.
     """
     keys, order = list(keys), list(order)
     if bucket is None:
@@ -52,7 +56,7 @@ def running_totals(
         )
     )
     rows = placed.select(
-        "*", F.lit(1).alias("_row"), *[F.col(c).cast("bigint").alias(f"_add_{c}") for c in sums]
+        "*", F.lit(1).alias("_row"), *[F.col(c).alias(f"_add_{c}") for c in sums]
     )
     within = (
         Window.partitionBy(*keys, "_bucket")
@@ -70,22 +74,19 @@ def _place_by_sample(
 ) -> DataFrame:
     """``df`` with a bucket per row: how many of its group's cut points lie below the order value.
 
-    Cut points are the order values with the lowest hashes: the same sample on every run, however the rows are
-    spread. Beyond few groups they are joined by a shuffle, in which adaptive execution splits the hot groups.
+    Cut points are the order values with the lowest hashes, and one of ``ROWS`` by another hash: the same sample on every
+    run, however the rows are spread, and one that grows with the group. Beyond few groups they are joined by a shuffle, in which adaptive execution splits the hot groups.
     """
     # Rows without weight move no total. The filter also keeps the sums in the plan of the sample, so that the
     # sample and the rows read one and the same shuffle.
     weighty = df.filter(sum((F.col(c) for c in sums), F.lit(0)) > 0)
     lowest = Window.partitionBy(*keys).orderBy(F.xxhash64(order), order)
-    cuts = (
-        weighty.withColumn("_nth", F.row_number().over(lowest))
-        .filter(F.col("_nth") < buckets)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(order)).alias("_cuts"))
-    )
+    few = weighty.withColumn("_nth", F.row_number().over(lowest)).filter(F.col("_nth") < buckets).select(*keys, order)
+    share = weighty.filter(F.pmod(F.xxhash64(order, F.lit("cut")), F.lit(ROWS)) == 0).select(*keys, order)
+    cuts = few.union(share).groupBy(*keys).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
     placed = join_null_safe(df, F.broadcast(cuts) if few_groups else cuts, keys).withColumn("_bucket", F.lit(0))
     # Halving steps over the sorted cut points; a place beyond the array is null and adds nothing.
-    for step in (1 << i for i in reversed(range(buckets.bit_length()))):
+    for step in (1 << i for i in reversed(range(_MOST_BITS))):
         reached = F.get("_cuts", F.col("_bucket") + (step - 1)) < F.col(order)
         placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(reached, step).otherwise(0))
     return placed.drop("_cuts")
@@ -104,7 +105,7 @@ def exact_quantiles(
     value: str,
     quantiles: Mapping[str, float],
     buckets: int = BUCKETS,
-    few_groups: bool = True,
+    few_groups: bool = False,
 ) -> DataFrame:
     """Per group the least value whose share of rows at or below it reaches each quantile; nulls do not count."""
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))

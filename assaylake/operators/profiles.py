@@ -64,7 +64,7 @@ def value_stats(
         F.round(F.max(value), 4).alias("max_log2_tpm"),
     ]
     if exact:
-        ranked = exact_quantiles(long, [r.cls], r.value, _QUARTILES, buckets)
+        ranked = exact_quantiles(long, [r.cls], r.value, _QUARTILES, buckets, few_groups=True)
         quartiles = ranked.select(r.cls, *[F.round(q, 4).alias(q) for q in _QUARTILES])
         stats = join_null_safe(long.groupBy(r.cls).agg(*ends), quartiles, [r.cls])
     else:

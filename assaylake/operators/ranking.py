@@ -40,8 +40,13 @@ def variable_features(long: DataFrame, n: int = 5000, r: Roles = DEFAULT) -> Dat
 
 
 def select_features(variable: DataFrame, n: int = 100, r: Roles = DEFAULT) -> list[str]:
-    """Names of the n most variable features: the column list of the matrix, so it must be known to the driver."""
-    return [row[0] for row in by_variability(variable, n, r).select(r.feature).collect()]
+    """Ids of the n most variable features: the column list of the matrix, so it must be known to the driver.
+
+    A feature that has several names counts once, with its largest SD.
+    """
+    once = variable.groupBy(r.feature).agg(F.max("sd_entre_clases").alias("sd_entre_clases"))
+    best = once.orderBy(F.col("sd_entre_clases").desc_nulls_last(), r.feature).limit(n)
+    return [row[0] for row in best.collect()]
 
 
 def top_features(long: DataFrame, k: int = 10, r: Roles = DEFAULT) -> DataFrame:

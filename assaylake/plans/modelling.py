@@ -24,6 +24,8 @@ class Comparison:
     predictions: DataFrame
     labels: list[str]
     metrics: DataFrame
+    #: Rows per class and split that no model could score, as training had none of the class.
+    unknown: DataFrame
 
     @property
     def best_name(self) -> str:
@@ -45,16 +47,20 @@ def compare_models(
     """Train the named models on the most variable features and score all of them on all splits.
 
     ``long`` is taken to have one row per sample and feature, as the trusted table has; say so if it has more.
-    ``variable`` is the stored table of variable features, which saves the pass that computes it.
+    ``variable`` is a stored ``ranking.variability``, unrounded and uncut, which saves the pass that computes it; one
+    with fewer features than asked for is an error.
 
     The split matrix and the predictions are cut off from their long lineage: both are read many times.
     """
     features = ranking.select_features(ranking.variability(long, r) if variable is None else variable, n_features, r)
+    if variable is not None and len(features) < n_features:
+        raise ValueError(f"the table of variable features has {len(features)}, {n_features} are asked for")
     split = reliable(matrix.stratified_split(matrix.to_matrix(long, features, unique=unique, r=r), seed, r=r))
     models = training.train_all(split, features, names, r=r)
     labels = training.label_names(next(iter(models.values())))
     predictions = reliable(training.predict_all(models, split, r))
-    return Comparison(features, split, models, predictions, labels, evaluate.metrics_table(predictions, len(labels)))
+    return Comparison(features, split, models, predictions, labels, evaluate.metrics_table(predictions, len(labels)),
+                      training.unknown_classes(split, next(iter(models.values())), r))
 
 
 def best_model_reports(c: Comparison, r: Roles = DEFAULT) -> dict[str, DataFrame]:
@@ -79,6 +85,7 @@ def publish_comparison(
     frames = {
         "refined_ml_matriz": c.split.drop("split"),
         "refined_metricas_modelos_sparkml": c.metrics,
+        "refined_filas_sin_clase_conocida": c.unknown,
         **best_model_reports(c, r),
     }
     for name, frame in frames.items():

@@ -11,7 +11,7 @@ from .. import domain
 from ..operators import prepare
 from ..roles import DEFAULT, Roles
 from ..sinks.tables import publish_path, register_location, write_long
-from ..sources.measurements import list_raw_files, read_measurements, with_file_id
+from ..sources.measurements import RAW_GLOB, list_raw_files, read_measurements, with_file_id
 
 
 @dataclass(frozen=True)
@@ -35,10 +35,11 @@ def build_trusted(
     """Choose the files, write the samples table, then the long table by class, then the feature dictionary.
 
     Every table is read back after it is written, so nothing is computed twice and the checks run on what was
-    stored. Only listed files, which have bytes, can be chosen; the listing opens none of them.
+    stored. Only listed files, which have bytes, can be chosen; the listing opens none of them. Files that lie beside
+    them under other names are not read.
     """
     files = list_raw_files(spark, raw_path, raw_needle, r)
-    measured = with_file_id(read_measurements(spark, raw_path, r=r), r)
+    measured = with_file_id(read_measurements(spark, raw_path, RAW_GLOB, raw_needle, r), r)
     chosen = prepare.chosen_files(
         prepare.clean_measurements(measured, r=r), metadata, classes, needle, present=files, r=r
     )

@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def publish(df: DataFrame, name: str, by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Replace a managed table together with its schema."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    """Replace a managed table together with its schema.
+
+    The rows are written before the table that was there goes: a write that fails leaves it as it was, and ``df`` may
+    read it. Delta replaces a table in one commit; other formats write under another name first.
+    """
+    spark = df.sparkSession
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
-    (writer.partitionBy(*by) if by else writer).saveAsTable(name)
+    writer = writer.partitionBy(*by) if by else writer
+    if fmt == "delta":
+        writer.saveAsTable(name)
+        return
+    staged = f"{name}_{uuid.uuid4().hex}"
+    try:
+        writer.saveAsTable(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not by:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+        return
+    # A renamed table would keep the old places of its partitions. Should this copy fail, the staged table has the rows.
+    spark.table(staged).hint("rebalance", *by).write.format(fmt).partitionBy(*by).saveAsTable(name)
+    spark.sql(f"DROP TABLE {staged}")
 
 
 def write_long(

@@ -2,32 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import domain
 from ..functions import file_id_of
 from ..roles import DEFAULT, Roles
 
+RAW_GLOB = "*.tsv"
 MEASUREMENT_SCHEMA = """gene_id string, gene_name string, gene_type string, unstranded double,
     stranded_first double, stranded_second double, tpm_unstranded double, fpkm_unstranded double,
     fpkm_uq_unstranded double"""
 
 
-def read_measurements(spark: SparkSession, path: str, glob: str | None = None, r: Roles = DEFAULT) -> DataFrame:
+def read_measurements(
+    spark: SparkSession, path: str, glob: str | None = None, needle: str | None = None, r: Roles = DEFAULT
+) -> DataFrame:
     """All files below ``path`` as TSV with the file each row came from; lines starting with # are comments.
 
-    ``glob`` limits the file names where other files lie in between.
+    ``glob`` and ``needle``, which the name contains in any case, limit the files where others lie in between. A file
+    whose header is another one is an error.
     """
     reader = (
         spark.read.schema(MEASUREMENT_SCHEMA)
         .option("sep", "\t")
         .option("header", True)
         .option("comment", "#")
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
     )
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(path).withColumn(r.source, F.col("_metadata.file_path"))
+    rows = reader.csv(path).withColumn(r.source, F.col("_metadata.file_path"))
+    return rows if needle is None else rows.filter(name_contains(r.source, needle))
+
+
+def name_contains(path: str, needle: str) -> Column:
+    """Whether the file name at the end of a path contains ``needle``, in any case."""
+    return F.lower(F.substring_index(path, "/", -1)).contains(needle.lower())
 
 
 def with_file_id(measurements: DataFrame, r: Roles = DEFAULT) -> DataFrame:
@@ -47,12 +58,11 @@ def list_raw_files(spark: SparkSession, path: str, needle: str = domain.RAW_FILE
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.tsv")
+        .option("pathGlobFilter", RAW_GLOB)
         .load(path)
         .select("path", "length")
     )
-    name = F.lower(F.substring_index("path", "/", -1))
-    return listed.filter(name.contains(needle)).withColumn(r.file, file_id_of("path"))
+    return listed.filter(name_contains("path", needle)).withColumn(r.file, file_id_of("path"))
 
 
 def raw_file_summary(files: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:

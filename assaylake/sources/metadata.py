@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import domain
 from ..functions import class_lookup, contains_ci
 from ..roles import DEFAULT, Roles
+from .tables import bind_columns
 
 _HITS = """array<struct<
     file_id: string, file_name: string, file_size: bigint,
@@ -43,9 +44,9 @@ def select_files(
     dtype: str = domain.DATA_TYPE,
     workflow: str = domain.WORKFLOW,
     access: str = domain.ACCESS,
-    limit: int | None = domain.MAX_LISTED_FILES,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Wanted files of a listing frame with one hit per row; at most ``limit`` of them, by file id."""
+    """Wanted files of a listing frame with one hit per row: all of them, or the first ``limit`` by file id."""
     wanted = listing.filter(
         F.exists("cases", lambda case: case["project"]["project_id"].isin(*projects))
         & (F.col("data_category") == category)
@@ -90,8 +91,20 @@ def flatten_metadata(
     )
 
 
+#: Columns without which a row says nothing.
+METADATA_KEYS = ("file_id", "sample_id", "cancer_type")
+
+
 def read_metadata_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METADATA_SCHEMA).option("header", True).csv(path)
+    """Metadata from a headered CSV, bound by header name in any order; further columns are left out.
+
+    A missing column is null, a missing key column an error.
+    """
+    header = spark.read.option("header", True).option("escape", '"').csv(path)
+    missing = [c for c in METADATA_KEYS if c not in header.columns]
+    if missing:
+        raise ValueError(f"missing metadata columns: {', '.join(missing)}")
+    return bind_columns(header, METADATA_SCHEMA)
 
 
 def official_files(

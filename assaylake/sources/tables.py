@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 @dataclass(frozen=True)
@@ -75,12 +75,16 @@ def read_csv_table(spark: SparkSession, path: str, schema: str | None = None) ->
         return spark.createDataFrame([], schema or "struct<>")
     if schema is None:
         return header
-    wanted = spark.createDataFrame([], schema).schema
-    present = set(header.columns)
-    return header.select(
+    return bind_columns(header, schema)
+
+
+def bind_columns(frame: DataFrame, schema: str) -> DataFrame:
+    """The columns of ``schema`` by name, cast to their types; those that ``frame`` lacks are null."""
+    present = set(frame.columns)
+    return frame.select(
         *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in wanted
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in T.StructType.fromDDL(schema)
         ]
     )
 
@@ -140,7 +144,7 @@ def _existing(spark: SparkSession, mode: str, origin: str) -> DataFrame | None:
 
 def _csv_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.option("header", True).csv(path)
+        return spark.read.option("header", True).option("escape", '"').csv(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -66,7 +66,8 @@ def test_unknown_classes_are_set_aside(spark, compared):
     odd = compared.split.limit(1).withColumn("cancer_type", F.lit("Z"))
     mixed = compared.split.unionByName(odd)
     assert training.predict(model, "m", mixed).count() == compared.split.count()
-    assert [tuple(r) for r in training.unknown_classes(mixed, model).collect()] == [("Z", 1)]
+    assert [tuple(r) for r in training.unknown_classes(mixed, model).collect()] == [("Z", odd.first()["split"], 1)]
+    assert compared.unknown.count() == 0
 
 
 def test_store_load_and_score(spark, compared, tmp_path):
