@@ -321,6 +321,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "metadata_json": _with(_HITS, "SELECT * FROM flat"),
         "metadata_csv": _with(_META, "SELECT * FROM meta WHERE lower(sample_type) LIKE '%i%'"),
+        "metadata_csv_reordered": _with(
+            _META,
+            """SELECT * REPLACE (CAST(NULL AS VARCHAR) AS file_name, CAST(NULL AS VARCHAR) AS case_id)
+            FROM meta WHERE lower(sample_type) LIKE '%i%'""",
+        ),
+        "unknown_classes": """
+            SELECT 'rare' AS cancer_type, 'test' AS split, count(*) AS n FROM documents
+            WHERE doc_id < 3 AND regexp_matches(text, '\\p{L}')""",
         "measurement_files": """
             WITH h AS (
               SELECT md5(CAST(l_suppkey AS VARCHAR)) AS h, 'G' || l_linenumber AS gene_id_base,
