@@ -1,6 +1,7 @@
 """Every registered query against its SQL at the smallest scale."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -21,7 +22,9 @@ def db(sf):
 
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"value_stats_approx", "train_compare", "score_new"}
+    # Those of the corpus subpackage have tests of their own, and go with it.
+    plain = {q for q in set(QUERIES) - set(ORACLES) if not re.match(r"op\d+_|pipeline$", q)}
+    assert plain == {"value_stats_approx", "train_compare", "score_new"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
