@@ -3,7 +3,8 @@
 Texts with equal shingle sets count as one. Signatures of the different sets come from two permutations, one of them
 circularly shifted; sets that agree in all coordinates of a band share a bucket. A bucket of m sets is not turned into
 m * m pairs: its members are first compared with one of them (exactly, on the full sets), then those that this left
-outside the bucket's main group with a few others, and only what is then still in different groups member by member.
+outside the bucket's main group with a few others, and only what is then still in different groups member by member. A
+pair is left out where the shingles that a set shares with no other one rule the similarity out.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .blocks import Block, Blocks, make_blocks
+from .blocks import SMALL_BLOCK_BYTES, Block, Blocks, make_blocks
 from .common import stored
 from .graph import components
 from .shingles import band_keys, set_keys, shingle_sets, signatures
@@ -58,26 +59,44 @@ def _sets(blocks: Blocks, kept: T.StructType, k: int, coordinates: int, band: in
     return blocks.each(work, T.StructType([*kept, *T.StructType.fromDDL(_DDL)]))
 
 
-def _verified(blocks: Blocks, pairs: DataFrame, k: int, similarity: int) -> DataFrame:
-    """The pairs (``a``, ``b`` with sizes ``n_a``, ``n_b``) whose full sets are similar enough, stored."""
-    high, low = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
-    pairs = stored(pairs.where(100 * low >= similarity * high), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _full_sets(blocks: Blocks, nodes: DataFrame, k: int) -> DataFrame:
+    """``node`` and ``shingles``, the full set, of some nodes."""
 
     def work(block: Block, places: np.ndarray) -> Iterator[pa.RecordBatch]:
         value, of = shingle_sets(block.only(places), k)
         ends = np.cumsum(np.bincount(of, minlength=len(places)))
         offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
-        sets = pa.ListArray.from_arrays(offsets, _signed(value))
-        yield pa.RecordBatch.from_arrays([pa.array(block.nodes[places]), sets], ["node", "shingles"])
+        yield pa.RecordBatch.from_arrays([pa.array(block.nodes[places]), pa.ListArray.from_arrays(offsets, _signed(value))], ["node", "shingles"])
+
+    return blocks.each_of(work, "node long, shingles array<long>", nodes)
 
-    sets = stored(blocks.each_of(work, "node long, shingles array<long>", wanted), "sets")
+
+def _verified(blocks: Blocks, pairs: DataFrame, k: int, similarity: int) -> DataFrame:
+    """The pairs (``a``, ``b`` with sizes ``n_a``, ``n_b``) whose full sets are similar enough, stored."""
+    high, low = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
+    pairs = stored(pairs.where(100 * low >= similarity * high), "pairs")
+    sets = stored(_full_sets(blocks, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), k), "sets")
     of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = 100 * common >= similarity * (F.col("n_a") + F.col("n_b") - common)
     return stored(pairs.join(of("a"), "a").join(of("b"), "b").where(similar).select("a", "b"), "links")
 
 
+def _shared(blocks: Blocks, grouped: DataFrame, k: int) -> DataFrame:
+    """``grouped`` with ``shared``: how many of a set's shingles any other of these sets has."""
+    sets = _full_sets(blocks, grouped.select("node").distinct(), k)
+    alone = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("m"), F.min("node").alias("of")).where("m = 1")
+    alone = alone.groupBy("of").agg(F.count("*").alias("alone"))
+    counted = grouped.join(alone, F.col("node") == F.col("of"), "left")
+    return stored(counted.withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("of", "alone"), "shared")
+
+
+def _can_link(a: str, b: str, similarity: int) -> Column:
+    """Whether two sets may be similar enough: the smaller number of shared shingles bounds what they have in common."""
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return (100 + similarity) * F.least(f"{a}.shared", f"{b}.shared") >= similarity * both
+
+
 def _first_pairs(members: DataFrame) -> DataFrame:
     """Each bucket's least member with each other one; a pair that several buckets have comes once."""
     leads = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
@@ -88,27 +107,34 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 
 def _groups(members: DataFrame, links: DataFrame) -> DataFrame:
     """The members of those buckets that lie in several groups, each with its group and the bucket's main one."""
-    found = components(links).select(F.col("node").alias("of"), "component")
-    labelled = members.join(found, F.col("node") == F.col("of"), "left").select(
-        "key", "node", "n", F.coalesce("component", "node").alias("component")
-    )
+    found = components(links).select(F.col("node").alias("of"), F.col("component").alias("found"))
+    labelled = members.join(found, F.col("node") == F.col("of"), "left").select(*members.columns, F.coalesce("found", "node").alias("component"))
     sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("m"))
     several = sizes.groupBy("key").agg(F.count("*").alias("groups"), F.max(F.struct("m", "component")).alias("largest"))
     several = several.where("groups > 1").select("key", F.col("largest.component").alias("main"))
     return stored(labelled.join(several, "key"), "groups")
 
 
-def _more_pairs(grouped: DataFrame, turn: int) -> DataFrame:
+_SIDE = ("node", "n", "shared", "component")
+
+
+def _ordered_pairs(sides: DataFrame) -> DataFrame:
+    """Different pairs of ``x`` and ``y``, the smaller node first."""
+    a, b = F.struct("x.node", "x.n"), F.struct("y.node", "y.n")
+    pairs = sides.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+
+
+def _more_pairs(grouped: DataFrame, turn: int, similarity: int) -> DataFrame:
     """Each member outside its bucket's main group with some of that group, and with one outside; other ones each turn."""
     outside, hubs = F.col("component") != F.col("main"), []
     for i in range(MORE):
-        drawn = F.struct(F.xxhash64("node", F.lit(MORE * turn + i)).alias("h"), "node", "n", "component")
+        drawn = F.struct(F.xxhash64("node", F.lit(MORE * turn + i)).alias("h"), *_SIDE)
         hubs.append(F.min(F.when(outside if i == 0 else ~outside, drawn)).alias(f"hub{i}"))
     chosen = grouped.groupBy("key").agg(*hubs)
-    left = grouped.where(outside).join(chosen, "key").select("node", "n", "component", F.explode(F.array(*(f"hub{i}" for i in range(MORE)))).alias("hub"))
-    a, b = F.struct("hub.node", "hub.n"), F.struct("node", "n")
-    pairs = left.where("hub IS NOT NULL AND hub.component <> component").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    return pairs.distinct().select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+    hub = F.explode(F.array(*(f"hub{i}" for i in range(MORE)))).alias("y")
+    sides = grouped.where(outside).join(chosen, "key").select(F.struct(*_SIDE).alias("x"), hub)
+    return _ordered_pairs(sides.where(F.col("y").isNotNull() & (F.col("x.component") != F.col("y.component")) & _can_link("x", "y", similarity)))
 
 
 def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFrame:
@@ -117,16 +143,16 @@ def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFram
     buckets = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     members = stored(members.join(buckets, "key"), "members")
     links = _verified(blocks, _first_pairs(members), k, similarity)
-    grouped = _groups(members, links)
+    grouped = _shared(blocks, _groups(members, links), k)
     for turn in range(TURNS):
-        links = stored(links.union(_verified(blocks, _more_pairs(grouped, turn), k, similarity)), "links")
+        links = stored(links.union(_verified(blocks, _more_pairs(grouped, turn, similarity), k, similarity)), "links")
         grouped = _groups(grouped.drop("component", "main"), links)
-    # What is still apart: members outside the main group with all members of other groups.
-    a = grouped.where("component <> main").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    b = grouped.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "main")
-    fits = 100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
-    rest = a.join(b, "key").where(fits & (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b"))))
-    return stored(links.union(_verified(blocks, rest.select("a", "b", "n_a", "n_b").distinct(), k, similarity)), "links")
+    # What is still apart: members outside the main group with all members of other groups that they may be linked with.
+    x = grouped.where("component <> main").select("key", F.struct(*_SIDE).alias("x"))
+    y = grouped.select("key", F.struct(*_SIDE, "main").alias("y"))
+    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    rest = x.join(y, (x["key"] == y["key"]) & (F.col("x.component") != F.col("y.component")) & once & _can_link("x", "y", similarity))
+    return stored(links.union(_verified(blocks, _ordered_pairs(rest), k, similarity)), "links")
 
 
 @dataclass(frozen=True)
@@ -141,7 +167,7 @@ class _Grouped:
 
 def _grouped(documents: DataFrame, text: str, k: int, similarity: int, coordinates: int, band: int) -> _Grouped:
     slim = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c != text), F.col(f"`{text}`"))
-    blocks = make_blocks(slim, text)
+    blocks = make_blocks(slim, text, SMALL_BLOCK_BYTES)
     rows = stored(_sets(blocks, slim.drop(text).schema, k, coordinates, band), "rows")
     # Equal sets within a block have one leading node; equal sets of different blocks meet here, one row per block.
     leading = rows.select(f"{_OWN}.*").where("bands IS NOT NULL").select("node", "hi", "lo", F.col("n_shingles").alias("n"), "bands")
