@@ -23,10 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import scratch_folder
-from .common import small_batches, stored, text_parts
+from .common import release_memory, small_batches, stored, text_parts
 
 #: Bytes of text after which a block is closed. A longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: For operators that run in one session with others, whose workers hold memory of their own.
+SMALL_BLOCK_BYTES = 2 << 20
+#: Bytes of text whose blocks share a bucket, and whose keys share a range of hash values.
+BUCKET_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
 #: What a document counts besides its text, so that very many empty ones fill a block too.
 _ROW_BYTES = 32
 #: A document's node is its block's number and, in so many bits, its place in the block.
@@ -96,6 +100,7 @@ class Blocks:
             for batch in batches:
                 for i in range(batch.num_rows):
                     yield from work(_unpacked(batch.slice(i, 1), n))
+                    release_memory()
 
         return frame.mapInArrow(run, schema)
 
@@ -111,6 +116,7 @@ class Blocks:
                     row = batch.slice(i, 1)
                     places = np.array(row.column("places")[0].as_py(), np.int64)
                     yield from work(_unpacked(row.select(_SCHEMA.names), 0), places)
+                    release_memory()
 
         return self.frame.join(wanted, "block").mapInArrow(run, schema)
 
@@ -196,9 +202,9 @@ def make_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLO
         if rows:
             yield pack(number, rows, texts, ends)
 
-    buckets = max(1, -(-n_bytes // (2 * block_bytes)))
+    buckets = max(1, -(-n_bytes // BUCKET_BYTES))
     frame = bucketed(documents.mapInArrow(run, _BLOCK), "block", buckets)
-    return Blocks(frame, max(8, n_bytes // (4 * block_bytes)))
+    return Blocks(frame, max(8, n_bytes // RANGE_BYTES))
 
 
 def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -241,6 +247,7 @@ def count_keys(requests: DataFrame) -> DataFrame:
         stats = np.array([(sums > 0).sum(), sums.sum(), *((sums == n).sum() for n in (1, 2, 3, 4))], np.int64)
         answers = [_packed(told[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] + [stats.tobytes()]
         blocks = [*group.column("block").to_pylist(), None]
+        release_memory()
         return pa.table([pa.array(blocks, pa.int64()), pa.array([part] * len(blocks), pa.int32()), pa.array(answers, pa.binary())], schema=_ANSWERS)
 
     return stored(requests.groupBy("part").applyInArrow(count, ANSWERS), "answers")

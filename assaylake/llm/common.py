@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,13 @@ def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker is used again, for work that knows nothing of what this one held."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cut off from its lineage, safe against lost executors."""
     spark = df.sparkSession

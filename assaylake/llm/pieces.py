@@ -20,11 +20,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import small_batches
+from .common import release_memory, small_batches
 
 MARK = "▁"
 #: Word forms of late whose ids a worker remembers; it also keeps as many earlier ones.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _ID = np.dtype("<u4")
 
 
@@ -212,8 +212,10 @@ def encode_texts(documents: DataFrame, model: str, text: str = "text", into: str
     small_batches(documents.sparkSession)
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_memory()
         coder = encoder(model)
         for batch in batches:
+            release_memory()
             parts = [coder.encode(t.as_py() or "") for t in batch]
             if binary:
                 yield pa.array(parts, pa.binary())

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .blocks import Block, answered, count_keys, make_blocks, prefix_hashes, span_hashes, tally
+from .blocks import BLOCK_BYTES, SMALL_BLOCK_BYTES, Block, answered, count_keys, make_blocks, prefix_hashes, span_hashes, tally
 
 #: Bytes that a repeated string has at least.
 WIDTH = 400
@@ -176,7 +176,7 @@ RESULT = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 _RESULT_DDL = "n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary"
 
 
-def find_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
+def find_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All columns of ``documents`` but the text, and for each document: ``n_bytes``, ``n_removed``, ``n_spans``,
     ``spans`` (array of start and end in bytes) and ``kept`` (the remaining bytes).
 
@@ -186,7 +186,7 @@ def find_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH) -
     text if it is long enough. Columns named like a result are replaced.
     """
     kept = [c for c in documents.columns if c not in (*RESULT, text)]
-    blocks = make_blocks(documents.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`")), text)
+    blocks = make_blocks(documents.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`")), text, block_bytes)
     answers: list[DataFrame] = []
     for ask in (_ask_phrases, _ask_runs, _ask_spans, _ask_windows):
         answers.append(count_keys(blocks.ask(partial(ask, width=width), *answers)))
@@ -217,6 +217,6 @@ def remove_repeats(documents: DataFrame, text: str = "text", width: int = WIDTH)
     def decoded(parts: pa.Array) -> pa.Array:
         return pa.array([None if p is None else p.decode("utf-8", "ignore") for p in parts.to_pylist()], pa.string())
 
-    found = find_repeats(documents, text, width)
+    found = find_repeats(documents, text, width, SMALL_BLOCK_BYTES)
     whole = F.arrow_udf(decoded, "string", F.ArrowUDFType.SCALAR)
     return found.select(*(whole("kept").alias(c) if c == text else F.col(f"`{c}`") for c in documents.columns))

@@ -40,11 +40,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each text."""
+    """The ids of each text and their number, in place of the text."""
     tune(ensure_shared_folder(spark))
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode_texts(docs.select("doc_id", "source", "lang", "text"), model)
-    return encoded.select("doc_id", "source", "lang", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    encoded = pieces.encode_texts(docs, model).drop("text")
+    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
 STAGES = [

@@ -44,7 +44,7 @@ def test_many_blocks(documents, rows, monkeypatch):
     """The result does not depend on how the documents are dealt to shards."""
     one = rows(_found(repeats.find_repeats(documents, width=200)))
     make = blocks.make_blocks
-    monkeypatch.setattr(repeats, "make_blocks", lambda df, text: make(df.repartition(4), text, block_bytes=20_000))
+    monkeypatch.setattr(repeats, "make_blocks", lambda df, text, _: make(df.repartition(4), text, block_bytes=20_000))
     assert rows(_found(repeats.find_repeats(documents, width=200))) == one
 
 
