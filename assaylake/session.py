@@ -42,7 +42,9 @@ def local_session(cpus: int | str = 8, memory: str = "12g", app: str = "assaylak
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: the context's checkpoint folder, else the one ``spark.checkpoint.dir`` names."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    own = spark.sparkContext.getCheckpointDir()
+    # The context adds a folder named by a UUID to the one that was set; raw files are told by the UUID in their path.
+    folder = own.rsplit("/", 1)[0] if own else spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         raise RuntimeError("no shared folder: set spark.checkpoint.dir, or call sparkContext.setCheckpointDir")
     return folder

@@ -19,15 +19,13 @@ def read_measurements(
 ) -> DataFrame:
     """All files below ``path`` as TSV with the file each row came from; lines starting with # are comments.
 
-    ``glob`` and ``needle``, which the name contains in any case, limit the files where others lie in between. A file
-    whose header is another one is an error.
+    ``glob`` and ``needle``, which the name contains in any case, limit the files where others lie in between.
     """
     reader = (
         spark.read.schema(MEASUREMENT_SCHEMA)
         .option("sep", "\t")
         .option("header", True)
         .option("comment", "#")
-        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
     )
     if glob is not None:
