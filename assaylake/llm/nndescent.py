@@ -2,11 +2,11 @@
 
 A neighbour graph starts from buckets of random hyperplane codes and is refined in rounds: the neighbours of a vector,
 in both directions, are compared with one another, so neighbours of neighbours find each other. Rounds end when they
-bring hardly any new link (cosine at or above the threshold). A list in which the last neighbour is a link is saturated:
-there may be more links than it holds. The groups of such vectors get their lists enlarged to the whole group, which
-is compared in cells of bounded size and counted, not listed; before that, saturated vectors look for links into other
-groups. The links of a sample of vectors, compared with all vectors, tell the recall; if it is too low, the search goes
-on with further codes.
+bring hardly any new link (cosine at or above the threshold). Lists only join vectors to groups, as pairs far down in
+both rankings may stand in no list: linked vectors look for links into other groups until there are none in any bucket,
+and then every group, small or large, is compared as a whole in cells of bounded size and counted, not listed. The links
+of a sample of vectors, compared with all vectors, tell the recall; if it is too low, the search goes on with further
+codes.
 """
 
 from __future__ import annotations
@@ -62,9 +62,9 @@ def _codes(rows: DataFrame, trees: list[int], bits: int) -> DataFrame:
     return rows.select("id", "vector").mapInArrow(run, schema)
 
 
-def _grouped(rows: DataFrame, keys: list[str], n_rows: int, compare: Callable[[pa.Table], Iterator[tuple]], schema: str, arrow: pa.Schema) -> DataFrame:
-    """``compare`` for the rows of each value of ``keys``; many values share a call into Python."""
-    parts = max(1, n_rows // 4096)
+def _grouped(rows: DataFrame, keys: list[str], n_rows: int, compare: Callable[[pa.Table], Iterator[tuple]], schema: str, arrow: pa.Schema, share: int = 4096) -> DataFrame:
+    """``compare`` for the rows of each value of ``keys``; many values share a call into Python, of about ``share`` rows."""
+    parts = max(1, n_rows // share)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(k, "ascending") for k in keys])
@@ -86,12 +86,12 @@ def _best(similar: np.ndarray, ids: np.ndarray, most: int, bar: np.ndarray) -> t
     return np.broadcast_to(ids[:, None], top.shape)[use], ids[top][use], values[use]
 
 
-def _proposals(rows: DataFrame, n: int, trees: list[int], apart: bool = False) -> DataFrame:
-    """Pairs from buckets of equal codes. A bucket of very many vectors is dealt in chunks by a hash. With ``apart``,
-    rows carry a ``group`` and pairs are links between different groups."""
+def _proposals(rows: DataFrame, n: int, trees: list[int], apart: float | None = None) -> DataFrame:
+    """Pairs from buckets of equal codes. A bucket of very many vectors is dealt in chunks by a hash. With ``apart``, a
+    threshold, rows carry a ``group`` and pairs are links between different groups."""
     bits = max(1, int(np.log2(max(n, 2) / BUCKET)))
     coded = _codes(rows, trees, bits)
-    if apart:
+    if apart is not None:
         coded = coded.join(rows.select("id", "group"), "id")
     full = coded.groupBy("tree", "code").agg(F.count("*").alias("m")).where(F.col("m") > CHUNK)
     chunk = F.coalesce(F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("m") / CHUNK)), F.lit(0)).cast("long")
@@ -105,9 +105,9 @@ def _proposals(rows: DataFrame, n: int, trees: list[int], apart: bool = False) -
             own = slice(i, i + 2 * CHUNK)
             similar = units[own] @ units[own].T
             np.fill_diagonal(similar, -np.inf)
-            if apart:
+            if apart is not None:
                 group = table.column("group").to_numpy()[own]
-                similar[(group[:, None] == group[None, :]) | (similar < THRESHOLD)] = -np.inf
+                similar[(group[:, None] == group[None, :]) | (similar < apart)] = -np.inf
             yield _best(similar, ids[own], PROPOSED, np.full(len(ids[own]), -np.inf))
 
     return _grouped(dealt, ["tree", "code", "chunk"], n * len(trees), compare, _PAIRS, _PAIRS_SCHEMA)
@@ -162,45 +162,40 @@ def _graph(rows: DataFrame, n: int, trees: list[int], before: DataFrame | None,
 class Links:
     #: ``id``, ``n_links`` (other vectors linked), ``component`` for each different vector that has a link.
     nodes: DataFrame
-    #: Pairs ``u`` < ``v`` of different vectors; of saturated groups only some.
+    #: Pairs ``u`` < ``v`` of different vectors that hold the groups together; not all links of a group.
     pairs: DataFrame
 
 
 def _linked(rows: DataFrame, n: int, lists: DataFrame, threshold: float, trees: list[int]) -> Links:
-    """Links from neighbour lists, and from whole groups where a list is saturated."""
+    """Groups from neighbour lists and from links between groups; the links within each group are counted from its vectors."""
     both = lists.where(F.col("similarity") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
     both = stored(both, "links")
-    labels = components(both)
-    full = lists.where((F.col("rank") == NEIGHBOURS) & (F.col("similarity") >= threshold)).select(F.col("u").alias("node"))
-    crowded = labels.join(full, "node", "left_semi").select("component").distinct()
-    members = stored(rows.join(labels.join(crowded, "component", "left_semi").withColumnRenamed("node", "id"), "id"), "crowded")
-    bridges = _proposals(members.withColumnRenamed("component", "group"), max(n, 2), trees, apart=True)
-    bridges = stored(bridges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "bridges")
-    if not bridges.isEmpty():
-        both = stored(both.union(bridges).distinct(), "links")
+    while True:
         labels = components(both)
-        crowded = labels.join(full, "node", "left_semi").select("component").distinct()
-        members = stored(rows.join(labels.join(crowded, "component", "left_semi").withColumnRenamed("node", "id"), "id"), "crowded")
-    counted = _cells(members, threshold)
-    copies = rows.select(F.col("id").alias("other"), "copies")
-    directed = both.select(F.col("a").alias("node"), F.col("b").alias("other")).union(both.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    listed = directed.join(members.select(F.col("id").alias("node")), "node", "left_anti").join(copies, "other").groupBy("node").agg(F.sum("copies").alias("n_links"))
-    nodes = listed.union(counted).join(labels, "node").select(F.col("node").alias("id"), "n_links", "component")
+        members = stored(rows.join(labels.withColumnRenamed("node", "id"), "id"), "members")
+        bridges = _proposals(members.withColumnRenamed("component", "group"), max(n, 2), trees, apart=threshold)
+        bridges = stored(bridges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "bridges")
+        if bridges.isEmpty():
+            break
+        both = stored(both.union(bridges).distinct(), "links")
+    nodes = _cells(members, threshold).join(labels, "node").select(F.col("node").alias("id"), "n_links", "component")
     return Links(stored(nodes, "linked"), both.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
 def _cells(members: DataFrame, threshold: float) -> DataFrame:
-    """``node`` and ``n_links`` within its group: every pair of cells of a group is one comparison."""
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
+    """``node`` and ``n_links`` within its group: every pair of cells of a group is one comparison. Small groups share
+    a call into Python."""
+    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"), F.count("*").alias("m"))
+    n_rows = sizes.agg(F.sum(F.col("m") * F.col("cells"))).first()[0] or 0
     cell = F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
     # A vector of cell c takes part in the pairs (c, d) for all d from c on, and in (d, c) for all d before.
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda d: F.struct(F.least("cell", d).alias("low"), F.greatest("cell", d).alias("high"))))
-    dealt = members.join(sizes, "component").withColumn("cell", cell).withColumn("pair", pair).select(
+    dealt = members.join(sizes.drop("m"), "component").withColumn("cell", cell).withColumn("pair", pair).select(
         "component", F.col("pair.low").alias("low"), F.col("pair.high").alias("high"), "cell", "id", "vector", "copies"
     )
     schema = pa.schema([("node", pa.int64()), ("n_links", pa.int64())])
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table: pa.Table) -> Iterator[tuple]:
         ids, units, copies = table.column("id").to_numpy(), _units(table.column("vector")), table.column("copies").to_numpy()
         low, high, cells = table.column("low")[0].as_py(), table.column("high")[0].as_py(), table.column("cell").to_numpy()
         left, right = np.flatnonzero(cells == low), np.flatnonzero(cells == high)
@@ -211,9 +206,9 @@ def _cells(members: DataFrame, threshold: float) -> DataFrame:
         else:
             nodes = np.concatenate((ids[left], ids[right]))
             counts = np.concatenate((linked @ copies[right], linked.T @ copies[left]))
-        return pa.table([pa.array(nodes), pa.array(counts.astype(np.int64))], schema=schema)
+        yield nodes, counts.astype(np.int64)
 
-    counts = dealt.groupBy("component", "low", "high").applyInArrow(compare, "node long, n_links long")
+    counts = _grouped(dealt, ["component", "low", "high"], n_rows, compare, "node long, n_links long", schema, 2 * CELL)
     return counts.groupBy("node").agg(F.sum("n_links").alias("n_links"))
 
 

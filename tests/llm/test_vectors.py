@@ -59,6 +59,22 @@ def test_groups_larger_than_a_cell(vectors, monkeypatch):
     assert [got[i] for i in range(40)] == [39] * 40
 
 
+def test_small_tight_groups_are_whole(spark):
+    """Groups of 5 to 12 near copies, so that every bucket and meeting offers the same few neighbours."""
+    g = np.random.default_rng(11)
+    m = []
+    for size in (*range(5, 13),) * 5:
+        centre = g.standard_normal(16)
+        m += [centre + 0.05 * g.standard_normal(16) for _ in range(size)]
+    m = np.array([*m, *g.standard_normal((300, 16))])
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in nndescent.near_vectors(table).collect()}
+    assert [got[i] for i in range(len(m))] == linked.sum(1).tolist()
+
+
 def test_recall_on_a_table(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
