@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +24,14 @@ from .graph import components
 from .vectors import matrix, usable
 
 THRESHOLD = 0.9
-#: Neighbours in a list; hyperplane codes of the start; vectors that share a code, about, and are compared at most at once.
+#: Neighbours in a list; hyperplane codes of the start at least; vectors that share a code, about, and are compared at most at once.
 NEIGHBOURS, TREES, BUCKET, CHUNK = 8, 12, 48, 1024
 #: Neighbours that a bucket proposes to a vector.
 PROPOSED = 4
 #: Vectors of a cell, of which all pairs of a group are compared.
 CELL = 512
-#: Vectors of the audit, the recall it asks for, and how often codes are added at most.
-AUDITED, RECALL, AGAIN = 512, 0.97, 2
+#: Vectors of the audit, the recall it asks for, and how often codes are added before a search fails.
+AUDITED, RECALL, AGAIN = 512, 0.97, 8
 _PAIRS = "u long, v long, similarity double"
 _PAIRS_SCHEMA = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("similarity", pa.float64())])
 
@@ -86,11 +87,20 @@ def _best(similar: np.ndarray, ids: np.ndarray, most: int, bar: np.ndarray) -> t
     return np.broadcast_to(ids[:, None], top.shape)[use], ids[top][use], values[use]
 
 
+def _bits(n: int) -> int:
+    return max(1, int(np.log2(max(n, 2) / BUCKET)))
+
+
+def _trees(n: int, threshold: float) -> int:
+    """Codes, the more the longer they are, so that a pair just at the threshold shares one with a probability of ``RECALL``."""
+    same = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** _bits(n)
+    return TREES if same >= 1 else max(TREES, int(np.ceil(np.log(1 - RECALL) / np.log1p(-same))))
+
+
 def _proposals(rows: DataFrame, n: int, trees: list[int], apart: float | None = None) -> DataFrame:
     """Pairs from buckets of equal codes. A bucket of very many vectors is dealt in chunks by a hash. With ``apart``, a
     threshold, rows carry a ``group`` and pairs are links between different groups."""
-    bits = max(1, int(np.log2(max(n, 2) / BUCKET)))
-    coded = _codes(rows, trees, bits)
+    coded = _codes(rows, trees, _bits(n))
     if apart is not None:
         coded = coded.join(rows.select("id", "group"), "id")
     full = coded.groupBy("tree", "code").agg(F.count("*").alias("m")).where(F.col("m") > CHUNK)
@@ -141,18 +151,26 @@ def _refined(rows: DataFrame, lists: DataFrame, n: int, turn: int) -> DataFrame:
     return _grouped(dealt, ["at", "chunk"], 2 * n * NEIGHBOURS, compare, _PAIRS, _PAIRS_SCHEMA)
 
 
+def _progress(lists: DataFrame, threshold: float) -> tuple[int, int]:
+    """Links in all lists, and in those that are not saturated, whose last neighbour is no link."""
+    each = lists.groupBy("u").agg(F.count_if(F.col("similarity") >= threshold).alias("links"))
+    every, still_open = each.agg(F.sum("links"), F.sum(F.when(F.col("links") < NEIGHBOURS, F.col("links")))).first()
+    return every or 0, still_open or 0
+
+
 def _graph(rows: DataFrame, n: int, trees: list[int], before: DataFrame | None, threshold: float) -> DataFrame:
-    """Neighbour lists (``u``, ``v``, ``similarity``, ``rank``), refined until a round brings hardly a new link."""
+    """Neighbour lists (``u``, ``v``, ``similarity``, ``rank``), refined until a round brings hardly a new link. Saturated
+    lists gain none, so new links are measured by the others alone."""
     proposed = _proposals(rows, n, trees)
     if before is not None:
         proposed = proposed.union(before.select("u", "v", "similarity"))
     lists = stored(_lists(proposed), "lists")
-    links = lists.where(F.col("similarity") >= threshold).count()
-    for turn in range(8):
+    links, _ = _progress(lists, threshold)
+    for turn in count():
         better = _refined(rows, lists, n, turn).union(lists.select("u", "v", "similarity"))
         lists = stored(_lists(better), "lists")
-        now = lists.where(F.col("similarity") >= threshold).count()
-        if now - links <= 0.001 * now:
+        now, still_open = _progress(lists, threshold)
+        if now - links <= 0.001 * still_open:
             break
         links = now
     return lists
@@ -166,10 +184,13 @@ class Links:
     pairs: DataFrame
 
 
-def _linked(rows: DataFrame, n: int, lists: DataFrame, threshold: float, trees: list[int]) -> Links:
-    """Groups from neighbour lists and from links between groups; the links within each group are counted from its vectors."""
-    both = lists.where(F.col("similarity") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    both = stored(both, "links")
+def _linked(rows: DataFrame, n: int, lists: DataFrame, threshold: float, trees: list[int], before: Links | None = None) -> Links:
+    """Groups from neighbour lists, from links between groups and from those of an earlier search; the links within each
+    group are counted from its vectors."""
+    both = lists.where(F.col("similarity") >= threshold).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+    if before is not None:
+        both = both.union(before.pairs)
+    both = stored(both.distinct(), "links")
     while True:
         labels = components(both)
         members = stored(rows.join(labels.withColumnRenamed("node", "id"), "id"), "members")
@@ -213,27 +234,31 @@ def _cells(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def audit(rows: DataFrame, nodes: DataFrame, threshold: float, sample: int = AUDITED) -> float:
-    """Of the links that a sample of vectors has with all vectors, the share that was found; 1 without any."""
+    """Of the links that a vector has with all vectors, the share that was found, in the mean over a sample of vectors
+    with links. Vectors with more links than a list holds count apart, and the lesser mean is taken, so that no large
+    group hides losses elsewhere; 1 without any links."""
     chosen = rows.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(sample).select("id", "vector").collect()
     if not chosen:
         return 1.0
     ids = np.array([r.id for r in chosen])
     units = _units(pa.array([r.vector for r in chosen], pa.list_(pa.float64())))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        true = np.zeros(len(ids), np.int64)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        true, others = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for batch in batches:
             if batch.num_rows:
                 linked = _units(batch.column("vector")) @ units.T >= threshold
                 linked &= batch.column("id").to_numpy()[:, None] != ids[None, :]
                 true += (linked * batch.column("copies").to_numpy()[:, None]).sum(0)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true)], ["id", "n_true"])
+                others += linked.sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true), pa.array(others)], ["id", "n_true", "n_others"])
 
     small_batches(rows.sparkSession)
-    true = rows.select("id", "vector", "copies").mapInArrow(count, "id long, n_true long").groupBy("id").agg(F.sum("n_true").alias("n_true"))
-    both = true.join(nodes.select("id", "n_links"), "id", "left").agg(F.sum("n_true"), F.sum(F.least("n_true", F.coalesce("n_links", F.lit(0)))))
-    wanted, found = both.first()
-    return found / wanted if wanted else 1.0
+    true = rows.select("id", "vector", "copies").mapInArrow(compare, "id long, n_true long, n_others long")
+    true = true.groupBy("id").agg(F.sum("n_true").alias("n_true"), F.sum("n_others").alias("n_others")).where("n_true > 0")
+    share = F.least("n_true", F.coalesce("n_links", F.lit(0))) / F.col("n_true")
+    means = true.join(nodes.select("id", "n_links"), "id", "left").groupBy(F.col("n_others") > NEIGHBOURS).agg(F.avg(share).alias("mean"))
+    return min((r["mean"] for r in means.collect()), default=1.0)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -254,14 +279,16 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "v
     numbered = stored(different.withColumn("nth", order).withColumn("id", F.when(F.col("nth") == 1, F.col("first")).otherwise(-F.abs(F.xxhash64("vector")) - 1)), "different")
     rows = numbered.select("id", "vector", "copies")
     n = rows.count()
-    lists, recall = None, 0.0
+    lists, links, recall, width = None, None, 0.0, _trees(n, threshold)
     for again in range(AGAIN + 1):
-        trees = list(range(again * TREES, (again + 1) * TREES))
+        trees = list(range(again * width, (again + 1) * width))
         lists = _graph(rows, n, trees, lists, threshold)
-        links = _linked(rows, n, lists, threshold, trees)
+        links = _linked(rows, n, lists, threshold, trees, links)
         recall = audit(rows, links.nodes, threshold)
         if recall >= RECALL:
             break
+    else:
+        raise RuntimeError(f"the audit finds a recall of {recall:.4f} after {(AGAIN + 1) * width} codes, below {RECALL}")
     firsts = numbered.select("id", "first")
     groups = links.nodes.join(firsts, "id")
     least = groups.groupBy("component").agg(F.min("first").alias("least"))

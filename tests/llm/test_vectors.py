@@ -75,6 +75,34 @@ def test_small_tight_groups_are_whole(spark):
     assert [got[i] for i in range(len(m))] == linked.sum(1).tolist()
 
 
+def test_audit_sees_losses_beside_a_large_group(spark):
+    """All 200 vectors of one group are found whole, and none of 40 pairs."""
+    g = np.random.default_rng(12)
+    m = [g.standard_normal(16)] * 200
+    m = [v + 0.01 * g.standard_normal(16) for v in m]
+    for _ in range(40):
+        centre = g.standard_normal(16)
+        m += [centre, centre + 0.02 * g.standard_normal(16)]
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(m)], "id long, vector array<double>, copies long")
+    nodes = spark.createDataFrame([(i, 199, 0) for i in range(200)], "id long, n_links long, component long")
+    assert nndescent.audit(rows, nodes, 0.9) == 0.0
+
+
+def test_codes_grow_with_the_table():
+    assert nndescent._trees(100, 0.9) == nndescent.TREES
+    for n in (10**5, 10**6, 10**7):
+        same = (1 - np.arccos(0.9) / np.pi) ** nndescent._bits(n)
+        assert 1 - (1 - same) ** nndescent._trees(n, 0.9) >= nndescent.RECALL
+
+
+def test_search_fails_if_the_audit_never_passes(spark, monkeypatch):
+    monkeypatch.setattr(nndescent, "AGAIN", 0)
+    monkeypatch.setattr(nndescent, "audit", lambda *_: 0.5)
+    rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1])], "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError, match="recall"):
+        nndescent.near_vectors(rows)
+
+
 def test_recall_on_a_table(spark):
     sf = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
