@@ -71,15 +71,13 @@ FAMILIES = (
     ("apsl", ("apple public source license",), ("2.0", "1.2", "1.1", "1.0", "")),
 )
 
-# Parts of the Creative Commons names, in short form and in prose.
-CC_PARTS = (
-    ("by-nc-nd", "attribution non commercial no derivatives"),
-    ("by-nc-sa", "attribution non commercial share alike"),
-    ("by-nc", "attribution non commercial"),
-    ("by-nd", "attribution no derivatives"),
-    ("by-sa", "attribution share alike"),
-    ("by", "attribution"),
-)
+# The Creative Commons licenses in short form, and how their parts are spelled in prose, each of whose
+# words may be joined to the next ("ShareAlike", "NoDerivs").
+CC_PARTS = ("by-nc-nd", "by-nc-sa", "by-nc", "by-nd", "by-sa", "by")
+CC_PROSE = {
+    "by": rb"attribution", "nc": rb"non" + _OUT + rb"*commercial", "nd": rb"no" + _OUT + rb"*deriv(?:ative)?s?(?:" + _GAP + rb"works?)?",
+    "sa": rb"share" + _OUT + rb"*alike",
+}
 CC_VERSIONS = ("4.0", "3.0", "2.5", "2.0", "1.0", "")
 
 # Sentences that identify a license text. Label, confidence, words ("..." leaves a gap).
@@ -178,12 +176,14 @@ def rules() -> tuple[Rule, ...]:
             for name in names:
                 add(f"grant:{name}:{version}", full, 90 if version else 70, 0.97 if version else 0.9, name, grant + _words(name) + tail)
                 add(f"name:{name}:{version}", full, 60 if version else 40, 0.8 if version else 0.6, name, _words(name) + tail)
-    for parts, prose in CC_PARTS:
+    further = rb"(?!" + _GAP + rb"(?:and" + _GAP + rb")?(?:" + b"|".join(v for k, v in CC_PROSE.items() if k != "by") + rb")(?!" + _IN + rb"))"
+    for parts in CC_PARTS:
         for version in CC_VERSIONS:
             full = f"cc-{parts}-{version}" if version else f"cc-{parts}"
             tail = _version(version) if version else b""
             short = _words("cc " + parts.replace("-", " "))
-            long_ = _words("creative commons " + prose.replace("non commercial", "noncommercial")) + rb"(?:" + _GAP + rb"international|" + _GAP + rb"license)*"
+            long_ = _GAP.join([_words("creative commons"), *(CC_PROSE[p] for p in parts.split("-"))]) + further
+            long_ += rb"(?:" + _GAP + rb"(?:international|unported|generic|public|licen[cs]e))*"
             add(f"id:{full}", full, 100, 1.0, "spdx", spdx + short + tail)
             add(f"grant:{full}", full, 90 if version else 70, 0.97 if version else 0.9, "cc", grant + short + tail)
             add(f"name:{full}", full, 65 if version else 45, 0.8 if version else 0.6, "cc", short + tail)

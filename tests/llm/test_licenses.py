@@ -58,6 +58,22 @@ def test_signatures(text, labels):
     assert {r.label for _, _, r in licenses.detect(text.lower().encode())} == labels
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa-4.0"),
+        ("Creative Commons Attribution-Share Alike", "cc-by-sa"),
+        ("Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported", "cc-by-nc-sa-3.0"),
+        ("Creative Commons Attribution-Non-Commercial-NoDerivatives 4.0", "cc-by-nc-nd-4.0"),
+        ("Creative Commons Attribution-NoDerivs 3.0", "cc-by-nd-3.0"),
+        ("Creative Commons Attribution-NonCommercial 2.0", "cc-by-nc-2.0"),
+        ("Creative Commons Attribution. No derivation", "cc-by"),
+    ],
+)
+def test_creative_commons_names_in_full(text, label):
+    assert {r.label for _, _, r in licenses.detect(text.lower().encode())} == {label}
+
+
 def test_contained_detections_give_way():
     text = b"licensed under the gnu general public license, version 2.0 and the mit license"
     found = [(r.label, r.priority) for _, _, r in licenses.detect(text)]
