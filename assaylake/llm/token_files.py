@@ -43,6 +43,8 @@ class WordCoder:
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.remembered = remembered
+        # Special tokens are matched as they are written, so a word that is one but for its case must keep its case.
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Words of late, and those before them, which are forgotten next.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -60,10 +62,19 @@ class WordCoder:
             for j, word in enumerate(words[i : i + 256]):
                 self.known[word] = raw[4 * cuts[j] : 4 * cuts[j + 1]]
 
+    def _cased(self, text: bytes) -> bytes:
+        """The text in lower case, where that leaves the ids as they are: in ASCII, beside words with special tokens."""
+        if not text.isascii():
+            return text
+        lower = text.lower()
+        if not any(t in lower for t in self.special):
+            return lower
+        keep = lambda word: any(t in word.lower() for t in self.special)
+        return b" ".join(w if keep(w) else w.lower() for w in text.split())
+
     def encode(self, text: bytes) -> bytes:
         """The ids of a text as little-endian 32-bit numbers."""
-        # Only in ASCII does lower case leave the tokenizer's own normalisation as it is.
-        words = (text.lower() if text.isascii() else text).split()
+        words = self._cased(text).split()
         known = self.known
         fresh = {w for w in words if w not in known}
         if fresh:

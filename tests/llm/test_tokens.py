@@ -51,6 +51,13 @@ def test_words_apart_equal_the_whole(plain, text):
             assert np.frombuffer(coder.encode(text.encode()), "<u4").tolist() == plain(text)
 
 
+@pytest.mark.parametrize(
+    "text", ["a <|ENDOFTEXT|> b", "A <|EndOfText|> <|endoftext|>", "X<|STARTOFTEXT|>Y, <|startoftext|>Z!", "<|ENDOFTEXT|><|endoftext|>..."]
+)
+def test_special_tokens_in_other_case(plain, text):
+    assert np.frombuffer(token_files.WordCoder(PATH).encode(text.encode()), "<u4").tolist() == plain(text)
+
+
 @pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 16_384, 16_385, 70_001])
 def test_codec_round_trip(n):
     ids = np.minimum(np.random.default_rng(n).zipf(1.3, n), 49_000).astype(np.uint32)
