@@ -23,8 +23,10 @@ from .common import as_bytes, small_batches
 
 _IN = rb"[0-9a-z\x80-\xff]"
 _OUT = rb"[^0-9a-z\x80-\xff]"
-#: Between two words of a signature: punctuation, spaces, line breaks and comment marks.
-_GAP = _OUT + rb"{1,12}"
+#: Between two words of a signature: any run of punctuation, spaces, line breaks and comment marks. A word follows, so
+#: nothing is ever given back. The second one holds no end of a sentence.
+_GAP = _OUT + rb"++"
+_INNER = rb"(?:(?![.!?](?:\s|\Z))" + _OUT + rb")++"
 
 # The base phrases and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -138,10 +140,12 @@ def _keywords(phrase: str) -> frozenset[bytes]:
 
 
 def _words(text: str) -> bytes:
-    """A pattern for the words of ``text`` one after another, three dots standing for up to six words."""
-    parts = []
+    """A pattern for the words of ``text`` one after another. Three dots stand for any words up to the end of the sentence
+    and up to six more, as names hold dots; they end where the first word comes again, so that none is read twice."""
+    first, parts = text.split()[0].encode(), []
+    rest = rb"(?:(?!" + re.escape(first) + rb"(?!" + _IN + rb"))" + _IN + rb"++" + _INNER + rb")*?(?:" + _IN + rb"++" + _GAP + rb"){0,6}?"
     for word in text.split():
-        parts.append(rb"(?:" + _IN + rb"+" + _GAP + rb"){0,6}?" if word == "..." else re.escape(word.encode()) + _GAP)
+        parts.append(rest if word == "..." else re.escape(word.encode()) + _GAP)
     pattern = b"".join(parts)
     return pattern[: -len(_GAP)]
 
@@ -154,7 +158,7 @@ def _version(version: str) -> bytes:
     """A version as prose has it: with or without "version", a closing ".0" optional."""
     head, _, tail = version.partition(".")
     digits = re.escape(head.encode()) + (rb"(?:\.0)?" if tail == "0" else rb"\." + re.escape(tail.encode()))
-    return _GAP + rb"(?:version" + _GAP + rb"|v" + _OUT + rb"{0,2})?" + digits + rb"(?![0-9]|\.[0-9])"
+    return _GAP + rb"(?:version" + _GAP + rb"|v" + _OUT + rb"*+)?" + digits + rb"(?![0-9]|\.[0-9])"
 
 
 @cache

@@ -74,6 +74,20 @@ def test_creative_commons_names_in_full(text, label):
     assert {r.label for _, _, r in licenses.detect(text.lower().encode())} == {label}
 
 
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Permission is hereby granted, free of charge,\n" + 16 * " " + "to any person obtaining a copy", "mit"),
+        ("Permission is hereby granted, free of charge, to any person          */\n/*          obtaining a copy", "mit"),
+        ("Licensed under the" + 500 * " " + "Apache License,\n" + 30 * "*" + "\nVersion 2.0", "apache-2.0"),
+        ("Neither the name of The Regents of the University of California nor the names of its contributors may be used", "bsd-3-clause"),
+        ("Neither the name of the copyright holder, Foo Bar Inc. nor the names of its contributors may be used", "bsd-3-clause"),
+    ],
+)
+def test_signatures_over_wide_gaps(text, label):
+    assert {r.label for _, _, r in licenses.detect(text.lower().encode())} == {label}
+
+
 def test_contained_detections_give_way():
     text = b"licensed under the gnu general public license, version 2.0 and the mit license"
     found = [(r.label, r.priority) for _, _, r in licenses.detect(text)]
