@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
-from . import balltree, licenses, lm, mixing, neardup, nndescent, pieces, quality, repeats, token_files
+from . import balltree, licenses, lm, mixing, neardup, nndescent, pieces, quality, repeats, token_files, warc
 from .common import crc_remainder, table
 
 
@@ -75,3 +75,14 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), scratch_folder(spark, "llm-warc")
+    listing = warc.write_archives(pages, f"{folder}/raw", key="page_id", payload="html", uri="url")
+    done = warc.normalise(listing, f"{folder}/archives", warc.find_revisits(listing, "bigint"))
+    read = warc.read_records(warc.read_index(done), payload=False)
+    return read.select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )

@@ -43,3 +43,15 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """
+
+WARC = """
+WITH paid AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+told AS (
+  SELECT *, row_number() OVER same AS nth, first_value(page_id) OVER same AS first_id FROM paid
+  WINDOW same AS (PARTITION BY payload_digest, payload_bytes ORDER BY page_id DESC NULLS LAST))
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN first_id END AS refers_to
+FROM told
+"""
