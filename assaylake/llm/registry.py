@@ -15,6 +15,7 @@ QUERIES = {
     "op8_neardup": queries.op8_neardup,
     "op9_mixing": queries.op9_mixing,
     "op10_lm": queries.op10_lm,
+    "op12_alignment": queries.op12_alignment,
     "op13_warc": queries.op13_warc,
 }
 ORACLE_SQL = {
