@@ -207,10 +207,10 @@ def make_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLO
     return Blocks(frame, max(8, n_bytes // RANGE_BYTES))
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, key: str, buckets: int, compression: str = "none") -> DataFrame:
     """``df`` written to the shared folder in buckets of ``key`` and read back. Its catalog entry does not stay."""
     spark, name = df.sparkSession, f"llm_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").option("path", scratch_folder(spark, "llm-blocks")).option("compression", "none")
+    writer = df.write.format("parquet").option("path", scratch_folder(spark, "llm-blocks")).option("compression", compression)
     writer.bucketBy(buckets, key).saveAsTable(name)
     frame = spark.table(name)
     frame.schema  # resolved, so that it reads the files and not the name

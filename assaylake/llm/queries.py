@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_folder
-from . import align, balltree, licenses, lm, mixing, neardup, nndescent, pieces, quality, repeats, token_files, warc
+from . import align, balltree, licenses, lm, mixing, neardup, nndescent, pieces, quality, repeats, setm, token_files, warc
 from .common import crc_remainder, table
 
 
@@ -92,3 +92,7 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     byte_level, pieces_of = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     aligned = align.align_documents(table(spark, sf_dir, "documents"), byte_level, pieces_of, key="doc_id")
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps", "n_in_groups")
+
+
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm.mine_phrases(table(spark, sf_dir, "documents"), longest=3, least=10, absorbed_pct=50, top=2000)

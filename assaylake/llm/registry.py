@@ -15,11 +15,13 @@ QUERIES = {
     "op8_neardup": queries.op8_neardup,
     "op9_mixing": queries.op9_mixing,
     "op10_lm": queries.op10_lm,
+    "op11_phrases": queries.op11_phrases,
     "op12_alignment": queries.op12_alignment,
     "op13_warc": queries.op13_warc,
 }
 ORACLE_SQL = {
     "op6_topk": sql.TOP_PRODUCTS,
     "op9_mixing": sql.MIXING,
+    "op11_phrases": sql.PHRASES,
     "op13_warc": sql.WARC,
 }

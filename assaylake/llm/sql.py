@@ -55,3 +55,39 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND nth > 1 THEN first_id END AS refers_to
 FROM told
 """
+
+PHRASES = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM texts),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM split GROUP BY lang),
+words AS (SELECT lang, id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM split),
+runs AS (SELECT lang, w, lead(w) OVER next AS w2, lead(w, 2) OVER next AS w3 FROM words WINDOW next AS (PARTITION BY id ORDER BY pos)),
+grams AS (
+  SELECT lang, 1 AS k, w AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL),
+f AS (SELECT lang, k, phrase, count(*) AS c FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, k AS m, phrase, c AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+parted AS (
+  SELECT lang, m, phrase, a, 1 AS k, ws[1] AS head, array_to_string(ws[2:], ' ') AS tail FROM cand
+  UNION ALL SELECT lang, m, phrase, a, 2, array_to_string(ws[1:2], ' '), ws[3] FROM cand WHERE m = 3),
+cuts AS (
+  SELECT c.lang, c.phrase, c.m, c.a, c.k, x.c AS l, y.c AS r, (1000000::HUGEINT * c.a * c.a) // (x.c::HUGEINT * y.c) AS score
+  FROM parted c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cuts) WHERE nth = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[1:2], ' ') AS phrase, a FROM cand WHERE m = 3
+  UNION ALL SELECT lang, array_to_string(ws[2:3], ' '), a FROM cand WHERE m = 3),
+absorbed AS (SELECT lang, phrase, max(a) AS around FROM inside GROUP BY ALL),
+ranked AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, encode(w.phrase)) AS rank,
+         w.phrase, w.a, w.l, w.r, w.score
+  FROM lowest w LEFT JOIN absorbed i ON i.lang = w.lang AND i.phrase = w.phrase
+  WHERE NOT coalesce(100 * i.around >= 50 * w.a, false))
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
