@@ -18,13 +18,15 @@ def to_matrix(
     keys: Sequence[str] | None = None,
     *,
     unique: bool = False,
+    placed: bool = False,
     r: Roles = DEFAULT,
 ) -> DataFrame:
     """One row per sample, one double column per listed feature in the listed order; a missing cell is 0.0.
 
     The cells of a sample are brought together before the pivot. Otherwise every task would ship a full-width
     row for each sample it has one cell of. Repeated cells are averaged before that shuffle, unless the long
-    table is known to be ``unique`` in sample and feature, as the trusted one is.
+    table is known to be ``unique`` in sample and feature, as the trusted one is. A table that is stored by sample is
+    ``placed``: its cells lie together, and nothing is shuffled.
 
     Meant for up to a few thousand features, see ``to_vectors`` beyond.
     """
@@ -33,7 +35,7 @@ def to_matrix(
     cells = long.filter(F.col(r.feature).isin(features)).select(*keys, r.feature, r.value)
     if not unique:
         cells = cells.groupBy(*keys, r.feature).agg(F.avg(r.value).alias(r.value))
-    together = cells.repartition(*keys)
+    together = cells if placed else cells.repartition(*keys)
     return together.groupBy(*keys).pivot(r.feature, features).agg(F.avg(r.value)).fillna(0.0, features)
 
 
@@ -50,6 +52,7 @@ def to_vectors(
     keys: Sequence[str] | None = None,
     *,
     unique: bool = False,
+    placed: bool = False,
     block: int = 256,
     r: Roles = DEFAULT,
 ) -> DataFrame:
@@ -57,7 +60,8 @@ def to_vectors(
 
     Features are numbered and cut into blocks. A pivot over the place within a block makes the dense values of
     one block, and a sample gathers its blocks, so the plan has ``block`` columns for any number of features.
-    As in ``to_matrix`` a sample's cells meet once, and repeated ones are averaged before unless ``unique``.
+    As in ``to_matrix`` a sample's cells meet once, unless they are ``placed``, and repeated ones are averaged before unless
+    ``unique``.
     """
     keys = list(keys) if keys is not None else [r.sample, r.subject, r.cls]
     features = _different(features)
@@ -70,7 +74,7 @@ def to_vectors(
         cells = cells.groupBy(*keys, "_block", "_place").agg(F.avg(r.value).alias(r.value))
     slots = [str(at) for at in range(block)]
     dense = (
-        cells.repartition(*keys)
+        (cells if placed else cells.repartition(*keys))
         .groupBy(*keys, "_block")
         .pivot("_place", list(range(block)))
         .agg(F.avg(r.value))

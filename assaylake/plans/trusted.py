@@ -11,7 +11,7 @@ from .. import domain
 from ..operators import prepare
 from ..roles import DEFAULT, Roles
 from ..sinks.tables import publish_path, register_location, write_long
-from ..sources.measurements import RAW_GLOB, list_raw_files, read_measurements, with_file_id
+from ..sources.measurements import RAW_GLOB, list_raw_files, one_path_per_file, paths_of, read_paths, with_file_id
 
 
 @dataclass(frozen=True)
@@ -30,22 +30,21 @@ def build_trusted(
     needle: str = domain.SAMPLE_TYPE_NEEDLE,
     raw_needle: str = domain.RAW_FILE_NEEDLE,
     fmt: str = "parquet",
+    glob: str = RAW_GLOB,
     r: Roles = DEFAULT,
 ) -> Trusted:
     """Choose the files, write the samples table, then the long table by class, then the feature dictionary.
 
     Every table is read back after it is written, so nothing is computed twice and the checks run on what was
-    stored. Only listed files, which have bytes, can be chosen; the listing opens none of them. Files that lie beside
-    them under other names are not read.
+    stored. Only listed files, which have bytes, can be chosen; the listing opens none of them, and afterwards only the
+    chosen ones are opened. Of several copies of a file one is read.
     """
-    files = list_raw_files(spark, raw_path, raw_needle, r)
-    measured = with_file_id(read_measurements(spark, raw_path, RAW_GLOB, raw_needle, r), r)
-    chosen = prepare.chosen_files(
-        prepare.clean_measurements(measured, r=r), metadata, classes, needle, present=files, r=r
-    )
+    files = one_path_per_file(list_raw_files(spark, raw_path, raw_needle, glob, r), r)
+    chosen = prepare.choose_listed(metadata, files, classes, needle, r=r)
     chosen.write.format(fmt).mode("overwrite").save(f"{out}/samples")
     samples = spark.read.format(fmt).load(f"{out}/samples")
 
+    measured = with_file_id(read_paths(spark, paths_of(files, samples, r), r), r)
     write_long(prepare.trusted_long(measured, samples, r=r), f"{out}/long", [r.cls], [r.feature], fmt)
     long = spark.read.format(fmt).load(f"{out}/long")
     prepare.feature_dictionary(long, r).write.format(fmt).mode("overwrite").save(f"{out}/dictionary")

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..sinks.tables import VERSION_PATTERN
+
 
 @dataclass(frozen=True)
 class TableEntry:
@@ -131,9 +133,10 @@ def table_status(
 
 
 def find_tables(spark: SparkSession, pattern: str, namespace: str | None = None) -> DataFrame:
-    """Catalog tables whose name matches ``pattern`` (* is a wildcard)."""
+    """Catalog tables whose name matches ``pattern`` (* is a wildcard), without the versions behind published ones."""
     within = f" IN {namespace}" if namespace else ""
-    return spark.sql(f"SHOW TABLES{within} LIKE '{pattern}'").select("tableName").orderBy("tableName")
+    found = spark.sql(f"SHOW TABLES{within} LIKE '{pattern}'").select("tableName")
+    return found.filter(~F.col("tableName").rlike(VERSION_PATTERN)).orderBy("tableName")
 
 
 def _existing(spark: SparkSession, mode: str, origin: str) -> DataFrame | None:
