@@ -9,7 +9,7 @@ from ..roles import DEFAULT, Roles
 from .ordered import BUCKETS, exact_quantiles, join_null_safe
 
 # Quartiles of the value distribution.
-_QUARTILES = {"q1_log2_tpm": 0.25, "mediana_log2_tpm": 0.5, "q3_log2_tpm": 0.75}
+QUARTILES = {"q1_log2_tpm": 0.25, "mediana_log2_tpm": 0.5, "q3_log2_tpm": 0.75}
 
 
 def quality(long: DataFrame, r: Roles = DEFAULT) -> DataFrame:
@@ -64,14 +64,14 @@ def value_stats(
         F.round(F.max(value), 4).alias("max_log2_tpm"),
     ]
     if exact:
-        ranked = exact_quantiles(long, [r.cls], r.value, _QUARTILES, buckets, few_groups=True)
-        quartiles = ranked.select(r.cls, *[F.round(q, 4).alias(q) for q in _QUARTILES])
+        ranked = exact_quantiles(long, [r.cls], r.value, QUARTILES, buckets, few_groups=True)
+        quartiles = ranked.select(r.cls, *[F.round(q, 4).alias(q) for q in QUARTILES])
         stats = join_null_safe(long.groupBy(r.cls).agg(*ends), quartiles, [r.cls])
     else:
-        points = F.percentile_approx(value, list(_QUARTILES.values()), accuracy).alias("_points")
+        points = F.percentile_approx(value, list(QUARTILES.values()), accuracy).alias("_points")
         stats = long.groupBy(r.cls).agg(*ends, points)
-        for at, q in enumerate(_QUARTILES):
+        for at, q in enumerate(QUARTILES):
             stats = stats.withColumn(q, F.round(F.get("_points", F.lit(at)), 4))
     return stats.select(
-        r.cls, "n_registros", "media_log2_tpm", "sd_log2_tpm", "min_log2_tpm", *_QUARTILES, "max_log2_tpm"
+        r.cls, "n_registros", "media_log2_tpm", "sd_log2_tpm", "min_log2_tpm", *QUARTILES, "max_log2_tpm"
     ).orderBy(r.cls)

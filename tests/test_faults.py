@@ -82,9 +82,9 @@ def test_publish_over_its_own_source(spark, by):
         with pytest.raises(Exception):
             tables.publish(spark.range(3).select(F.expr("raise_error('no')").alias("id"), F.lit(1).alias("k")), name, by)
         assert spark.table(name).count() == 3
-        assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{name}_")]
+        assert len(tables.versions(spark, name)) == 2
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.unpublish(spark, name)
 
 
 def test_fractional_running_totals(spark):

@@ -18,7 +18,7 @@ def frame(spark):
 def name(spark):
     made = f"t_{uuid.uuid4().hex}"
     yield made
-    spark.sql(f"DROP TABLE IF EXISTS {made}")
+    sinks.unpublish(spark, made)
 
 
 def test_publish_replaces_rows_and_schema(spark, frame, name):
@@ -74,3 +74,56 @@ def test_manifest(spark, rows):
     got = manifest.ingest_manifest(meta, listing)
     assert rows(got) == [("1", "a", "present", "/p1"), ("2", "b", "empty", "/p2"), ("3", "c", "missing", None)]
     assert rows(manifest.manifest_states(got)) == [("empty", 1), ("missing", 1), ("present", 1)]
+
+
+def test_a_failed_write_leaves_the_rows_that_were_there(spark, frame, name, monkeypatch):
+    sinks.publish(frame, name, ["cls"])
+    bad = spark.range(3).select(F.expr("raise_error('no')").alias("id"), F.lit("a").alias("cls"))
+    for by in ((), ("cls",)):
+        with pytest.raises(Exception):
+            sinks.publish(bad, name, by)
+        assert spark.table(name).count() == 31 and len(sinks.versions(spark, name)) == 1
+    # The rows are written, the switch fails: the second write of a partitioned table used to fail here.
+    sql = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **b: (_ for _ in ()).throw(RuntimeError("lost")) if q.startswith("CREATE OR") else sql(self, q, *a, **b))
+    with pytest.raises(RuntimeError):
+        sinks.publish(frame.limit(1), name, ["cls"])
+    monkeypatch.undo()
+    assert spark.table(name).count() == 31 and len(sinks.versions(spark, name)) == 1
+
+
+def test_readers_find_the_table_at_every_moment(spark, frame, name):
+    import threading
+
+    sinks.publish(frame, name, ["cls"])
+    seen, over = [], threading.Event()
+
+    def read():
+        while not over.is_set():
+            try:
+                seen.append(spark.table(name).count())
+            except Exception as error:
+                seen.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for _ in range(4):
+        sinks.publish(frame, name, ["cls"])
+    over.set()
+    reader.join()
+    assert seen and set(seen) == {31}
+    assert len(sinks.versions(spark, name)) == 2
+    sinks.publish(frame, f"{name}_other")
+    try:
+        assert len(sinks.versions(spark, name)) == 2
+        assert [r[0] for r in sources.find_tables(spark, f"{name}*").collect()] == [name, f"{name}_other"]
+    finally:
+        sinks.unpublish(spark, f"{name}_other")
+
+
+def test_a_plain_table_becomes_the_first_version(spark, frame, name):
+    frame.write.saveAsTable(name)
+    sinks.publish(spark.table(name).limit(3), name)
+    assert spark.table(name).count() == 3 and len(sinks.versions(spark, name)) == 2
+    sinks.unpublish(spark, name)
+    assert not spark.catalog.tableExists(name) and sinks.versions(spark, name) == []
