@@ -16,9 +16,9 @@ from assaylake import bind  # noqa: E402
 from assaylake.functions import class_lookup, vector_values  # noqa: E402
 from assaylake.models import scoring, storage, training  # noqa: E402
 from assaylake.operators import (  # noqa: E402
-    checks, counts, curves, evaluate, feeds, intake, matrix, prepare, profiles, ranking,
+    checks, counts, curves, evaluate, feeds, intake, matrix, moments, prepare, profiles, ranking,
 )
-from assaylake.plans import modelling  # noqa: E402
+from assaylake.plans import ingest, modelling, trusted as trusted_plan  # noqa: E402
 from assaylake.roles import DEFAULT as R  # noqa: E402
 from assaylake.session import ensure_shared_folder, reliable, scratch_folder, tune  # noqa: E402
 from assaylake.sinks import exports, manifest, tables as table_sinks  # noqa: E402
@@ -253,15 +253,19 @@ def _metadata_csv_reordered(spark: SparkSession, sf: str) -> DataFrame:
     return listing.official_files(listing.read_metadata_csv(spark, path), bind.CLASSES, bind.NEEDLE)
 
 
-def _measurement_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items as TSV files, one folder per supplier named by a UUID, read back and summed up per file."""
-    path, digits = _scratch(spark), F.md5(F.col("l_suppkey").cast("string"))
-    parts = [F.substring(digits, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+def _uuid_of(key: str):
+    digits = F.md5(F.col(key).cast("string"))
+    return F.concat_ws("-", *[F.substring(digits, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+
+
+def _raw_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as rows of measurement files, one file per supplier, in a folder named by a UUID."""
     unused = [F.lit(1.0).alias(c) for c in ("unstranded", "stranded_first", "stranded_second")]
     unused_too = [F.lit(1.0).alias(c) for c in ("fpkm_unstranded", "fpkm_uq_unstranded")]
     number = F.col("l_linenumber").cast("string")
-    lines = bind.table(spark, sf, "lineitem").select(
-        F.concat_ws("-", *parts).alias("folder"),
+    return bind.table(spark, sf, "lineitem").select(
+        "l_suppkey",
+        _uuid_of("l_suppkey").alias("folder"),
         F.when(number == "7", "N_unmapped").otherwise(F.concat(F.lit("G"), number, F.lit(".1"))).alias("gene_id"),
         F.concat(F.lit("g"), number).alias(R.feature_name),
         F.when(F.col("l_returnflag") == "A", "lncRNA").otherwise("protein_coding").alias(R.feature_type),
@@ -269,8 +273,18 @@ def _measurement_files(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.round(F.col("l_tax") * 100) != 8, F.col("l_extendedprice")).alias(R.measure),
         *unused_too,
     )
-    written = lines.hint("rebalance", "folder").write.partitionBy("folder").option("header", True).option("sep", "\t")
-    written.csv(path)
+
+
+def _write_raw(lines: DataFrame, path: str) -> None:
+    # All rows of a folder in one task, so that each folder gets one file.
+    writer = lines.drop("l_suppkey").repartition("folder").write.mode("append").partitionBy("folder")
+    writer.option("header", True).option("sep", "\t").csv(path)
+
+
+def _measurement_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as TSV files, one folder per supplier named by a UUID, read back and summed up per file."""
+    path = _scratch(spark)
+    _write_raw(_raw_lines(spark, sf), path)
     read = prepare.clean_measurements(raw.with_file_id(raw.read_measurements(spark, path)))
     summed = read.groupBy(R.file, R.feature).agg(
         F.count("*").alias("n"), F.sum(R.measure).alias(R.measure), F.avg(R.value).alias(R.value)
@@ -278,6 +292,61 @@ def _measurement_files(spark: SparkSession, sf: str) -> DataFrame:
     return _r4(summed, R.measure, R.value)
 
 
+def _supplier_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata of the supplier files: every third supplier of a nation, its class, is a file of one sample."""
+    supplier = bind.table(spark, sf, "supplier").join(bind.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    third = (F.col("s_suppkey") % 3).cast("string")
+    sample = F.concat_ws("-", "n_name", third)
+    return supplier.select(
+        _uuid_of("s_suppkey").alias(R.file), F.col("s_name").alias(R.file_name),
+        F.round(F.col("s_acctbal") * 100).cast("bigint").alias(R.file_size), F.concat(F.lit("case-"), F.col("s_name")).alias(R.case),
+        F.concat(F.lit("case-"), sample).alias(R.case_submitter), sample.alias(R.sample), sample.alias(R.sample_submitter),
+        F.lit("Primary Tumor").alias(R.sample_type), F.col("n_name").alias(R.project), F.col("n_name").alias(R.cls),
+        F.lower("n_name").alias(R.cls_name),
+    )
+
+
+def _nations(spark: SparkSession, sf: str) -> list[str]:
+    return [row[0] for row in bind.table(spark, sf, "nation").select("n_name").orderBy("n_name").limit(100).collect()]
+
+
+def _from_files(long: DataFrame) -> DataFrame:
+    return _measured(long.select(*R.sample_columns, *R.feature_columns, R.measure, R.value))
+
+
+def _trusted_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """TSV files and metadata to the stored trusted table in one build."""
+    path = _scratch(spark)
+    _write_raw(_raw_lines(spark, sf), f"{path}/raw")
+    made = trusted_plan.build_trusted(
+        spark, _supplier_metadata(spark, sf), f"{path}/raw", f"{path}/trusted", _nations(spark, sf), raw_needle="part-", glob="*.csv"
+    )
+    return _from_files(made.long)
+
+
+def _ingest_by_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in two increments: the files of some suppliers arrive after the first load."""
+    path, lines, meta = _scratch(spark), _raw_lines(spark, sf), _supplier_metadata(spark, sf)
+    late = F.col("l_suppkey") % 7 == 3
+    for part in (lines.filter(~late), lines.filter(late)):
+        _write_raw(part, f"{path}/raw")
+        made = ingest.ingest(
+            spark, meta, f"{path}/raw", f"{path}/trusted", _nations(spark, sf), raw_needle="part-", glob="*.csv"
+        )
+    return _from_files(made.trusted.long)
+
+
+def _by_sample(spark: SparkSession, sf: str) -> DataFrame:
+    name = f"assaylake_by_sample_{uuid.uuid4().hex}"
+    return table_sinks.write_by_sample(bind.long(spark, sf), name, _scratch(spark))
+
+
+def _matrix_by_sample(spark: SparkSession, sf: str) -> DataFrame:
+    stored = _by_sample(spark, sf)
+    features = _features(stored)
+    return _r4(matrix.to_matrix(stored, features, unique=True, placed=True), *features)
+
+
 def _storage() -> dict[str, Query]:
     return {
         "stored_long": _stored_long,
@@ -289,6 +358,10 @@ def _storage() -> dict[str, Query]:
         "metadata_csv": _metadata_csv,
         "metadata_csv_reordered": _metadata_csv_reordered,
         "measurement_files": _measurement_files,
+        "trusted_from_files": _trusted_from_files,
+        "ingest_by_manifest": _ingest_by_manifest,
+        "detected_by_sample": lambda s, sf: profiles.detected_features(_by_sample(s, sf)),
+        "matrix_by_sample": _matrix_by_sample,
     }
 
 
@@ -347,8 +420,46 @@ def _restricted(spark: SparkSession, sf: str) -> DataFrame:
     return _r4(prepare.restrict_features(long, wanted).select(R.sample, R.feature, R.value), R.value)
 
 
+def _moments(spark: SparkSession, sf: str) -> DataFrame:
+    """Moments stored per project, a part of its own, and merged to classes: what the reports of this kind read."""
+    path = _scratch(spark)
+    by_project = moments.feature_moments(bind.long(spark, sf), [R.project])
+    by_project.write.partitionBy(R.project).parquet(path)
+    return moments.merge_moments(spark.read.parquet(path), [R.cls, R.feature, R.feature_name])
+
+
+def _variable_by_moments(spark: SparkSession, sf: str) -> DataFrame:
+    top = ranking.by_variability(moments.variability_of(_moments(spark, sf)), 5000)
+    return _r4(top, "media_global", "sd_entre_clases", "rango_entre_clases")
+
+
+def _scaler_deviations(spark: SparkSession, sf: str) -> DataFrame:
+    stored = _moments(spark, sf)
+    n_samples = bind.samples(spark, sf).count()
+    return _r4(moments.scaler_deviations(stored, n_samples), "sd")
+
+
+def _sketches(spark: SparkSession, sf: str, long: DataFrame) -> DataFrame:
+    path = _scratch(spark)
+    moments.value_sketches(long).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sketch_rank_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Quartiles of merged sketches against exact ranks: how many rows there are, and whether each is inside the bound."""
+    long = bind.long(spark, sf)
+    found = moments.quantiles_of(_sketches(spark, sf, long), profiles.QUARTILES, [R.cls])
+    errors = moments.rank_errors(long, found, profiles.QUARTILES)
+    return errors.select(R.cls, "quantile", "n", (F.col("rank_error") <= moments.RANK_BOUND).alias("within_bound"))
+
+
 def _distributions() -> dict[str, Query]:
     return {
+        "quality_by_moments": lambda s, sf: moments.quality_of(_moments(s, sf)),
+        "variable_by_moments": _variable_by_moments,
+        "top_by_moments": lambda s, sf: moments.top_features_of(_moments(s, sf)),
+        "scaler_deviations": _scaler_deviations,
+        "sketch_rank_errors": _sketch_rank_errors,
         "quality": lambda s, sf: profiles.quality(bind.long(s, sf)),
         "detected_features": lambda s, sf: profiles.detected_features(bind.long(s, sf)),
         "value_stats": lambda s, sf: profiles.value_stats(bind.long(s, sf), exact=True),
@@ -580,11 +691,17 @@ def _score_new(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _unknown_classes(spark: SparkSession, sf: str) -> DataFrame:
-    """Three documents as the only subject of a class, which so falls to the test split and cannot be scored."""
-    values, rare = bind.document_values(spark, sf), F.col(R.sample).cast("int") < 3
-    values = values.withColumn(R.cls, F.when(rare, "rare").otherwise(F.col(R.cls)))
-    values = reliable(values.withColumn(R.subject, F.when(rare, "rare-0").otherwise(F.col(R.subject))))
-    return modelling.compare_models(values, n_features=15, names=["NaiveBayes"]).unknown
+    """All documents of the first source as the only subject of a class, which so falls to the test split and cannot be
+    scored."""
+    documents = bind.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias(R.sample), "source")
+    first = documents.agg(F.min("source").alias("source"))
+    rare = documents.join(F.broadcast(first), "source").select(R.sample).withColumn("_rare", F.lit(True))
+    values = bind.document_values(spark, sf).join(rare, R.sample, "left")
+    is_rare = F.coalesce("_rare", F.lit(False))
+    values = values.withColumns({
+        R.cls: F.when(is_rare, "rare").otherwise(F.col(R.cls)), R.subject: F.when(is_rare, "rare-0").otherwise(F.col(R.subject)),
+    })
+    return modelling.compare_models(reliable(values.drop("_rare")), n_features=15, names=["NaiveBayes"]).unknown
 
 
 def _models() -> dict[str, Query]:

@@ -242,6 +242,27 @@ manifest AS (
          path AS ruta_local
   FROM meta LEFT JOIN listing USING (file_id))"""
 
+_FROM_FILES = """
+WITH keyed AS (
+  SELECT *, md5(CAST(s_suppkey AS VARCHAR)) AS h, n_name || '-' || (s_suppkey % 3) AS sample FROM supplier
+  JOIN nation ON s_nationkey = n_nationkey),
+files AS (
+  SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12)
+           AS file_id, s_name AS file_name, CAST(round(s_acctbal * 100) AS BIGINT) AS file_size, 'case-' || s_name AS case_id,
+         'case-' || sample AS case_submitter_id, sample AS sample_id, sample AS sample_submitter_id, 'case-' || sample AS patient_id,
+         'Primary Tumor' AS sample_type, n_name AS project_id, n_name AS cancer_type, lower(n_name) AS cancer_name, s_suppkey
+  FROM keyed WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem)),
+chosen AS (
+  SELECT * EXCLUDE (nth) FROM (
+    SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY file_size DESC NULLS LAST, file_id) AS nth FROM files) WHERE nth = 1),
+cells AS (
+  SELECT l_suppkey, 'G' || l_linenumber AS gene_id_base, 'g' || l_linenumber AS gene_name,
+         CASE WHEN round(l_tax * 100) = 8 THEN 0e0 ELSE l_extendedprice END AS v
+  FROM lineitem WHERE l_linenumber <> 7 AND l_returnflag <> 'A')
+SELECT c.* EXCLUDE (s_suppkey), gene_id_base, min(gene_name) AS gene_name, 'protein_coding' AS gene_type,
+       round(avg(v), 8) AS tpm_unstranded, round(avg(log2(v + 1)), 4) AS log2_tpm
+FROM cells JOIN chosen c ON l_suppkey = s_suppkey GROUP BY ALL"""
+
 # Feature columns of the matrix: the 25 brands.
 BRANDS = [f"Brand#{n}" for n in range(1, 26)]
 _MATRIX = ", ".join(
@@ -270,7 +291,7 @@ def oracle_sql() -> dict[str, str]:
     top_f1 = f"""SELECT {_REPORT_COLUMNS} FROM (
         SELECT * FROM report WHERE clase NOT IN ('accuracy', 'macro avg', 'weighted avg')
         ORDER BY f1 DESC, clase LIMIT 10)"""
-    return {
+    found = {
         # raw to trusted
         "flatten_metadata": _with(_HITS, "SELECT * FROM flat"),
         "select_files": _with(
@@ -328,7 +349,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "unknown_classes": """
             SELECT 'rare' AS cancer_type, 'test' AS split, count(*) AS n FROM documents
-            WHERE doc_id < 3 AND regexp_matches(text, '\\p{L}')""",
+            WHERE source = (SELECT min(source) FROM documents) AND regexp_matches(text, '\\p{L}')""",
         "measurement_files": """
             WITH h AS (
               SELECT md5(CAST(l_suppkey AS VARCHAR)) AS h, 'G' || l_linenumber AS gene_id_base,
@@ -338,6 +359,8 @@ def oracle_sql() -> dict[str, str]:
               || substr(h, 21, 12) AS file_id, gene_id_base, count(*) AS n, round(sum(v), 4) AS tpm_unstranded,
               round(avg(log2(v + 1)), 4) AS log2_tpm
             FROM h GROUP BY ALL""",
+        "trusted_from_files": _FROM_FILES,
+        "ingest_by_manifest": _FROM_FILES,
         # counts and checks
         "summary": _with(
             _LONG,
@@ -426,6 +449,18 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY cancer_type""",
         ),
         "value_stats": _with(f"{_LONG},{_STATS}", "SELECT * FROM stats"),
+        "scaler_deviations": _with(
+            f"""{_LONG},
+            cells AS (SELECT gene_id_base, sample_id, avg(log2_tpm) AS v FROM long GROUP BY ALL),
+            grid AS (SELECT f.gene_id_base, coalesce(v, 0e0) AS v FROM (SELECT DISTINCT gene_id_base FROM long) f
+                     CROSS JOIN (SELECT sample_id FROM samples) s LEFT JOIN cells USING (gene_id_base, sample_id))""",
+            "SELECT gene_id_base, round(stddev_samp(v), 4) AS sd FROM grid GROUP BY gene_id_base",
+        ),
+        "sketch_rank_errors": _with(
+            _LONG,
+            """SELECT cancer_type, quantile, count(log2_tpm) AS n, TRUE AS within_bound
+            FROM long, (VALUES ('q1_log2_tpm'), ('mediana_log2_tpm'), ('q3_log2_tpm')) AS q(quantile) GROUP BY ALL""",
+        ),
         "top_features": _with(f"{_LONG},{_TOP}", "SELECT * FROM top"),
         "variable_features": _with(
             f"{_LONG},{_VARIABLE}",
@@ -627,3 +662,9 @@ def oracle_sql() -> dict[str, str]:
               round(rango, 4) AS rango_entre_clases FROM variable ORDER BY round(sd, 4) DESC, gene_id_base LIMIT 20""",
         ),
     }
+    # Another storage, the same report.
+    same = {
+        "detected_by_sample": "detected_features", "matrix_by_sample": "matrix", "quality_by_moments": "quality",
+        "variable_by_moments": "variable_features", "top_by_moments": "top_features",
+    }
+    return found | {query: found[of] for query, of in same.items()}
