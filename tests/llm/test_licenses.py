@@ -48,7 +48,7 @@ def test_odd_rows(odd, empty):
         ("GNU Lesser General Public License v2.1", {"lgpl-2.1"}),
         ("# SPDX-License-Identifier: MPL-2.0", {"mpl-2.0"}),
         ("Licensed under CC BY-NC 4.0.", {"cc-by-nc-4.0"}),
-        ("Creative Commons Attribution ShareAlike", {"cc-by"}),
+        ("Creative Commons Attribution ShareAlike", {"cc-by-sa"}),
         ("Redistribution and use in source and binary forms, with or without modification, are permitted", {"bsd"}),
         ("the committee submitted a permit", set()),
         ("mit Lizenz", set()),
