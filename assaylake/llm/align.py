@@ -91,9 +91,12 @@ def product(a: Rows, b: Rows) -> Rows:
     ends = np.cumsum(of_b)
     n = int(ends[-1]) if len(ends) else 0
     # The entries of b's rows, one after another in the order in which a's entries name them.
-    at = np.arange(n) + np.repeat(b.starts[:-1][a.columns] - (ends - of_b), of_b)
-    row, column = np.repeat(a.row_of, of_b), b.columns[at]
-    value = np.repeat(a.values, of_b).astype(np.int64) * b.values[at]
+    if n == len(of_b) and np.all(of_b == 1):
+        at, row, weight = b.starts[a.columns], a.row_of, a.values
+    else:
+        at = np.arange(n) + np.repeat(b.starts[a.columns] - (ends - of_b), of_b)
+        row, weight = np.repeat(a.row_of, of_b), np.repeat(a.values, of_b)
+    column, value = b.columns[at], weight.astype(np.int64) * b.values[at]
     key = row * np.int64(b.width) + column
     if n and not np.all(key[1:] >= key[:-1]):
         order = np.argsort(key, kind="stable")
@@ -265,17 +268,20 @@ def shared_group_links(found: Aligned) -> Rows:
 
 
 def _decimals(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of numbers, one row each, with room for one character more, and how many each has."""
-    most = len(str(int(ids.max()))) if len(ids) else 1
-    width = np.ones(len(ids), np.int64)
-    for k in range(1, most):
-        width += ids >= 10**k
-    out = np.zeros((len(ids), most + 1), np.uint8)
-    rest, row = ids.copy(), np.arange(len(ids))
+    """The decimal digits of ids, one row each, with room for one character more, and how many each has."""
+    digits, width = _numbers(int(ids.max()).bit_length() if len(ids) else 1)
+    return digits[ids], width[ids]
+
+
+@cache
+def _numbers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of all numbers below 2 ** bits: ids are below the size of a vocabulary."""
+    n, most = np.arange(1 << bits), len(str((1 << bits) - 1))
+    width = np.sum([n >= 10**k for k in range(1, most)], axis=0).astype(np.int64) + 1 if most > 1 else np.ones(len(n), np.int64)
+    out = np.zeros((len(n), most + 1), np.uint8)
     for k in range(most):
         has = width > k
-        out[row[has], (width - 1 - k)[has]] = rest[has] % 10 + ord("0")
-        rest //= 10
+        out[n[has], (width - 1 - k)[has]] = n[has] // 10**k % 10 + ord("0")
     return out, width
 
 
