@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import oracles  # noqa: E402
 from assaylake import bind  # noqa: E402
 from assaylake.functions import class_lookup, vector_values  # noqa: E402
-from assaylake.models import scoring, storage, training  # noqa: E402
+from assaylake.models import bayes, scoring, storage, training  # noqa: E402
 from assaylake.operators import (  # noqa: E402
     checks, counts, curves, evaluate, feeds, intake, matrix, moments, prepare, profiles, ranking,
 )
@@ -682,12 +682,46 @@ def _train_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _score_new(spark: SparkSession, sf: str) -> DataFrame:
-    """Train on the labelled documents, store and load the model, score all documents as if without a label."""
+    """Train on the labelled documents, store and load the model, score all documents as if without a label.
+
+    The probabilities are written as ten-thousandths in label order.
+    """
     values, path = reliable(bind.document_values(spark, sf)), _scratch(spark)
     compared = modelling.compare_models(values, n_features=15, names=["NaiveBayes"])
     storage.save_model(spark, training.pick(compared.models, "NaiveBayes"), path, compared.features)
     uploaded = values.select(R.sample, R.subject, R.feature, F.col(R.value).cast("string").alias(R.value))
-    return scoring.score_new(uploaded, storage.load_model(path), storage.load_features(spark, path))
+    scored = scoring.score_new(uploaded, storage.load_model(path), storage.load_features(spark, path))
+    shown = F.transform("probability_array", lambda p: F.round(p * 10_000).cast("bigint").cast("string"))
+    return _r4(scored, "probabilidad_predicha").withColumn("probability_array", F.array_join(shown, "|"))
+
+
+def _bayes_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Priors and feature shares of the multinomial model as the trained pipeline holds them, one row per class and feature."""
+    compared = modelling.compare_models(reliable(bind.document_values(spark, sf)), n_features=15, names=["NaiveBayes"])
+    found = bayes.model_statistics(training.pick(compared.models, "NaiveBayes"), compared.features, spark)
+    return _r4(found, "log_prior", "log_share")
+
+
+def _bayes_aggregates(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by aggregates over the long table, without the matrix."""
+    values = reliable(bind.document_values(spark, sf))
+    features = ranking.select_features(ranking.variability(values), 15)
+    train = matrix.take_split(matrix.stratified_split(prepare.restrict_features(values, features)), "train")
+    return _r4(bayes.naive_bayes_statistics(train, features), "log_prior", "log_share")
+
+
+def _train_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per model and split, and whether all of them have a probability per class, a sum of 1, and the class of the
+    greatest one as prediction."""
+    compared = modelling.compare_models(reliable(bind.document_values(spark, sf)), n_features=15)
+    p = F.col("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    return compared.predictions.groupBy("modelo", "split").agg(
+        F.count("*").alias("n"),
+        F.every(F.size(p) == len(compared.labels)).alias("one_per_class"),
+        F.every(F.abs(total - 1) < 1e-9).alias("sum_is_one"),
+        F.every(F.element_at(p, F.col("prediction") + 1) == F.array_max(p)).alias("prediction_is_greatest"),
+    )
 
 
 def _unknown_classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -705,4 +739,7 @@ def _unknown_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _models() -> dict[str, Query]:
-    return {"train_compare": _train_compare, "score_new": _score_new, "unknown_classes": _unknown_classes}
+    return {
+        "train_compare": _train_compare, "score_new": _score_new, "unknown_classes": _unknown_classes,
+        "bayes_statistics": _bayes_statistics, "bayes_aggregates": _bayes_aggregates, "train_invariants": _train_invariants,
+    }

@@ -242,6 +242,41 @@ manifest AS (
          path AS ruta_local
   FROM meta LEFT JOIN listing USING (file_id))"""
 
+# Letters of whole documents as features, the 15 most variable ones, the split, and the multinomial model of its train part.
+_LETTERS = """
+letters AS (
+  SELECT doc_id, lang, letter, log2(count(*) + 1) AS v
+  FROM (SELECT doc_id, lang, unnest(string_split(lower(text), '')) AS letter FROM documents)
+  WHERE regexp_matches(letter, '^\\p{L}$') GROUP BY ALL),
+features AS (
+  SELECT letter, row_number() OVER (ORDER BY sd DESC NULLS LAST, code) AS place, code FROM (
+    SELECT letter, 'ch_' || printf('%04X', unicode(letter)) AS code, stddev_samp(m) AS sd
+    FROM (SELECT letter, lang, avg(v) AS m FROM letters GROUP BY ALL) GROUP BY letter)
+  QUALIFY place <= 15),
+cells AS (
+  SELECT doc_id, concat_ws('-', lang, doc_id // 3) AS patient_id, lang AS cancer_type, code, v FROM letters JOIN features USING (letter)),
+subjects AS (SELECT DISTINCT patient_id, cancer_type FROM cells),
+parts AS (
+  SELECT patient_id, cancer_type, CASE WHEN share <= 7e-1 THEN 'train' WHEN share <= 85e-2 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, CAST(row_number() OVER (PARTITION BY cancer_type ORDER BY md5(patient_id || '-42'), patient_id) AS DOUBLE)
+               / count(*) OVER (PARTITION BY cancer_type) AS share FROM subjects)),
+split_cells AS (SELECT * FROM cells JOIN parts USING (patient_id, cancer_type)),
+classes AS (
+  SELECT cancer_type, n, row_number() OVER (ORDER BY n DESC, cancer_type) - 1 AS label,
+         ln((n + 1) / (sum(n) OVER () + count(*) OVER ())) AS log_prior
+  FROM (SELECT cancer_type, count(DISTINCT doc_id) AS n FROM split_cells WHERE split = 'train' GROUP BY ALL)),
+shares AS (
+  SELECT c.cancer_type, c.label, c.log_prior, f.code,
+         ln((coalesce(total, 0e0) + 1) / (sum(coalesce(total, 0e0)) OVER (PARTITION BY c.cancer_type) + 15)) AS log_share
+  FROM classes c CROSS JOIN features f LEFT JOIN (
+    SELECT cancer_type, code, sum(v) AS total FROM split_cells WHERE split = 'train' GROUP BY ALL) USING (cancer_type, code)),
+likely AS (
+  SELECT c.doc_id, c.patient_id, s.label, s.cancer_type AS class, any_value(s.log_prior) + sum(c.v * s.log_share) AS ll
+  FROM cells c JOIN shares s USING (code) GROUP BY ALL),
+posterior AS (
+  SELECT *, exp(ll - max(ll) OVER doc) / sum(exp(ll - top)) OVER doc AS p
+  FROM (SELECT *, max(ll) OVER (PARTITION BY doc_id) AS top FROM likely) WINDOW doc AS (PARTITION BY doc_id))"""
+
 _FROM_FILES = """
 WITH keyed AS (
   SELECT *, md5(CAST(s_suppkey AS VARCHAR)) AS h, n_name || '-' || (s_suppkey % 3) AS sample FROM supplier
@@ -347,6 +382,24 @@ def oracle_sql() -> dict[str, str]:
             """SELECT * REPLACE (CAST(NULL AS VARCHAR) AS file_name, CAST(NULL AS VARCHAR) AS case_id)
             FROM meta WHERE lower(sample_type) LIKE '%i%'""",
         ),
+        "score_new": _with(
+            _LETTERS,
+            """SELECT CAST(doc_id AS VARCHAR) AS sample_id, patient_id, arg_max(class, p) AS cancer_predicho,
+              round(max(p), 4) AS probabilidad_predicha, CAST(arg_max(label, p) AS DOUBLE) AS prediction,
+              string_agg(CAST(CAST(round(p * 10000) AS BIGINT) AS VARCHAR), '|' ORDER BY label) AS probability_array
+            FROM posterior GROUP BY doc_id, patient_id""",
+        ),
+        "bayes_statistics": _with(
+            _LETTERS,
+            """SELECT cancer_type, CAST(label AS INTEGER) AS label, code AS gene_id_base, round(log_prior, 4) AS log_prior,
+              round(log_share, 4) AS log_share FROM shares""",
+        ),
+        "train_invariants": _with(
+            _LETTERS,
+            """SELECT modelo, split, count(DISTINCT doc_id) AS n, TRUE AS one_per_class, TRUE AS sum_is_one,
+              TRUE AS prediction_is_greatest
+            FROM split_cells, (VALUES ('LogisticRegression'), ('RandomForest'), ('NaiveBayes')) AS m(modelo) GROUP BY ALL""",
+        ),
         "unknown_classes": """
             SELECT 'rare' AS cancer_type, 'test' AS split, count(*) AS n FROM documents
             WHERE source = (SELECT min(source) FROM documents) AND regexp_matches(text, '\\p{L}')""",
@@ -666,5 +719,6 @@ def oracle_sql() -> dict[str, str]:
     same = {
         "detected_by_sample": "detected_features", "matrix_by_sample": "matrix", "quality_by_moments": "quality",
         "variable_by_moments": "variable_features", "top_by_moments": "top_features",
+        "bayes_aggregates": "bayes_statistics",
     }
     return found | {query: found[of] for query, of in same.items()}
