@@ -6,6 +6,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -570,6 +571,7 @@ def _evaluation() -> dict[str, Query]:
         "average_precision_ovr": on_scored(curves.average_precision_ovr, "pr_auc_macro_ovr"),
         "rank_metrics_by_class": on_scored(curves.rank_metrics_by_class, "roc_auc", "average_precision", "pr_area"),
         "roc_points": _points(curves.roc_points, "fpr", "tpr"),
+        "roc_corners": _points(partial(curves.roc_points, corners=True), "fpr", "tpr"),
         "pr_points": _points(curves.pr_points, "recall", "precision"),
         "curve_areas": _points(curves.curve_areas, "roc_auc", "pr_auc"),
         "metrics_table": lambda s, sf: _r4(_metrics(s, sf), *_SCORES, *_GAPS),

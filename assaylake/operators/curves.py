@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import decode_label
-from .ordered import BUCKETS, running_totals
+from .ordered import BUCKETS, join_null_safe, running_totals
 
 _BY = ("modelo", "split")
 
@@ -81,14 +81,18 @@ def average_precision_ovr(pred: DataFrame, n_labels: int, by: Sequence[str] = _B
 
 
 def roc_points(
-    pred: DataFrame, labels: Sequence[str], only: DataFrame, by: Sequence[str] = _BY, buckets: int = BUCKETS
+    pred: DataFrame, labels: Sequence[str], only: DataFrame, by: Sequence[str] = _BY, buckets: int = BUCKETS, corners: bool = False
 ) -> DataFrame:
-    """(fpr, tpr) after each distinct score, from (0, 0) on."""
+    """(fpr, tpr) after each distinct score, from (0, 0) on.
+
+    With ``corners`` only the points where the curve turns, and its ends: the same curve, but its rows grow with its turns
+    and not with the scores.
+    """
     point = F.struct(
         (F.col("cum_q") / F.col("all_q")).alias("fpr"), (F.col("cum_p") / F.col("all_p")).alias("tpr")
     )
     start = F.struct(F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return _points(pred, labels, only, by, buckets, start, point)
+    return _points(pred, labels, only, by, buckets, start, point, corners)
 
 
 def pr_points(
@@ -112,13 +116,36 @@ def curve_areas(
     )
 
 
-def _points(pred, labels, only, by, buckets, start, point) -> DataFrame:
+def _corners(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Ranked scores after which the curve turns or ends.
+
+    A score's step ends where the next one's begins, and no two begin at one place: a join finds the next step, also across
+    the ends of buckets, and gives at most one row for each.
+    """
+    keys = [*by, "k", "cum_p", "cum_q"]
+    steps = ranked.select(
+        *by, "k", (F.col("cum_p") - F.col("p")).alias("cum_p"), (F.col("cum_q") - F.col("q")).alias("cum_q"),
+        F.col("p").alias("_next_p"), F.col("q").alias("_next_q"),
+    )
+    # Products of whole numbers below 10 ** 18 each.
+    whole = lambda c: F.col(c).cast("decimal(18,0)")
+    straight = whole("p") * whole("_next_q") == whole("q") * whole("_next_p")
+    joined = join_null_safe(ranked, steps, keys)
+    return joined.filter(~F.coalesce(straight, F.lit(False))).drop("_next_p", "_next_q")
+
+
+def _points(pred, labels, only, by, buckets, start, point, corners=False) -> DataFrame:
     # The first distinct score of a class also brings the curve's starting point. A rate without rows to divide
     # by is undefined, so a class without positives or negatives has no curve.
-    first = (F.col("cum_p") == F.col("p")) & (F.col("cum_q") == F.col("q"))
     ranked = ranked_scores(pred, len(labels), by, only, buckets).filter((F.col("all_p") > 0) & (F.col("all_q") > 0))
+    ranked = ranked.withColumn("_first", (F.col("cum_p") == F.col("p")) & (F.col("cum_q") == F.col("q")))
+    if corners:
+        ranked = _corners(ranked, by)
+        # The first corner need not be the first score, so the start comes from the ends, of which a curve has one.
+        last = (F.col("cum_p") == F.col("all_p")) & (F.col("cum_q") == F.col("all_q"))
+        ranked = ranked.withColumn("_first", last)
     return ranked.select(
         *by,
         decode_label("k", labels).alias("clase"),
-        F.explode(F.when(first, F.array(start, point)).otherwise(F.array(point))).alias("at"),
+        F.explode(F.when(F.col("_first"), F.array(start, point)).otherwise(F.array(point))).alias("at"),
     ).select(*by, "clase", "at.*")

@@ -607,6 +607,14 @@ def oracle_sql() -> dict[str, str]:
             FROM ranked JOIN top_support USING (modelo, split, k)
             UNION ALL SELECT modelo, split, 'c' || k, 0e0, 0e0 FROM top_support""",
         ),
+        "roc_corners": _with(
+            f"""{_SCORED},{_RANKED},{_TOP_SUPPORT},
+            steps AS (SELECT *, lead(p) OVER w AS next_p, lead(q) OVER w AS next_q FROM ranked JOIN top_support USING (modelo, split, k)
+                      WINDOW w AS (PARTITION BY modelo, split, k ORDER BY score DESC))""",
+            """SELECT modelo, split, 'c' || k AS clase, round(fp / nq, 4) AS fpr, round(tp / np, 4) AS tpr
+            FROM steps WHERE next_p IS NULL OR p * next_q <> q * next_p
+            UNION ALL SELECT modelo, split, 'c' || k, 0e0, 0e0 FROM top_support""",
+        ),
         "pr_points": _with(
             f"{_SCORED},{_RANKED},{_TOP_SUPPORT}",
             """SELECT modelo, split, 'c' || k AS clase, round(tp / np, 4) AS recall, round(tp / (tp + fp), 4) AS precision

@@ -184,3 +184,32 @@ def test_metrics_table_columns(spark):
     assert table.columns[:2] == ["modelo", "split"] and len(table.columns) == 14 and table.count() == 3
     report = evaluate.metrics_report(table).collect()
     assert [r["split"] for r in report] == ["test", "validation"]
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 50])
+def test_corners_are_the_turns_of_the_curve(spark, buckets):
+    import random
+
+    rng, classes = random.Random(5), 3
+    data = [("m", "s", rng.randrange(classes), [rng.randrange(25) / 25 for _ in range(classes)]) for _ in range(300)]
+    data += [("m", None, i % 2, [0.5, 0.5, 0.5]) for i in range(6)] + [("m", "clear", i % 3, [float(i % 3 == k) + i / 1000 for k in range(3)]) for i in range(90)]
+    pred = spark.createDataFrame(data, "modelo string, split string, label int, probability array<double>")
+    only = spark.createDataFrame([("m", s, k) for s in ("s", "clear") for k in range(classes)], "modelo string, split string, k int")
+    labels = ["c0", "c1", "c2"]
+
+    def curves_of(corners):
+        out = {}
+        for r in curves.roc_points(pred, labels, only, buckets=buckets, corners=corners).collect():
+            out.setdefault((r.split, r.clase), set()).add((r.fpr, r.tpr))
+        return {k: sorted(v) for k, v in out.items()}
+
+    every, turns = curves_of(False), curves_of(True)
+    area = lambda at: sum((x2 - x1) * (y1 + y2) / 2 for (x1, y1), (x2, y2) in zip(at, at[1:]))
+    assert set(every) == set(turns) and len(every) == 6
+    for key, points in every.items():
+        kept = turns[key]
+        assert set(kept) <= set(points) and kept[0] == (0, 0) and kept[-1] == (1, 1)
+        assert area(kept) == pytest.approx(area(points), abs=1e-12)
+        cross = [(b[0] - a[0]) * (c[1] - b[1]) - (b[1] - a[1]) * (c[0] - b[0]) for a, b, c in zip(kept, kept[1:], kept[2:])]
+        assert all(abs(x) > 1e-12 for x in cross)
+    assert all(len(turns["clear", c]) == 3 and len(every["clear", c]) > 60 for c in labels)
