@@ -235,6 +235,15 @@ def _table_status(spark: SparkSession, sf: str) -> DataFrame:
     return table_sources.table_status(spark, "csv", folder).drop("origen")
 
 
+def _table_status_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of tables published to a database, whose rows the catalog knows."""
+    space, long = f"assaylake_{uuid.uuid4().hex}", bind.long(spark, sf)
+    spark.sql(f"CREATE DATABASE {space} LOCATION '{_scratch(spark)}'")
+    for name, frame in (("refined_conteo_clases", counts.class_counts(long)), ("refined_top_genes_por_clase", ranking.top_features(long))):
+        table_sinks.publish(frame, f"{space}.{name}")
+    return table_sources.table_status(spark, "table", namespace=space).drop("origen")
+
+
 def _metadata_json(spark: SparkSession, sf: str) -> DataFrame:
     path = _scratch(spark)
     _hit_documents(spark, sf).write.json(path)
@@ -355,6 +364,7 @@ def _storage() -> dict[str, Query]:
         "published_table": _published_table,
         "csv_export": _csv_export,
         "table_status": _table_status,
+        "table_status_catalog": _table_status_catalog,
         "metadata_json": _metadata_json,
         "metadata_csv": _metadata_csv,
         "metadata_csv_reordered": _metadata_csv_reordered,

@@ -40,6 +40,8 @@ def publish(df: DataFrame, name: str, by: Sequence[str] = (), fmt: str = "parque
     version = f"{name}__v{int(time.time() * 1000):013d}_{uuid.uuid4().hex[:8]}"
     try:
         writer.saveAsTable(version)
+        # Versions do not change, so what the catalog says of their rows stays true.
+        spark.sql(f"ANALYZE TABLE {version} COMPUTE STATISTICS")
         if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
             spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v{0:013d}_{uuid.uuid4().hex[:8]}")
         spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")

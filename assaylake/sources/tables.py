@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -9,7 +10,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..sinks.tables import VERSION_PATTERN
+from ..sinks.tables import VERSION_PATTERN, is_version
 
 
 @dataclass(frozen=True)
@@ -118,20 +119,41 @@ def table_status(
     registry: Mapping[str, TableEntry] = REFINED,
     namespace: str | None = None,
 ) -> DataFrame:
-    """One row per registered table: key, name, mode, whether it exists, rows, columns and origin."""
+    """One row per registered table: key, name, mode, whether it exists, rows, columns and origin.
+
+    Rows come from the catalog's statistics where it has them (of published tables it always has), else from a count.
+    """
     rows = []
     for key, entry in registry.items():
         origin = f"{folder}/{entry.name}.csv" if mode == "csv" else _qualified(entry.name, namespace)
         frame = _existing(spark, mode, origin)
         about = [F.lit(key).alias("clave"), F.lit(entry.name).alias("tabla"), F.lit(mode).alias("modo")]
         found, width = F.lit(frame is not None).alias("existe"), 0 if frame is None else len(frame.columns)
-        counted = (spark.range(0) if frame is None else frame).agg(F.count("*").alias("filas"))
+        known = 0 if frame is None else stored_count(spark, origin) if mode != "csv" else None
+        if known is None:
+            counted = frame.agg(F.count("*").alias("filas"))
+        else:
+            counted = spark.range(1).select(F.lit(known).cast("bigint").alias("filas"))
         rows.append(
             counted.select(*about, found, "filas", F.lit(width).cast("bigint").alias("columnas"), F.lit(origin).alias("origen"))
         )
     return reduce(DataFrame.unionByName, rows)
 
 
+def stored_count(spark: SparkSession, name: str) -> int | None:
+    """Rows of a catalog table as its statistics have them, without a scan; None where there are none.
+
+    Spark drops the statistics of a table that it writes to, so those that are there are true. Of a published name the
+    version behind it is asked.
+    """
+    about = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if about.get("Type") == "VIEW":
+        behind = re.fullmatch(r"SELECT \* FROM (\S+)", about.get("View Text") or "")
+        return stored_count(spark, behind[1]) if behind and is_version(behind[1]) else None
+    counted = re.search(r"(\d+) rows", about.get("Statistics") or "")
+    return int(counted[1]) if counted else None
+
+
 def find_tables(spark: SparkSession, pattern: str, namespace: str | None = None) -> DataFrame:
     """Catalog tables whose name matches ``pattern`` (* is a wildcard), without the versions behind published ones."""
     within = f" IN {namespace}" if namespace else ""

@@ -724,6 +724,7 @@ def oracle_sql() -> dict[str, str]:
         ),
     }
     # Another storage, the same report.
+    found["table_status_catalog"] = found["table_status"].replace("'csv'", "'table'")
     same = {
         "detected_by_sample": "detected_features", "matrix_by_sample": "matrix", "quality_by_moments": "quality",
         "variable_by_moments": "variable_features", "top_by_moments": "top_features",

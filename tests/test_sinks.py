@@ -127,3 +127,30 @@ def test_a_plain_table_becomes_the_first_version(spark, frame, name):
     assert spark.table(name).count() == 3 and len(sinks.versions(spark, name)) == 2
     sinks.unpublish(spark, name)
     assert not spark.catalog.tableExists(name) and sinks.versions(spark, name) == []
+
+
+def test_rows_of_catalog_tables_without_a_scan(spark, frame, name, tmp_path):
+    import io
+    from contextlib import redirect_stdout
+
+    sinks.publish(frame, name, ["cls"])
+    registry = {"one": sources.TableEntry(name, None), "none": sources.TableEntry(f"{name}_missing", None)}
+    status = sources.table_status(spark, "table", registry=registry)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        status.explain("simple")
+    assert "FileScan" not in out.getvalue()
+    assert sorted((r.clave, r.existe, r.filas, r.columnas) for r in status.collect()) == [("none", False, 0, 0), ("one", True, 31, 3)]
+    # A table without statistics, and one whose statistics went with a write, are counted.
+    plain = f"{name}_plain"
+    try:
+        frame.write.saveAsTable(plain)
+        assert sources.stored_count(spark, plain) is None
+        spark.sql(f"ANALYZE TABLE {plain} COMPUTE STATISTICS")
+        assert sources.stored_count(spark, plain) == 31
+        frame.write.insertInto(plain)
+        assert sources.stored_count(spark, plain) in (None, 62)
+        status = sources.table_status(spark, "table", registry={"p": sources.TableEntry(plain, None)})
+        assert status.first()["filas"] == 62
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {plain}")
