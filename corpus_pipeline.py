@@ -13,6 +13,9 @@ from assaylake.llm import mixing, neardup, pieces, quality, repeats
 from assaylake.llm.common import stored, table
 from assaylake.session import ensure_shared_folder, tune
 
+#: Bytes of a passage that may stand once only: less than fifty words have, at some six bytes a word with its space.
+PASSAGE_BYTES = 250
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier scores 0.5 or more; it learns from the labels for training."""
@@ -27,9 +30,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes or more that occur more than once are cut out of the texts; all documents stay."""
+    """Passages of ``PASSAGE_BYTES`` or more that occur more than once are cut out of the texts; all documents stay."""
     tune(ensure_shared_folder(spark))
-    cut = repeats.remove_repeats(docs)
+    cut = repeats.remove_repeats(docs, width=PASSAGE_BYTES)
     return cut.withColumn("n_chars", F.char_length("text").cast(cut.schema["n_chars"].dataType)) if "n_chars" in cut.columns else cut
 
 
