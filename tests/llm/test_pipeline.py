@@ -15,7 +15,7 @@ import __spark_entry__ as entry
 
 def test_all_operators_are_registered():
     names = sorted(registry.QUERIES, key=lambda q: int(re.match(r"op(\d+)_", q)[1]))
-    assert [int(re.match(r"op(\d+)_", q)[1]) for q in names] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", q)[1]) for q in names] == list(range(1, 14))
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) <= set(entry.queries())
     assert "pipeline" in entry.queries()
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["keep_quality", "drop_near_copies", "cut_repeats", "mix_sources", "encode_pieces"]
@@ -54,7 +54,7 @@ def test_near_copies_stage(stages):
 def test_repeats_stage(stages):
     rows = stages[2]
     texts = [(r["text"] or "").encode() for r in rows]
-    removed = {r["doc_id"]: p[1] for r, p in zip(rows, plain_repeats(texts, 400))}
+    removed = {r["doc_id"]: p[1] for r, p in zip(rows, plain_repeats(texts, corpus_pipeline.PASSAGE_BYTES))}
     after = {r["doc_id"]: r for r in stages[3]}
     assert after.keys() == removed.keys()
     for r, t in zip(rows, texts):
