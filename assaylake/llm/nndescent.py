@@ -17,6 +17,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import small_batches, stored
@@ -43,21 +44,26 @@ def _units(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return rows / np.sqrt((rows**2).sum(1, keepdims=True))
 
 
+def _alike(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The parts of a batch whose vectors are of one length."""
+    lengths = pc.list_value_length(batch.column("vector")).to_numpy()
+    for d in np.unique(lengths):
+        yield batch if (lengths == d).all() else batch.take(pa.array(np.flatnonzero(lengths == d)))
+
+
 def _codes(rows: DataFrame, trees: list[int], bits: int) -> DataFrame:
-    """Each vector once per tree, with the signs of ``bits`` random projections as its code."""
+    """Each vector once per tree; its code is its length and the signs of ``bits`` random projections."""
     small_batches(rows.sparkSession)
     schema = "tree int, code long, id long, vector " + dict(rows.dtypes)["vector"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            units, n = _units(batch.column("vector")), batch.num_rows
+        for part in (p for batch in batches for p in _alike(batch)):
+            units, n = _units(part.column("vector")), part.num_rows
             for tree in trees:
                 planes = np.random.default_rng(1000 + tree).standard_normal((units.shape[1], bits))
-                code = ((units @ planes > 0) << np.arange(bits)).sum(1)
+                code = ((units @ planes > 0) << np.arange(bits)).sum(1) + (units.shape[1] << bits)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tree] * n, pa.int32()), pa.array(code), batch.column("id"), batch.column("vector")], ["tree", "code", "id", "vector"]
+                    [pa.array([tree] * n, pa.int32()), pa.array(code), part.column("id"), part.column("vector")], ["tree", "code", "id", "vector"]
                 )
 
     return rows.select("id", "vector").mapInArrow(run, schema)
@@ -240,17 +246,20 @@ def audit(rows: DataFrame, nodes: DataFrame, threshold: float, sample: int = AUD
     chosen = rows.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(sample).select("id", "vector").collect()
     if not chosen:
         return 1.0
-    ids = np.array([r.id for r in chosen])
-    units = _units(pa.array([r.vector for r in chosen], pa.list_(pa.float64())))
+    ids, lengths = np.array([r.id for r in chosen]), np.array([len(r.vector) for r in chosen])
+    # By length: the places in the sample, and the vectors.
+    of = {int(d): np.flatnonzero(lengths == d) for d in np.unique(lengths)}
+    units_of = {d: _units(pa.array([chosen[i].vector for i in at], pa.list_(pa.float64()))) for d, at in of.items()}
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         true, others = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                linked = _units(batch.column("vector")) @ units.T >= threshold
-                linked &= batch.column("id").to_numpy()[:, None] != ids[None, :]
-                true += (linked * batch.column("copies").to_numpy()[:, None]).sum(0)
-                others += linked.sum(0)
+        for part in (p for batch in batches for p in _alike(batch)):
+            d = len(part.column("vector")[0])
+            if d in of:
+                linked = _units(part.column("vector")) @ units_of[d].T >= threshold
+                linked &= part.column("id").to_numpy()[:, None] != ids[of[d]][None, :]
+                true[of[d]] += (linked * part.column("copies").to_numpy()[:, None]).sum(0)
+                others[of[d]] += linked.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true), pa.array(others)], ["id", "n_true", "n_others"])
 
     small_batches(rows.sparkSession)
@@ -266,13 +275,11 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "v
 
     Vectors link if their cosine, in doubles, is at least ``threshold``; every link is computed from the vectors. Equal
     vectors count as one in the search and as links of each other in the result. Vectors that are null, empty or zero or
-    hold null or non-finite components link with nothing, as do rows without an id and vectors of another length than
-    most. Rows that repeat an id are vectors of their own.
+    hold null or non-finite components link with nothing, as do rows without an id; vectors of different lengths have no
+    cosine, so those of each length link among themselves. Rows that repeat an id are vectors of their own.
     """
     good = F.col("id").isNotNull() & usable("vector") & F.exists("vector", lambda x: x != 0)
     slim = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("vector")).where(good)
-    usual = slim.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    slim = slim.where(F.size("vector") == F.lit(usual.d if usual else 0))
     # The number of a different vector is its least id; a vector that shares it with another gets a number of its own.
     different = slim.groupBy("vector").agg(F.min("id").alias("first"), F.count("*").alias("copies"))
     order = F.row_number().over(W.partitionBy("first").orderBy("vector"))

@@ -53,6 +53,20 @@ def test_links_equal_all_pairs(vectors):
             assert (r.n_links, r.component_id) == (0, r.vec_id)
 
 
+def test_vectors_of_two_lengths(spark):
+    """Each length links among itself, also where its vectors are few, and its recall is audited."""
+    g = np.random.default_rng(6)
+    rows = [(0, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (1, [1.0, 0.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0, 0.1, 0.0]), (5, [0.0, 0.0, 1.0])]
+    for d, size in ((5, 30), (9, 20)):
+        centre = g.standard_normal(d)
+        rows += [(100 * d + i, (centre + 0.02 * g.standard_normal(d)).tolist()) for i in range(size)]
+    got = {r.vec_id: r for r in nndescent.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [(got[i].n_links, got[i].component_id) for i in range(6)] == [(1, 0), (1, 0), (2, 2), (2, 2), (2, 2), (0, 5)]
+    assert {(got[500 + i].n_links, got[500 + i].component_id) for i in range(30)} == {(29, 500)}
+    assert {(got[900 + i].n_links, got[900 + i].component_id) for i in range(20)} == {(19, 900)}
+    assert got[0].audited_recall == 1.0
+
+
 def test_groups_larger_than_a_cell(vectors, monkeypatch):
     monkeypatch.setattr(nndescent, "CELL", 7)
     got = {r.vec_id: r.n_links for r in nndescent.near_vectors(vectors).collect()}
