@@ -90,13 +90,14 @@ def plan_mix(documents: DataFrame, seed: str = "mix", weights=WEIGHTS, max_repea
 
 
 def mix(documents: DataFrame, seed: str = "mix", weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """The mixed corpus: every document as often as its source's rate says, with all columns it came with."""
-    sizes = documents.select("source", word_count("text").alias("size"))
-    targets = source_targets(sizes, weights, max_repeat).select(F.col("source").alias("_of"), F.col("rate").alias("_rate"))
-    n = F.floor("_rate") + F.when(coin("doc_id", seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    return (
-        documents.join(targets, F.col("source").eqNullSafe(F.col("_of")))
-        .where(n > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), n.cast("int"))))
-        .select(*(F.col(f"`{c}`") for c in documents.columns))
-    )
+    """The mixed corpus: every document as often as its source's rate says, with all columns it came with, of any name.
+
+    Null and empty texts have size 0 and follow their source's rate like any other; a null source is a source, a null id
+    draws its coin as the text "null" does. Rows that repeat an id are dealt alike, each on its own. An empty table gives no rows.
+    """
+    targets = source_targets(documents.select("source", word_count("text").alias("size")), weights, max_repeat)
+    # The document's own columns stay within a struct, so that none of them meets a name of the plan.
+    whole = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("document"))
+    dealt = whole.join(targets.select(F.col("source").alias("of"), "rate"), F.col("document.source").eqNullSafe(F.col("of")))
+    n = copies("document.doc_id", seed).cast("int")
+    return dealt.where(n > 0).select("document", F.explode(F.sequence(F.lit(1), n))).select("document.*")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import as_bytes, crc_remainder, small_batches
 
@@ -93,8 +93,9 @@ def sample_labelled(documents: DataFrame, labels: DataFrame, per_class: int, max
     """At most ``per_class`` whole texts of each class in the order of a hash, as far as ``max_bytes`` goes.
 
     The ids are drawn from the labels; the documents are then read without a shuffle. Of a text that is longer than
-    what is left, only the size comes to the driver.
+    what is left, only the size comes to the driver. Columns other than ``doc_id``, ``text`` and ``quality`` are not read.
     """
+    documents = documents.select("doc_id", "text").where("text IS NOT NULL")
     order = F.xxhash64("doc_id", F.lit("quality"))
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("y"))
     drawn = known.select("doc_id", "y", order.alias("o"))
@@ -102,7 +103,7 @@ def sample_labelled(documents: DataFrame, labels: DataFrame, per_class: int, max
         drawn.where("y = 1").orderBy("o", "doc_id").limit(per_class)
     )
     drawn = documents.sparkSession.createDataFrame([tuple(r) for r in drawn.collect()], "doc_id long, y int, o long")
-    of = documents.where("text IS NOT NULL").join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "y", "o")
+    of = documents.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "y", "o")
     left, ids = {0: max_bytes, 1: max_bytes}, []
     for row in of.agg(F.max(F.octet_length("text")).alias("n")).orderBy("o", "doc_id").collect():
         if row.n <= left[row.y]:
@@ -110,7 +111,7 @@ def sample_labelled(documents: DataFrame, labels: DataFrame, per_class: int, max
             ids.append((row.doc_id,))
     chosen = F.broadcast(documents.sparkSession.createDataFrame(ids, "doc_id long"))
     texts: dict[int, list[bytes]] = {0: [], 1: []}
-    kept = documents.where("text IS NOT NULL").join(chosen, "doc_id", "left_semi").join(F.broadcast(drawn), "doc_id")
+    kept = documents.join(chosen, "doc_id", "left_semi").join(F.broadcast(drawn), "doc_id")
     for row in kept.groupBy("doc_id", "y", "o").agg(F.max("text").alias("text")).orderBy("o", "doc_id").collect():
         texts[row.y].append(row.text.encode())
     return texts
@@ -138,19 +139,23 @@ def fit_quality(
     return QualityModel(model.good, model.bad, _fit_curve(features, y))
 
 
+def quality_of(model: QualityModel, text: str = "text") -> Column:
+    """The score of each whole text; a null text scores as an empty one does."""
+
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array(_curve(_features(as_bytes(batch), model), model.weights))
+
+    return F.arrow_udf(scored, "double", F.ArrowUDFType.SCALAR_ITER)(F.col(f"`{text}`"))
+
+
 def score_quality(documents: DataFrame, model: QualityModel, text: str = "text", score: str = "score") -> DataFrame:
     """All columns of ``documents`` and the score of each whole text; a null text scores as an empty one does.
 
     The text is the only input of the score. ``score`` replaces a column of that name.
     """
     small_batches(documents.sparkSession)
-
-    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(_curve(_features(as_bytes(batch), model), model.weights))
-
-    score_of = F.arrow_udf(scored, "double", F.ArrowUDFType.SCALAR_ITER)
-    return documents.withColumn(score, score_of(F.col(f"`{text}`")))
+    return documents.withColumn(score, quality_of(model, text))
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
@@ -159,8 +164,12 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose score is ``least`` or more, with the columns they came with."""
+    """The documents whose score is ``least`` or more, with the columns they came with, of any name.
+
+    Null and empty texts have one score, and stay or go together; each of several equal rows is a row of its own. Without
+    labels every score is 0.5.
+    """
     model = fit_quality(documents, training_labels(labels))
-    scored = score_quality(documents, model, score="_quality")
-    return scored.where(F.col("_quality") >= least).select(*(F.col(f"`{c}`") for c in documents.columns))
+    small_batches(documents.sparkSession)
+    return documents.where(quality_of(model) >= least)
 

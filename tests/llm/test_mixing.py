@@ -3,6 +3,7 @@ from collections import defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from assaylake.llm import mixing, queries
 
@@ -56,6 +57,15 @@ def test_cap_cascades(spark):
     assert got == pytest.approx(_targets({"a": 1000, "b": 10, "c": 700, "d": 5, None: 3}))
 
 
+def test_columns_named_like_the_plan(odd):
+    names = ["rate", "of", "target", "document", "col", "_rate", "_of", "_copy", "source_size"]
+    own = odd.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    mixed = mixing.mix(own)
+    assert mixed.columns == own.columns
+    got = mixed.collect()
+    assert len(got) == mixing.mix(odd).count() and all(r[n] == f"own {n}" for r in got for n in names)
+
+
 def test_odd_rows(odd, empty):
     planned = mixing.plan_mix(odd).collect()
     of = defaultdict(int)

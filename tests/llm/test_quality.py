@@ -1,5 +1,7 @@
 import zlib
 
+from pyspark.sql import functions as F
+
 from assaylake.llm import quality, queries
 
 
@@ -30,6 +32,21 @@ def test_odd_rows(spark, odd, empty, documents, sf):
     assert quality.keep_good(empty, labels).collect() == []
 
 
+def test_columns_named_like_the_plan(spark, documents, sf):
+    """Columns of names that the plan uses change nothing and come back as they were."""
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    names = ["y", "o", "n", "quality", "score", "_quality"]
+    own = documents.select("*", *(F.lit(f"own {n}").alias(n) for n in names))
+    assert quality.sample_labelled(own, labels, 10, 20_000) == quality.sample_labelled(documents, labels, 10, 20_000)
+    kept = quality.keep_good(own, labels)
+    assert kept.columns == own.columns
+    got = kept.collect()
+    assert all(r[n] == f"own {n}" for r in got for n in names)
+    model = quality.fit_quality(documents, quality.training_labels(labels))
+    scored = quality.score_quality(documents, model).where("score >= 0.5")
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in scored.select("doc_id").collect())
+
+
 def test_one_class_and_none(spark, odd):
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int")
     only = quality.fit_quality(odd, labels([(4, 1), (9, 1), (None, 1), (5, None), (99, 0)]))
