@@ -31,6 +31,8 @@ BLOCK_BYTES = 4 << 20
 SMALL_BLOCK_BYTES = 2 << 20
 #: Bytes of text whose blocks share a bucket, and whose keys share a range of hash values.
 BUCKET_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
+#: Buckets at most, as Spark sets a bound; beyond it more blocks share a bucket, which are still worked on one by one.
+MAX_BUCKETS = 50_000
 #: What a document counts besides its text, so that very many empty ones fill a block too.
 _ROW_BYTES = 32
 #: A document's node is its block's number and, in so many bits, its place in the block.
@@ -202,7 +204,7 @@ def make_blocks(documents: DataFrame, text: str = "text", block_bytes: int = BLO
         if rows:
             yield pack(number, rows, texts, ends)
 
-    buckets = max(1, -(-n_bytes // BUCKET_BYTES))
+    buckets = min(max(1, -(-n_bytes // BUCKET_BYTES)), MAX_BUCKETS)
     frame = bucketed(documents.mapInArrow(run, _BLOCK), "block", buckets)
     return Blocks(frame, max(8, n_bytes // RANGE_BYTES))
 
@@ -293,8 +295,15 @@ def answered(block: Block, ask: int) -> tuple[np.ndarray, np.ndarray]:
 
 def totals(answers: DataFrame) -> np.ndarray:
     """The six numbers of ``count_keys`` summed over all parts; there is one row per part."""
-    rows = answers.where("block IS NULL").select("answer").collect()
-    return sum((np.frombuffer(r.answer, np.int64) for r in rows), np.zeros(6, np.int64))
+    names = [f"n{i}" for i in range(6)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([pa.array([n]) for n in told.sum(0)], names)
+
+    parts = answers.where("block IS NULL").select("answer").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return np.array([n or 0 for n in parts.agg(*(F.sum(n) for n in names)).first()], np.int64)
 
 
 # Hashes of spans

@@ -48,6 +48,19 @@ def test_many_blocks(documents, rows, monkeypatch):
     assert rows(_found(repeats.find_repeats(documents, width=200))) == one
 
 
+def test_more_text_than_buckets(documents, rows, monkeypatch):
+    """Beyond the bound on buckets several blocks share one."""
+    one = rows(_found(repeats.find_repeats(documents, width=200)))
+    monkeypatch.setattr(blocks, "BUCKET_BYTES", 1)
+    monkeypatch.setattr(blocks, "MAX_BUCKETS", 3)
+    asked, bucketed = [], blocks.bucketed
+    monkeypatch.setattr(blocks, "bucketed", lambda df, key, n: asked.append(n) or bucketed(df, key, n))
+    make = blocks.make_blocks
+    monkeypatch.setattr(repeats, "make_blocks", lambda df, text, _: make(df.repartition(2), text, block_bytes=20_000))
+    assert rows(_found(repeats.find_repeats(documents, width=200))) == one
+    assert asked == [3]
+
+
 def test_columns_stay_and_characters_go_whole(spark, odd, empty):
     assert repeats.remove_repeats(empty).collect() == []
     cut = repeats.remove_repeats(odd)
