@@ -13,8 +13,10 @@ the mark U+2581; nothing else is normalised.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +38,9 @@ class Pieces:
         self.unknown, self.byte_ids = unknown, byte_ids
         special = {unknown, *byte_ids.values(), *skipped}
         normal = [(text, score, i) for i, (text, score) in enumerate(pieces) if i not in special and text]
-        self.root: dict = {}
-        for text, score, i in normal:
-            node = self.root
-            for char in text:
-                node = node.setdefault(char, {})
-            node[""] = (i, score)
+        #: From a character to what follows it in some piece (a node like this one, or None), and the id and score of
+        #: the piece that ends with it (-1 if none does).
+        self.root: dict = _node(sorted(normal), 0)
         self.longest = max((len(text) for text, _, _ in normal), default=1)
         self.worst = min((score for _, score, _ in normal), default=0.0) - 10
         #: Pairs of characters that stand together in some piece: between any two others all paths meet.
@@ -77,28 +76,27 @@ class Pieces:
             alive.append((place, root))
             top, come, chosen, reached = score[place] + worst, place, -1, []
             for start, node in alive:
-                node = node.get(char)
-                if node is None:
+                step = node.get(char)
+                if step is None:
                     continue
-                end = node.get("")
-                if end is None:
-                    reached.append((start, node))
-                    continue
-                total = score[start] + end[1]
-                if total > top or chosen < 0 and total == top:
-                    top, come, chosen = total, start, end[0]
-                if len(node) > 1:
-                    reached.append((start, node))
+                deeper, end, gain = step
+                if end >= 0:
+                    total = score[start] + gain
+                    if total > top or chosen < 0 and total == top:
+                        top, come, chosen = total, start, end
+                if deeper is not None:
+                    reached.append((start, deeper))
             score.append(top)
             before.append(come)
             piece.append(chosen)
             alive = reached
             if not alive:
-                meet = place + 1
-            elif place >= span and place % self.longest == 0:
-                meet = _meeting(before, place + 1, [start for start, _ in alive])
-            else:
+                yield from self._between(held, before, piece, place + 1)
+                held, score, before, piece = [], [top], [0], [-1]
+                continue
+            if place < span or place % self.longest:
                 continue
+            meet = _meeting(before, place + 1, [start for start, _ in alive])
             yield from self._between(held, before, piece, meet)
             del held[:meet], score[:meet], before[:meet], piece[:meet]
             before = [max(b - meet, 0) for b in before]
@@ -123,6 +121,17 @@ class Pieces:
         return raw.decode("utf-8", "replace").replace(MARK, " ").removeprefix(" ")
 
 
+def _node(pieces: list[tuple[str, float, int]], depth: int) -> dict:
+    """The trie node of pieces in ascending order that agree in their first ``depth`` characters and are longer."""
+    node = {}
+    for char, group in groupby(pieces, lambda p: p[0][depth]):
+        alike = list(group)
+        ends = [(i, score) for text, score, i in alike if len(text) == depth + 1]
+        longer = [p for p in alike if len(p[0]) > depth + 1]
+        node[char] = (_node(longer, depth + 1) if longer else None, *(ends[-1] if ends else (-1, 0.0)))
+    return node
+
+
 def _meeting(before: list[int], place: int, survivors: list[int]) -> int:
     """The latest boundary on the best paths to ``place`` and to all survivors."""
     meet = place
@@ -146,7 +155,7 @@ class Encoder:
         self.feed = self._fresh("\n")
 
     def _fresh(self, text: str) -> bytes:
-        return np.fromiter(self.pieces.stream(text), _ID).tobytes()
+        return array("I", self.pieces.stream(text)).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Parted once more where no piece has both characters, so that "word" and "word," share their work."""
@@ -199,21 +208,23 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(Pieces.load(path))
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    return Encoder(Pieces.load(path), remembered)
 
 
-def encode_texts(documents: DataFrame, model: str, text: str = "text", into: str = "ids", binary: bool = False) -> DataFrame:
+def encode_texts(
+    documents: DataFrame, model: str, text: str = "text", into: str = "ids", binary: bool = False, remembered: int = REMEMBERED
+) -> DataFrame:
     """``documents`` with the ids of each whole text: an array, or little-endian 32-bit numbers if ``binary``.
 
     ``model`` is the path of a SentencePiece model. A null or empty text has no ids. ``into`` replaces a column of that
-    name.
+    name. ``remembered`` trades a worker's memory (some 250 bytes a word form) for time; the ids are the same.
     """
     small_batches(documents.sparkSession)
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         release_memory()
-        coder = encoder(model)
+        coder = encoder(model, remembered)
         for batch in batches:
             release_memory()
             parts = [coder.encode(t.as_py() or "") for t in batch]

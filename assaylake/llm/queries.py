@@ -44,7 +44,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = pieces.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), model, binary=True)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode_texts(documents, model, binary=True, remembered=2 * pieces.REMEMBERED)
     return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
         F.sha2(pieces.decoded(model), 256).alias("decoded_sha256"),
