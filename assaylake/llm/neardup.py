@@ -2,9 +2,12 @@
 
 Texts with equal shingle sets count as one. Signatures of the different sets come from two permutations, one of them
 circularly shifted; sets that agree in all coordinates of a band share a bucket. A bucket of m sets is not turned into
-m * m pairs: its members are first compared with one of them (exactly, on the full sets), then those that this left
-outside the bucket's main group with a few others, and only what is then still in different groups member by member. A
-pair is left out where the shingles that a set shares with no other one rule the similarity out.
+m * m pairs: its members are first compared with one of them (exactly, on the full sets), the one that shares most
+buckets with others. Where this leaves several groups in a bucket, members outside the main one are still to be told
+from the rest. A small bucket compares them pair by pair. A large one looks at its core, the shingles that more than
+``RARE`` of the members have: two sets that share nothing outside the core have at most the smaller part of it in
+common, which rules nearly all pairs out; those that do share something outside it meet at that shingle, which no more
+than ``RARE`` members have. So the pairs grow with the members and not with their square.
 """
 
 from __future__ import annotations
@@ -25,8 +28,12 @@ from .shingles import band_keys, set_keys, shingle_sets, signatures
 COORDINATES, BAND = 240, 6
 #: Least similarity, in hundredths.
 SIMILARITY = 80
-#: With how many others those are compared at a time that the first comparison left outside, and how many times.
-MORE, TURNS = 4, 2
+#: Members up to which a bucket that still has several groups compares them pair by pair.
+SMALL = 32
+#: Members up to which a shingle of a large bucket lies outside its core.
+RARE = 16
+#: Rows of a group's members that meet the rest in one task, about.
+SHARE = 8192
 #: The column with what the search knows of a document, and its fields.
 _OWN = "_llm_sets"
 _FIELDS = ("node", "local", "n_shingles", "hi", "lo", "bands")
@@ -75,34 +82,21 @@ def _verified(blocks: Blocks, pairs: DataFrame, k: int, similarity: int) -> Data
     """The pairs (``a``, ``b`` with sizes ``n_a``, ``n_b``) whose full sets are similar enough, stored."""
     high, low = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
     pairs = stored(pairs.where(100 * low >= similarity * high), "pairs")
-    sets = stored(_full_sets(blocks, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), k), "sets")
+    nodes = pairs.select(F.col("a").alias("node")).distinct().union(pairs.select(F.col("b").alias("node")).distinct())
+    sets = stored(_full_sets(blocks, nodes.distinct(), k), "sets")
     of = lambda side: sets.select(F.col("node").alias(side), F.col("shingles").alias(f"s_{side}"))
     common = F.size(F.array_intersect("s_a", "s_b"))
     similar = 100 * common >= similarity * (F.col("n_a") + F.col("n_b") - common)
     return stored(pairs.join(of("a"), "a").join(of("b"), "b").where(similar).select("a", "b"), "links")
 
 
-def _shared(blocks: Blocks, grouped: DataFrame, k: int) -> DataFrame:
-    """``grouped`` with ``shared``: how many of a set's shingles any other of these sets has."""
-    sets = _full_sets(blocks, grouped.select("node").distinct(), k)
-    alone = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("m"), F.min("node").alias("of")).where("m = 1")
-    alone = alone.groupBy("of").agg(F.count("*").alias("alone"))
-    counted = grouped.join(alone, F.col("node") == F.col("of"), "left")
-    return stored(counted.withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("of", "alone"), "shared")
-
-
-def _can_link(a: str, b: str, similarity: int) -> Column:
-    """Whether two sets may be similar enough: the smaller number of shared shingles bounds what they have in common."""
-    both = F.col(f"{a}.n") + F.col(f"{b}.n")
-    return (100 + similarity) * F.least(f"{a}.shared", f"{b}.shared") >= similarity * both
-
-
 def _first_pairs(members: DataFrame) -> DataFrame:
-    """Each bucket's least member with each other one; a pair that several buckets have comes once."""
-    leads = members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    return members.join(leads, "key").where("node <> lead.node").select(
-        F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")
-    ).distinct()
+    """Each bucket's lead with each other member; a pair that several buckets have comes once. The lead is the member that
+    meets most others over all its buckets, so the least altered of many near copies leads most of theirs."""
+    met = members.groupBy("node").agg(F.sum("m").alias("met"))
+    leads = members.join(met, "node").groupBy("key").agg(F.min(F.struct(-F.col("met"), "node", "n")).alias("lead"))
+    pairs = members.join(leads, "key").where("node <> lead.node").select(F.struct("node", "n").alias("x"), F.struct("lead.node", "lead.n").alias("y"))
+    return _ordered_pairs(pairs)
 
 
 def _groups(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -115,9 +109,6 @@ def _groups(members: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labelled.join(several, "key"), "groups")
 
 
-_SIDE = ("node", "n", "shared", "component")
-
-
 def _ordered_pairs(sides: DataFrame) -> DataFrame:
     """Different pairs of ``x`` and ``y``, the smaller node first."""
     a, b = F.struct("x.node", "x.n"), F.struct("y.node", "y.n")
@@ -125,34 +116,63 @@ def _ordered_pairs(sides: DataFrame) -> DataFrame:
     return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
 
 
-def _more_pairs(grouped: DataFrame, turn: int, similarity: int) -> DataFrame:
-    """Each member outside its bucket's main group with some of that group, and with one outside; other ones each turn."""
-    outside, hubs = F.col("component") != F.col("main"), []
-    for i in range(MORE):
-        drawn = F.struct(F.xxhash64("node", F.lit(MORE * turn + i)).alias("h"), *_SIDE)
-        hubs.append(F.min(F.when(outside if i == 0 else ~outside, drawn)).alias(f"hub{i}"))
-    chosen = grouped.groupBy("key").agg(*hubs)
-    hub = F.explode(F.array(*(f"hub{i}" for i in range(MORE)))).alias("y")
-    sides = grouped.where(outside).join(chosen, "key").select(F.struct(*_SIDE).alias("x"), hub)
-    return _ordered_pairs(sides.where(F.col("y").isNotNull() & (F.col("x.component") != F.col("y.component")) & _can_link("x", "y", similarity)))
+#: Sides of a pair that may link two groups: the first outside the main one, and no pair of two outside it twice.
+_APART = "x.component <> y.component AND x.component <> x.main AND (y.component = y.main OR x.node < y.node)"
+
+
+def _enough(common: Column, similarity: int) -> Column:
+    """Whether sets with at most so many shingles in common may be similar enough."""
+    return (100 + similarity) * common >= similarity * (F.col("x.n") + F.col("y.n"))
+
+
+def _small_pairs(grouped: DataFrame, similarity: int) -> DataFrame:
+    """Pairs of small buckets that may link two of their groups."""
+    side = F.struct("node", "n", "component", "main")
+    small = grouped.where(F.col("m") <= SMALL)
+    x, y = (small.select("key", side.alias(name)) for name in ("x", "y"))
+    return x.where("x.component <> x.main").join(y, "key").where(_APART).where(_enough(F.least("x.n", "y.n"), similarity)).select("x", "y")
+
+
+def _large_pairs(blocks: Blocks, grouped: DataFrame, k: int, similarity: int) -> DataFrame:
+    """Pairs of large buckets that may link two groups; buckets with the same main group are taken as one."""
+    large = stored(grouped.where(F.col("m") > SMALL).select("main", "node", "n", "component").distinct(), "large")
+    sets = _full_sets(blocks, large.select("node").distinct(), k)
+    held = large.select("main", "node").join(sets, "node").select("main", "node", F.explode("shingles").alias("s"))
+    rare = held.groupBy("main", "s").agg(F.count("*").alias("holders")).where(F.col("holders") <= RARE)
+    loose = stored(held.join(rare, ["main", "s"]), "loose")
+    outside = loose.groupBy("main", "node").agg(F.count("*").alias("loose"))
+    sides = large.join(outside, ["main", "node"], "left").withColumn("core", F.col("n") - F.coalesce("loose", F.lit(0))).drop("loose")
+    sides = stored(sides, "sides")
+    side = F.struct("node", "n", "component", "main", "core")
+    # Nothing in common outside the core: either set has at least the similarity's share of its shingles in it.
+    full = sides.where(100 * F.col("core") >= similarity * F.col("n"))
+    whole = full.groupBy("main").agg(F.min("n").alias("least"), F.ceil(F.count("*") / SHARE).alias("parts"))
+    full = full.join(whole, "main")
+    x = full.where((F.col("component") != F.col("main")) & ((100 + similarity) * F.col("core") >= similarity * (F.col("n") + F.col("least"))))
+    x = x.select("main", side.alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    y = full.select("main", side.alias("y"), F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    core = F.least("x.core", "y.core")
+    inside = x.join(y, ["main", "part"]).where(_APART).where(_enough(core, similarity)).select("x", "y")
+    # Something in common outside it: they meet at a shingle that few have; how many such they share completes the bound.
+    shared = loose.where("holders > 1").select("main", "s", "node")
+    meeting = shared.withColumnRenamed("node", "a").join(shared.withColumnRenamed("node", "b"), ["main", "s"]).where("a <> b")
+    meeting = meeting.groupBy("main", "a", "b").agg(F.count("*").alias("r"))
+    x, y = sides.select("main", F.col("node").alias("a"), side.alias("x")), sides.select("main", F.col("node").alias("b"), side.alias("y"))
+    met = meeting.join(x, ["main", "a"]).join(y, ["main", "b"]).where(_APART).where(_enough(core + F.col("r"), similarity)).select("x", "y")
+    slim = lambda pairs: pairs.select(*(F.struct(f"{c}.node", f"{c}.n").alias(c) for c in ("x", "y")))
+    return slim(inside).union(slim(met))
 
 
 def _links(blocks: Blocks, sets: DataFrame, k: int, similarity: int) -> DataFrame:
     """Links between sets that join all similar ones into groups; every linked pair is verified."""
     members = sets.select("node", "n", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    buckets = members.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     members = stored(members.join(buckets, "key"), "members")
     links = _verified(blocks, _first_pairs(members), k, similarity)
-    grouped = _shared(blocks, _groups(members, links), k)
-    for turn in range(TURNS):
-        links = stored(links.union(_verified(blocks, _more_pairs(grouped, turn, similarity), k, similarity)), "links")
-        grouped = _groups(grouped.drop("component", "main"), links)
-    # What is still apart: members outside the main group with all members of other groups that they may be linked with.
-    x = grouped.where("component <> main").select("key", F.struct(*_SIDE).alias("x"))
-    y = grouped.select("key", F.struct(*_SIDE, "main").alias("y"))
-    once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    rest = x.join(y, (x["key"] == y["key"]) & (F.col("x.component") != F.col("y.component")) & once & _can_link("x", "y", similarity))
-    return stored(links.union(_verified(blocks, _ordered_pairs(rest), k, similarity)), "links")
+    grouped = _groups(members, links)
+    slim = _small_pairs(grouped, similarity).select(*(F.struct(f"{c}.node", f"{c}.n").alias(c) for c in ("x", "y")))
+    rest = _ordered_pairs(slim.union(_large_pairs(blocks, grouped, k, similarity)))
+    return stored(links.union(_verified(blocks, rest, k, similarity)), "links")
 
 
 @dataclass(frozen=True)

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -52,6 +53,25 @@ def test_chain_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(groups)) and set(groups) == {0}
 
 
+def test_large_buckets_equal_all_pairs(spark, monkeypatch):
+    """Copies of two texts, altered lightly or heavily, in buckets that take the core of their group instead of pairs."""
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "RARE", 3)
+    monkeypatch.setattr(neardup, "SHARE", 16)
+    rng = random.Random(5)
+    bases, texts = [[f"{c}{i}" for i in range(60)] for c in "ab"], []
+    for i in range(160):
+        words = list(bases[i % 2])
+        for at in rng.sample(range(60), rng.choice([1, 2, 3, 5, 8, 12])):
+            words[at] = f"r{rng.randrange(12)}"
+        texts.append(" ".join(words[: rng.choice([60, 60, 60, 50])]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = neardup.near_duplicates(frame, k=2, similarity=80).collect()
+    _, groups = _plain(texts)
+    assert 20 < len(set(groups)) < 120
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(groups))
+
+
 def test_odd_rows(odd, empty):
     found = {(r.doc_id, r.n_shingles): r for r in neardup.near_duplicates(odd, k=2).collect()}
     assert found[1, 0].component_id == 1 and found[3, 0].kept and found[2, 0].kept
