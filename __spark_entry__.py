@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracles  # noqa: E402
 from assaylake import bind  # noqa: E402
-from assaylake.functions import class_lookup, vector_values  # noqa: E402
+from assaylake.functions import class_lookup, rounded, vector_values  # noqa: E402
 from assaylake.models import bayes, scoring, storage, training  # noqa: E402
 from assaylake.operators import (  # noqa: E402
     checks, counts, curves, evaluate, feeds, intake, matrix, moments, prepare, profiles, ranking,
@@ -77,12 +77,12 @@ def _tuned(query: Query) -> Query:
 
 
 def _r4(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), 4) for c in columns})
+    return df.withColumns({c: rounded(F.col(f"`{c}`"), 4) for c in columns})
 
 
 def _measured(df: DataFrame) -> DataFrame:
     # Measures have five decimals, so four would round many exact halves.
-    return _r4(df, R.value).withColumn(R.measure, F.round(R.measure, 8))
+    return _r4(df, R.value).withColumn(R.measure, rounded(R.measure, 8))
 
 
 def _scratch(spark: SparkSession) -> str:
@@ -500,7 +500,7 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     long = bind.long(spark, sf)
     features = _features(long)
     cells = matrix.to_vectors(long, features, unique=True).withColumn("cells", vector_values("features_raw"))
-    named = [F.round(F.get("cells", F.lit(at)), 4).alias(f) for at, f in enumerate(features)]
+    named = [rounded(F.get("cells", F.lit(at)), 4).alias(f) for at, f in enumerate(features)]
     return cells.select(R.sample, R.subject, R.cls, *named)
 
 

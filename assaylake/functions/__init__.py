@@ -10,6 +10,7 @@ from .scalars import (
     file_id_of,
     log2p1,
     null_to_zero,
+    rounded,
     share_pct,
     split_label,
     subject_id,
@@ -19,5 +20,5 @@ from .scalars import (
 
 __all__ = [
     "base_id", "class_lookup", "contains_ci", "decode_label", "element", "error_flag", "file_id_of", "log2p1",
-    "null_to_zero", "share_pct", "split_label", "subject_id", "to_number", "vector_values",
+    "null_to_zero", "rounded", "share_pct", "split_label", "subject_id", "to_number", "vector_values",
 ]

@@ -81,8 +81,18 @@ def error_flag(truth: Column | str, predicted: Column | str) -> Column:
     return F.when(_col(truth) != _col(predicted), F.lit(1)).otherwise(F.lit(0))
 
 
+def rounded(value: Column | str, digits: int) -> Column:
+    """A double at so many decimals, as SQL engines round doubles: the scaled value to a whole number, halves away from zero.
+
+    Spark's own ``round`` takes the shortest decimal that stands for the double, which makes other halves: 0.10225 times
+    10,000 lies below 1022.5, so it is 0.1022 here and 0.1023 there.
+    """
+    scale = F.lit(float(10**digits))
+    return F.round(_col(value) * scale) / scale
+
+
 def share_pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(F.lit(100) * part / whole, digits)
+    return rounded(F.lit(100) * part / whole, digits)
 
 
 def split_label(proportion: Column, cuts: Sequence[float] = (0.70, 0.85)) -> Column:

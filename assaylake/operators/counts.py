@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions import rounded
 from ..roles import DEFAULT, Roles
 
 
@@ -121,8 +122,8 @@ def class_imbalance(long: DataFrame, r: Roles = DEFAULT) -> DataFrame:
         .select(
             r.cls,
             "n_muestras",
-            F.round(100 * n / F.sum(n).over(over_all), 2).alias("porcentaje"),
-            F.round(F.max(n).over(over_all) / F.min(n).over(over_all), 2).alias("razon_desbalance_global"),
+            rounded(100 * n / F.sum(n).over(over_all), 2).alias("porcentaje"),
+            rounded(F.max(n).over(over_all) / F.min(n).over(over_all), 2).alias("razon_desbalance_global"),
         )
         .orderBy(F.desc("n_muestras"), r.cls)
     )

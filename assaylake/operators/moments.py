@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions import share_pct
+from ..functions import rounded, share_pct
 from ..roles import DEFAULT, Roles
 
 #: Size of a sketch. At 800 the rank of a quantile is off by less than 0.6 percent of the rows (99 of 100 times).
@@ -87,7 +87,7 @@ def top_features_of(moments: DataFrame, k: int = 10, r: Roles = DEFAULT) -> Data
     return (
         moments.withColumn("rank_gen", F.row_number().over(best).cast("bigint"))
         .filter(F.col("rank_gen") <= k)
-        .select(r.cls, "rank_gen", r.feature, r.feature_name, F.round("mean", 4).alias("avg_log2_tpm"))
+        .select(r.cls, "rank_gen", r.feature, r.feature_name, rounded("mean", 4).alias("avg_log2_tpm"))
         .orderBy(r.cls, "rank_gen")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import share_pct
+from ..functions import rounded, share_pct
 from ..roles import DEFAULT, Roles
 from .ordered import BUCKETS, exact_quantiles, join_null_safe
 
@@ -37,11 +37,11 @@ def detected_features(long: DataFrame, r: Roles = DEFAULT) -> DataFrame:
         per_sample.groupBy(r.cls)
         .agg(
             F.count("*").alias("n_muestras"),
-            F.round(F.avg("found"), 2).alias("media_genes_detectados"),
-            F.round(F.stddev_samp("found"), 2).alias("sd_genes_detectados"),
+            rounded(F.avg("found"), 2).alias("media_genes_detectados"),
+            rounded(F.stddev_samp("found"), 2).alias("sd_genes_detectados"),
             F.min("found").alias("min_genes_detectados"),
             F.max("found").alias("max_genes_detectados"),
-            F.round(100 * F.avg(F.col("found") / F.col("rows")), 2).alias("pct_promedio_genes_detectados"),
+            rounded(100 * F.avg(F.col("found") / F.col("rows")), 2).alias("pct_promedio_genes_detectados"),
         )
         .orderBy(F.desc("media_genes_detectados"), r.cls)
     )
@@ -58,20 +58,20 @@ def value_stats(
     value = F.col(r.value)
     ends = [
         F.count("*").alias("n_registros"),
-        F.round(F.avg(value), 4).alias("media_log2_tpm"),
-        F.round(F.stddev_samp(value), 4).alias("sd_log2_tpm"),
-        F.round(F.min(value), 4).alias("min_log2_tpm"),
-        F.round(F.max(value), 4).alias("max_log2_tpm"),
+        rounded(F.avg(value), 4).alias("media_log2_tpm"),
+        rounded(F.stddev_samp(value), 4).alias("sd_log2_tpm"),
+        rounded(F.min(value), 4).alias("min_log2_tpm"),
+        rounded(F.max(value), 4).alias("max_log2_tpm"),
     ]
     if exact:
         ranked = exact_quantiles(long, [r.cls], r.value, QUARTILES, buckets, few_groups=True)
-        quartiles = ranked.select(r.cls, *[F.round(q, 4).alias(q) for q in QUARTILES])
+        quartiles = ranked.select(r.cls, *[rounded(q, 4).alias(q) for q in QUARTILES])
         stats = join_null_safe(long.groupBy(r.cls).agg(*ends), quartiles, [r.cls])
     else:
         points = F.percentile_approx(value, list(QUARTILES.values()), accuracy).alias("_points")
         stats = long.groupBy(r.cls).agg(*ends, points)
         for at, q in enumerate(QUARTILES):
-            stats = stats.withColumn(q, F.round(F.get("_points", F.lit(at)), 4))
+            stats = stats.withColumn(q, rounded(F.get("_points", F.lit(at)), 4))
     return stats.select(
         r.cls, "n_registros", "media_log2_tpm", "sd_log2_tpm", "min_log2_tpm", *QUARTILES, "max_log2_tpm"
     ).orderBy(r.cls)

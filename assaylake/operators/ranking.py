@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions import rounded
 from ..roles import DEFAULT, Roles
 
 
@@ -35,7 +36,7 @@ def variable_features(long: DataFrame, n: int = 5000, r: Roles = DEFAULT) -> Dat
     return top.select(
         r.feature,
         r.feature_name,
-        *[F.round(c, 4).alias(c) for c in ("media_global", "sd_entre_clases", "rango_entre_clases")],
+        *[rounded(c, 4).alias(c) for c in ("media_global", "sd_entre_clases", "rango_entre_clases")],
     )
 
 
@@ -64,7 +65,7 @@ def top_features(long: DataFrame, k: int = 10, r: Roles = DEFAULT) -> DataFrame:
             F.col("rank_gen").cast("bigint").alias("rank_gen"),
             r.feature,
             r.feature_name,
-            F.round("_mean", 4).alias("avg_log2_tpm"),
+            rounded("_mean", 4).alias("avg_log2_tpm"),
         )
         .orderBy(r.cls, "rank_gen")
     )

@@ -71,3 +71,18 @@ def test_decode_outside_the_labels(spark):
 @pytest.mark.parametrize("share, want", [(0.7, "train"), (0.71, "validation"), (0.85, "validation"), (0.86, "test"), (1.0, "test")])
 def test_split_label(spark, share, want):
     assert one(spark, fn.split_label(F.col("c")), c=share) == want
+
+
+def test_rounded_is_what_sql_rounds_to(spark):
+    import duckdb
+
+    values = [409 / 4000, -409 / 4000, 0.10225, 1.005, 0.12345, 2.5, 0.00005, 1 / 3, 0.0, None]
+    values += [k / 20_000 for k in range(1, 20_000, 2)]  # halves at four decimals
+    frame = spark.createDataFrame([(v,) for v in values], "x double").select("x", fn.rounded("x", 4).alias("y"))
+    sql = duckdb.connect()
+    sql.execute("CREATE TABLE t (x DOUBLE)")
+    sql.executemany("INSERT INTO t VALUES (?)", [[v] for v in values[:10]])
+    sql.execute("INSERT INTO t SELECT k / 2e4 FROM range(1, 20000, 2) r(k)")
+    got, expected = frame.collect(), dict(sql.execute("SELECT DISTINCT x, round(x, 4) FROM t").fetchall())
+    assert [r["y"] for r in got] == [expected[r["x"]] for r in got]
+    assert {r["x"]: r["y"] for r in got}[409 / 4000] == 0.1022
