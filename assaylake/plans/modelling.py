@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..models import training
 from ..models.storage import save_model
 from ..operators import curves, evaluate, matrix, ranking
+from ..operators.ordered import join_null_safe
 from ..roles import DEFAULT, Roles
 from ..session import reliable
 from ..sinks.tables import publish
@@ -24,7 +25,7 @@ class Comparison:
     predictions: DataFrame
     labels: list[str]
     metrics: DataFrame
-    #: Rows per class and split that no model could score, as training had none of the class.
+    #: Samples per class and split that no model could score, as training had none of the class.
     unknown: DataFrame
 
     @property
@@ -60,7 +61,19 @@ def compare_models(
     labels = training.label_names(next(iter(models.values())))
     predictions = reliable(training.predict_all(models, split, r))
     return Comparison(features, split, models, predictions, labels, evaluate.metrics_table(predictions, len(labels)),
-                      training.unknown_classes(split, next(iter(models.values())), r))
+                      training.unknown_classes(_unseen_samples(long, split, labels, r), next(iter(models.values())), r))
+
+
+def _unseen_samples(long: DataFrame, split: DataFrame, labels: Sequence[str], r: Roles) -> DataFrame:
+    """All samples of classes outside ``labels`` with their split.
+
+    One without any of the chosen features has no row in the matrix, so the samples come from the long table. It lies where
+    the other samples of its subject do; a subject without a row in the matrix has no split.
+    """
+    unseen = ~F.coalesce(F.col(r.cls).isin(list(labels)), F.lit(False))
+    samples = long.filter(unseen).select(r.sample, r.subject, r.cls).distinct()
+    placed = split.filter(unseen).select(r.subject, r.cls, "split").distinct()
+    return join_null_safe(samples, placed, [r.subject, r.cls])
 
 
 def best_model_reports(c: Comparison, r: Roles = DEFAULT) -> dict[str, DataFrame]:

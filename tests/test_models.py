@@ -70,6 +70,15 @@ def test_unknown_classes_are_set_aside(spark, compared):
     assert compared.unknown.count() == 0
 
 
+def test_unknown_classes_count_samples_without_a_chosen_feature(spark):
+    long = values(spark)
+    odd = [(f"Z{i}", "pZ", "Z", g, g.lower(), 1.5) for i in range(3) for g in (FEATURES if i < 2 else FEATURES[3:])]
+    odd.append(("Z9", "pZ9", "Z", "G4", "g4", 1.5))
+    found = modelling.compare_models(long.unionByName(spark.createDataFrame(odd, long.schema)), n_features=3, names=["NaiveBayes"])
+    assert "G4" not in found.features
+    assert sorted(map(tuple, found.unknown.collect()), key=repr) == [("Z", "test", 3), ("Z", None, 1)]
+
+
 def test_store_load_and_score(spark, compared, tmp_path):
     path = str(tmp_path / "best")
     storage.save_model(spark, compared.models["LogisticRegression"], path, compared.features)
