@@ -84,8 +84,9 @@ def write_long(
     gathered.write.format(fmt).mode("overwrite").partitionBy(*by).save(path)
 
 
-#: Rows of a bucket, about, and buckets at most (Spark allows 100,000): beyond, buckets grow.
-BUCKET_ROWS, MOST_BUCKETS = 20_000_000, 50_000
+#: Rows of a bucket, about, and buckets at most (Spark allows 100,000): beyond, buckets grow. One task sorts a bucket's rows,
+#: of some 400 bytes each, so a bucket takes about 200 MB of a task's memory.
+BUCKET_ROWS, MOST_BUCKETS = 500_000, 50_000
 
 
 def write_by_sample(

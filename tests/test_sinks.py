@@ -154,3 +154,13 @@ def test_rows_of_catalog_tables_without_a_scan(spark, frame, name, tmp_path):
         assert status.first()["filas"] == 62
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {plain}")
+
+
+def test_buckets_by_sample_stay_small(spark, tmp_path):
+    """A task sorts a bucket, so more rows give more buckets and not larger ones."""
+    n = 1_200_000
+    long = spark.range(n).selectExpr("string(id % 50000) AS sample_id", "string(id div 50000) AS gene_id_base", "id")
+    stored = sinks.write_by_sample(long, f"small_buckets_{uuid.uuid4().hex}", str(tmp_path / "t"))
+    per_bucket = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_bucket) == n
+    assert max(per_bucket) < 600_000
