@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .functions import log2p1
+from .functions import character_counts, log2p1
 from .operators import prepare
 from .plans.trusted import Trusted
 from .roles import DEFAULT as R
@@ -105,14 +105,12 @@ def undeduplicated_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long frame with class signal: how often each letter occurs in each whole document.
 
-    A document is one row, so its letters are counted inside the row and nothing is shuffled.
+    A document is one row, so its letters are counted inside the row, in one pass, and nothing is shuffled.
     """
     letters = (
         table(spark, sf_dir, "documents")
-        .select("doc_id", "lang", F.lower("text").alias("lowered"))
-        .select("doc_id", "lang", "lowered", F.explode(F.array_distinct(F.split("lowered", ""))).alias("letter"))
+        .select("doc_id", "lang", F.inline(character_counts(F.lower("text"))))
         .filter(F.col("letter").rlike(r"^\p{L}$"))
-        .withColumn("n", F.length("lowered") - F.length(F.replace("lowered", "letter", F.lit(""))))
     )
     return letters.select(
         F.col("doc_id").cast("string").alias(R.sample),
