@@ -1,6 +1,8 @@
 import hashlib
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from assaylake.llm import blocks, queries, repeats
@@ -69,3 +71,28 @@ def test_columns_stay_and_characters_go_whole(spark, odd, empty):
     both = spark.createDataFrame([(1, "a\u00e9" + "b" * 400), (2, "x\u0169" + "b" * 400)], "doc_id long, text string")
     assert [r.n_removed for r in repeats.find_repeats(both).collect()] == [401, 401]
     assert [r.text for r in repeats.remove_repeats(both).orderBy("doc_id").collect()] == ["a", "x"]
+
+
+def test_hashes_hold_no_tables_of_a_blocks_size():
+    """A worker that has hashed a block keeps little, and needs little besides the sums while it does."""
+    data = np.random.default_rng(1).integers(0, 256, 1 << 20).astype(np.uint8)
+    starts = np.arange(0, len(data) - 400, 997)
+    blocks.span_hashes(blocks.prefix_hashes(data[:1000]), np.array([0, 1]), np.array([5, 9]))
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    prefix = blocks.prefix_hashes(data)
+    hashes = blocks.span_hashes(prefix, starts, starts + 400)
+    held = len(prefix) * 8 + len(hashes) * 8
+    after, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert after - before < held + (1 << 20) and most - before < held + (4 << 20)
+    # Equal bytes have equal hashes wherever they stand, also across the places where work is parted.
+    twice = np.concatenate((data[:200_000], data[:200_000]))
+    prefix, at = blocks.prefix_hashes(twice), np.arange(0, 199_000, 501)
+    assert np.array_equal(blocks.span_hashes(prefix, at, at + 900), blocks.span_hashes(prefix, at + 200_000, at + 200_900))
+
+
+def test_cut_and_decoded_by_one_worker(documents):
+    """A task of the last step runs one Python worker."""
+    plan = repeats.remove_repeats(documents, width=250)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan
