@@ -120,3 +120,14 @@ def test_links_of_one_text():
     assert shared.starts[-1] == found.n_shared_group().sum() >= found.together.sum() == found.n_groups.sum()
     lengths = align.tokenizer(A).spelling.lengths[found.a_ids]
     assert np.array_equal(np.bincount(found.link_a, found.shared), lengths)
+
+
+def test_what_is_done_byte_by_byte_takes_half_the_room():
+    """Bytes are counted in 32 bits; sums and products that pass them are not cut."""
+    lengths = np.array([3, 1, 4])
+    found = align.product(align.incidence(lengths), align.incidence(lengths[::-1]).transposed())
+    assert found.columns.dtype == np.int32 and found.values.tolist() == [3, 1, 1, 3]
+    assert align.index_type(1 << 31) is np.int64
+    large = align.Rows(np.array([0, 2]), np.array([0, 1], np.int32), np.full(2, 1 << 30, np.int32), 2)
+    column = align.Rows(np.array([0, 1, 2]), np.zeros(2, np.int32), np.full(2, 1 << 20, np.int32), 1)
+    assert align.product(large, column).values.tolist() == [1 << 51]
