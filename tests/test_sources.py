@@ -127,3 +127,20 @@ def test_table_or_compute(spark):
     assert made.count() == 3
     status = tables.table_status(spark)
     assert status.filter("existe").count() == 0
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """A folder a file, as raw files come: listing starts a few tasks for each core, not one for each folder."""
+    for i in range(400):
+        (tmp_path / f"folder{i}").mkdir()
+        (tmp_path / f"folder{i}" / "part-a.tsv").write_text("gene_id\n")
+    context, group = spark.sparkContext, f"listing-{tmp_path.name}"
+    context.setJobGroup(group, "listing")
+    try:
+        assert measurements.list_raw_files(spark, str(tmp_path), "part-").count() == 400
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    tasks = [info.numTasks for s in stages if (info := tracker.getStageInfo(s))]
+    assert 1 < max(tasks) <= max(32, 4 * context.defaultParallelism) < 400
