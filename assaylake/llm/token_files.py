@@ -6,15 +6,18 @@ documents and their lengths, and the coded ids. Spark commits the rows, so a los
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from . import rans
+from .align import byte_alphabet
 from .blocks import squeeze, unsqueeze
 from .common import as_bytes, small_batches
 
@@ -23,19 +26,25 @@ SEGMENT_IDS = 2_000_000
 PART_BYTES = 16 << 20
 #: Words of late whose ids a worker remembers; it also keeps as many earlier ones.
 REMEMBERED = 300_000
+#: Bytes of text whose new words are learnt together.
+LEARNT_BYTES = 1 << 18
 _SEGMENT = "part int, seq int, n_tokens long, n_docs long, docs binary, payload binary"
 _SCHEMA = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("docs", pa.binary()), ("payload", pa.binary())]
 )
 _DOCS = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 _MARKS = b".,;:!?%&$*#|-()\""
+#: Words of small letters below U+0100, and words that end in a letter of that range.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_LETTER_LAST = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])\Z")
 
 
 class WordCoder:
     """Ids of texts by a tokenizer that drops white space and whose tokens never reach over it.
 
-    Texts are parted at ASCII white space and each different word is handed to the tokenizer once. Marks after an
-    ASCII letter begin a token of their own, so a word and the marks after it are remembered apart.
+    Texts are parted at ASCII white space and each different word is handed to the tokenizer once. Marks after a
+    letter begin a token of their own, so a word and the marks after it are remembered apart. Words of small Latin
+    letters are one token before merging, whatever the steps before make of them, and go to the merges alone.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
@@ -48,8 +57,34 @@ class WordCoder:
         # Words of late, and those before them, which are forgotten next.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        # The merges alone, which read bytes in the alphabet of byte-level vocabularies; ids that end a word.
+        self.merges = tokenizers.Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = tokenizers.pre_tokenizers.WhitespaceSplit()
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+        suffix, vocabulary = getattr(self.tokenizer.model, "end_of_word_suffix", None), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
 
     def _learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        if not self._merged(plain):
+            self._whole(words)
+        elif len(plain) < len(words):
+            self._whole([w for w in words if w not in self.known])
+
+    def _merged(self, words: list[bytes]) -> bool:
+        """Joined by spaces, some thousand at a time; a word is over where an id ends one. False if that can't be told."""
+        for i in range(0, len(words), 4096):
+            batch = words[i : i + 4096]
+            ids = np.array(self.merges.encode_batch_fast([b" ".join(batch).decode("latin-1").translate(self.letters | {0x20: " "})], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()]
+            if len(cuts) != len(batch) + 1 or cuts[-1] != 4 * len(ids):
+                return False
+            raw = ids.tobytes()
+            self.known.update(zip(batch, (raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+        return True
+
+    def _whole(self, words: list[bytes]) -> None:
         """Joined by spaces, a few hundred at a time; where a token stands tells whose it is."""
         for i in range(0, len(words), 256):
             batch = [w.decode() for w in words[i : i + 256]]
@@ -63,39 +98,62 @@ class WordCoder:
                 self.known[word] = raw[4 * cuts[j] : 4 * cuts[j + 1]]
 
     def _cased(self, text: bytes) -> bytes:
-        """The text in lower case, where that leaves the ids as they are: in ASCII, beside words with special tokens."""
-        if not text.isascii():
-            return text
-        lower = text.lower()
+        """The text in lower case, where that leaves the ids as they are: below U+0100, where nothing composes, beside
+        words with special tokens."""
+        if text.isascii():
+            lower = text.lower()
+        else:
+            chars = text.decode()
+            try:
+                chars.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+            lower = chars.lower().encode()
         if not any(t in lower for t in self.special):
             return lower
         keep = lambda word: any(t in word.lower() for t in self.special)
-        return b" ".join(w if keep(w) else w.lower() for w in text.split())
+        return b" ".join(w if keep(w) else w.decode().lower().encode() for w in text.split())
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text as little-endian 32-bit numbers."""
-        words = self._cased(text).split()
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        """As ``encode``, text by text; the new words of some texts are learnt at once."""
+        waiting, held = [], 0
+        for text in texts:
+            waiting.append(self._cased(text).split())
+            held += len(text)
+            if held >= LEARNT_BYTES:
+                yield from self._known(waiting)
+                waiting, held = [], 0
+        yield from self._known(waiting)
+
+    def _known(self, texts: list[list[bytes]]) -> list[bytes]:
         known = self.known
-        fresh = {w for w in words if w not in known}
+        if len(known) > self.remembered:
+            self.older, self.known = known, {}
+            known = self.known
+        # What these texts need, apart: most look-ups so meet a small table.
+        near = dict.fromkeys(chain.from_iterable(texts))
+        near.update(zip(near, map(known.get, near), strict=True))
+        fresh = {word for word, ids in near.items() if ids is None}
         if fresh:
-            if len(known) > self.remembered:
-                self.older, self.known = known, {}
-                known, fresh = self.known, set(words)
+            back = fresh & self.older.keys()
+            known.update(zip(back, map(self.older.__getitem__, back), strict=True))
             parted = {}
-            for word in fresh:
-                if (ids := self.older.get(word)) is not None:
-                    known[word] = ids
-                    continue
+            for word in fresh - back:
                 core = word.rstrip(_MARKS)
-                if core and core != word and (core[-1] | 0x20) in range(0x61, 0x7B):
+                if core != word and _LETTER_LAST.search(core):
                     parted[word] = (core, word[len(core) :])
-            needed = (fresh - parted.keys()).union(*parted.values())
+            needed = (fresh - back - parted.keys()).union(*parted.values())
             for word in needed & self.older.keys():
                 known[word] = self.older[word]
             self._learn([w for w in needed if w not in known])
             for word, (core, marks) in parted.items():
                 known[word] = known[core] + known[marks]
-        return b"".join(map(known.__getitem__, words))
+            near.update(zip(fresh, map(known.__getitem__, fresh), strict=True))
+        return [b"".join(map(near.__getitem__, text)) for text in texts]
 
 
 @cache
@@ -122,9 +180,9 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end: int, key:
         part, seq, coded = TaskContext.get().partitionId(), 0, coder(tokenizer)
         keys, parts, held = [], [], 0
         for batch in batches:
-            for k, t in zip(batch.column("key").to_pylist(), as_bytes(batch.column("text")), strict=True):
+            for k, ids in zip(batch.column("key").to_pylist(), coded.encode_all(as_bytes(batch.column("text"))), strict=True):
                 keys.append(k)
-                parts.append(coded.encode(t) + last)
+                parts.append(ids + last)
                 held += len(parts[-1])
                 if held >= 4 * SEGMENT_IDS:
                     yield _segment(part, seq, keys, parts)

@@ -82,3 +82,21 @@ def test_damage_is_found():
     for bad in (bytes(altered), coded[:-100], b"?" + coded[1:]):
         with pytest.raises(ValueError):
             rans.decode(bad)
+
+
+@pytest.mark.parametrize(
+    "text", ["Étude ÀÍà íß, naÏve... été! ÿŸ x×y÷z", "É<|ENDOFTEXT|>É Straße%% µm ª² ¼ ½", "word wörd WÖRD's l'ÉTÉ. été́ \xa0nbsp\xa0É\xad \x85É"]
+)
+def test_letters_below_256(plain, text):
+    for remembered in (0, 1000):
+        coder = token_files.WordCoder(PATH, remembered)
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all([text.encode(), b"", text.upper().encode()])] == [plain(text), [], plain(text.upper())]
+
+
+def test_plain_words_are_merged_without_the_steps_before():
+    """Words of letters, with marks and capitals or without, never go through the tokenizer's steps before the merges."""
+    coder = token_files.WordCoder(PATH)
+    coder._whole = lambda words: pytest.fail(f"{words} went through the whole tokenizer") if set(words) - {b".", b",", b"!!"} else None
+    coder.known.update({b".": b"", b",": b"", b"!!": b""})
+    assert len(coder.encode("Étude naïve, Plainword. été!!".encode())) > 0
+    assert {"étude".encode(), "naïve".encode(), b"plainword", "été".encode()} <= coder.known.keys()
