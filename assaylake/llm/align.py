@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,10 @@ BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 20_000
 #: Characters of text that a tokenizer gets at once; a longer text is cut where no token can reach across.
 SECTION = 1 << 18
 _SAFE_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Units (words, roughly) of late whose ids a worker remembers; it also keeps as many earlier ones. Longer units are not parted off.
+REMEMBERED, LONGEST_UNIT = 150_000, 100
+_UNIT, _MEETING = re.compile(" ?[^ \n]+|\n"), re.compile(r"\s(?:\s|\Z)")
+_ID = np.dtype("<u4")
 
 
 # Matrices in compressed sparse rows
@@ -169,9 +174,56 @@ class ByteLevel:
             # An added token with characters outside the alphabet stands for its own text.
             spelled[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         self.spelling = Spelling(spelled)
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        # Units of late and their ids, and those before them, which are forgotten next.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[list[int] | np.ndarray]:
+        parted = [units(f" {t}") for t in texts]
+        whole = [i for i, found in enumerate(parted) if found is None]
+        out: list = self._remembered([found or [] for found in parted])
+        for i, ids in zip(whole, self._plain([f" {texts[i]}" for i in whole]), strict=True):
+            out[i] = ids
+        return out
+
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _remembered(self, texts: list[list[str]]) -> list[np.ndarray]:
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        near = dict.fromkeys(chain.from_iterable(texts))
+        near.update(zip(near, map(self.known.get, near), strict=True))
+        fresh = {unit for unit, ids in near.items() if ids is None}
+        if fresh:
+            back = fresh & self.older.keys()
+            found = dict(zip(back, map(self.older.__getitem__, back), strict=True))
+            found |= self._learnt([unit for unit in fresh if unit not in back])
+            self.known.update(found)
+            near.update(found)
+        return [np.frombuffer(b"".join(map(near.__getitem__, text)), _ID) for text in texts]
+
+    def _learnt(self, fresh: list[str]) -> dict[str, bytes]:
+        """Units with a space before them are encoded as one text; the bytes that its tokens spell tell whose they are."""
+        spaced, others = [u for u in fresh if u[0] == " "], [u for u in fresh if u[0] != " "]
+        ids = np.array(self._plain(["".join(spaced)])[0], _ID)
+        ends, own = np.cumsum(self.spelling.lengths[ids]), np.cumsum([len(u.encode()) for u in spaced], dtype=np.int64)
+        cuts = np.searchsorted(ends, own, side="right")
+        if not np.array_equal(ends[cuts - 1] if len(ids) else ends, own):
+            spaced, others, cuts = [], fresh, cuts[:0]
+        raw, cuts = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        found = dict(zip(spaced, (raw[a:b] for a, b in pairwise(cuts)), strict=True))
+        found.update(zip(others, (np.array(x, _ID).tobytes() for x in self._plain(others)), strict=True))
+        return found
+
+
+def units(text: str) -> list[str] | None:
+    """A text parted at single spaces and line feeds, where a byte-level tokenizer's tokens end: a space goes with what follows.
+    None for a text where white space meets white space or its end, or with a unit too long to be remembered."""
+    if _MEETING.search(text):
+        return None
+    parts = _UNIT.findall(text)
+    return None if parts and len(max(parts, key=len)) > LONGEST_UNIT else parts
 
 
 class PieceModel:

@@ -131,3 +131,28 @@ def test_what_is_done_byte_by_byte_takes_half_the_room():
     large = align.Rows(np.array([0, 2]), np.array([0, 1], np.int32), np.full(2, 1 << 30, np.int32), 2)
     column = align.Rows(np.array([0, 1, 2]), np.zeros(2, np.int32), np.full(2, 1 << 20, np.int32), 1)
     assert align.product(large, column).values.tolist() == [1 << 51]
+
+
+@pytest.mark.parametrize("remembered", [0, 1000])
+def test_units_apart_equal_the_whole(monkeypatch, remembered):
+    monkeypatch.setattr(align, "REMEMBERED", remembered)
+    coder, whole = align.ByteLevel(A), tokenizers.Tokenizer.from_file(A)
+    whole.encode_special_tokens = True
+    texts = [
+        "it's I'll 's 'S x's, don't 12 3a4 a1. naïve 日本語\nnext line. end\n\nfeed", "a\nb\nc", "tail\n", "tail ", " lead", "two  spaces", "tab\t x\ty\x0bz", "nbsp\xa0x \xa0y",
+        "next\x85line \x1cx\x1c", "thin space ideographic　space   x", "﻿bom a​b", "<|endoftext|> x<|endoftext|> y", "é '́s 👩‍👩‍👧!!", "A" * 3000 + " b", "\n", " ", "...\n'll",
+    ]
+    for _ in range(3):
+        got = coder.ids(texts)
+        assert [list(x) for x in got] == [whole.encode(f" {t}", add_special_tokens=False).ids for t in texts]
+
+
+def test_each_unit_is_encoded_once():
+    """A word that comes again, in this text or another, does not go to the library again."""
+    coder, asked = align.ByteLevel(A), []
+    plain = coder._plain
+    coder._plain = lambda texts: asked.extend(texts) or plain(texts)
+    first = coder.ids(["some words of some words\nand some more"])
+    coder.ids(["more words of some", "some more"])
+    assert "".join(asked).count(" some") == 1 and "".join(asked).count(" more") == 1
+    assert coder.tokenizer.decode(first[0].tolist()) == " some words of some words\nand some more"
