@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import small_batches, stored
+from .common import release_memory, small_batches, sort_merged, stored
 from .vectors import matrix, one_per_id
 
 SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 8192, 512, 64
@@ -40,19 +40,19 @@ class Ball:
 
 def ball_tree(vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Ball:
     """Halves at the median along the component that varies most, down to leaves of ``leaf_rows`` at most."""
+    return _ball(vectors, np.arange(len(vectors)), leaf_rows)
 
-    def build(rows: np.ndarray) -> Ball:
-        own = vectors[rows]
-        centre = own.mean(0)
-        radius = float(np.sqrt(((own - centre) ** 2).sum(1).max()))
-        if len(rows) <= leaf_rows or radius == 0:
-            return Ball(centre, radius, rows)
-        axis = int(np.argmax(own.max(0) - own.min(0)))
-        order = np.argsort(own[:, axis], kind="stable")
-        half = len(rows) // 2
-        return Ball(centre, radius, None, (build(rows[order[:half]]), build(rows[order[half:]])))
 
-    return build(np.arange(len(vectors)))
+def _ball(vectors: np.ndarray, rows: np.ndarray, leaf_rows: int) -> Ball:
+    own = vectors[rows]
+    centre = own.mean(0)
+    radius = float(np.sqrt(((own - centre) ** 2).sum(1).max()))
+    if len(rows) <= leaf_rows or radius == 0:
+        return Ball(centre, radius, rows)
+    axis = int(np.argmax(own.max(0) - own.min(0)))
+    order = np.argsort(own[:, axis], kind="stable")
+    half, own = len(rows) // 2, None
+    return Ball(centre, radius, None, (_ball(vectors, rows[order[:half]], leaf_rows), _ball(vectors, rows[order[half:]], leaf_rows)))
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -132,6 +132,7 @@ def _searched(pairs: DataFrame, k: int, scale: float) -> DataFrame:
                 search = Search(queries.field("id").to_numpy(), whole_numbers(matrix(queries.field("vector")), scale), least, k)
                 search.visit(ball_tree(vectors), np.arange(len(least)), ids, vectors)
                 yield search.results()
+                release_memory()
 
     return pairs.select("queries", "rows").mapInArrow(run, _FOUND)
 
@@ -164,7 +165,7 @@ def top_products(
         own = F.pmod("part", F.lit(n_shards))
         others = F.filter(F.sequence(F.lit(0), F.lit(n_shards - 1)), lambda s: s != own)
         blocks = _dealt(asked, "queries", n_blocks, "least")
-        return blocks.withColumn("shard", F.explode(F.array(own) if first else others)).join(shards, ["d", "shard"])
+        return blocks.withColumn("shard", F.explode(F.array(own) if first else others)).join(sort_merged(shards), ["d", "shard"])
 
     start = stored(_searched(paired(queries.withColumn("least", F.lit(None).cast("long")), True), k, scale), "wave")
     bars = start.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)

@@ -1,3 +1,6 @@
+import gc
+import weakref
+
 import numpy as np
 import pytest
 
@@ -176,3 +179,28 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(51)} | {60: 60, 70: 60, 100: 60, 200: 200, 201: 200}
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def _final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_query_blocks_are_not_broadcast(vectors):
+    """A block of queries comes once for each shard: many times what Spark takes it for."""
+    found = balltree.top_products(vectors, lambda i: i % 3 == 0, k=5, shard_rows=30, query_rows=16)
+    assert "HashJoin [d" not in _final_plan(found)
+
+
+def test_no_tree_keeps_its_vectors():
+    """Nothing refers back to a tree that is done with: a worker builds very many."""
+    vectors = np.random.default_rng(4).standard_normal((300, 4))
+    gc.collect()
+    gc.disable()
+    try:
+        seen = weakref.ref(vectors)
+        balltree.ball_tree(vectors, 20)
+        del vectors
+        assert seen() is None
+    finally:
+        gc.enable()
