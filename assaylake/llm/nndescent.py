@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import small_batches, stored
+from .common import small_batches, sort_merged, stored
 from .graph import components
 from .vectors import matrix, usable
 
@@ -51,10 +51,11 @@ def _alike(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch if (lengths == d).all() else batch.take(pa.array(np.flatnonzero(lengths == d)))
 
 
-def _codes(rows: DataFrame, trees: list[int], bits: int) -> DataFrame:
-    """Each vector once per tree; its code is its length and the signs of ``bits`` random projections."""
+def _codes(rows: DataFrame, trees: list[int], bits: int, *along: str) -> DataFrame:
+    """Each vector once per tree, with the columns ``along``; its code is its length and the signs of ``bits`` random projections."""
     small_batches(rows.sparkSession)
-    schema = "tree int, code long, id long, vector " + dict(rows.dtypes)["vector"]
+    kinds, kept = dict(rows.dtypes), ["id", "vector", *along]
+    schema = ", ".join(["tree int, code long", *(f"{c} {kinds[c]}" for c in kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for batch in batches for p in _alike(batch)):
@@ -63,10 +64,10 @@ def _codes(rows: DataFrame, trees: list[int], bits: int) -> DataFrame:
                 planes = np.random.default_rng(1000 + tree).standard_normal((units.shape[1], bits))
                 code = ((units @ planes > 0) << np.arange(bits)).sum(1) + (units.shape[1] << bits)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tree] * n, pa.int32()), pa.array(code), part.column("id"), part.column("vector")], ["tree", "code", "id", "vector"]
+                    [pa.array([tree] * n, pa.int32()), pa.array(code), *(part.column(c) for c in kept)], ["tree", "code", *kept]
                 )
 
-    return rows.select("id", "vector").mapInArrow(run, schema)
+    return rows.select(*kept).mapInArrow(run, schema)
 
 
 def _grouped(rows: DataFrame, keys: list[str], n_rows: int, compare: Callable[[pa.Table], Iterator[tuple]], schema: str, arrow: pa.Schema, share: int = 4096) -> DataFrame:
@@ -106,9 +107,7 @@ def _trees(n: int, threshold: float) -> int:
 def _proposals(rows: DataFrame, n: int, trees: list[int], apart: float | None = None) -> DataFrame:
     """Pairs from buckets of equal codes. A bucket of very many vectors is dealt in chunks by a hash. With ``apart``, a
     threshold, rows carry a ``group`` and pairs are links between different groups."""
-    coded = _codes(rows, trees, _bits(n))
-    if apart is not None:
-        coded = coded.join(rows.select("id", "group"), "id")
+    coded = _codes(rows, trees, _bits(n), *(["group"] if apart is not None else []))
     full = coded.groupBy("tree", "code").agg(F.count("*").alias("m")).where(F.col("m") > CHUNK)
     chunk = F.coalesce(F.pmod(F.xxhash64("id", "tree"), F.ceil(F.col("m") / CHUNK)), F.lit(0)).cast("long")
     dealt = coded.join(full, ["tree", "code"], "left").withColumn("chunk", chunk).drop("m")
@@ -144,7 +143,7 @@ def _refined(rows: DataFrame, lists: DataFrame, n: int, turn: int) -> DataFrame:
     known = rows.select("id", "vector").join(bars, F.col("id") == F.col("of"), "left").select("id", "vector", F.coalesce("bar", F.lit(-1.0)).alias("bar"))
     wide = meet.groupBy("at").agg(F.count("*").alias("m")).where("m > 64")
     chunk = F.coalesce(F.pmod(F.xxhash64("id", F.lit(turn)), F.ceil(F.col("m") / 64)), F.lit(0)).cast("long")
-    dealt = meet.join(wide, "at", "left").withColumn("chunk", chunk).drop("m").join(known, "id")
+    dealt = meet.join(wide, "at", "left").withColumn("chunk", chunk).drop("m").join(sort_merged(known), "id")
 
     def compare(table: pa.Table) -> Iterator[tuple]:
         if table.num_rows < 2:
@@ -303,7 +302,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, key: str = "v
     of = of.select("vector", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "first").alias("component_id"))
     names = [c for c in vectors.columns if c not in (vector, "n_links", "component_id", "kept", "audited_recall")]
     own = vectors.select(*(F.col(f"`{c}`") for c in names), F.when(F.col(f"`{key}`").isNotNull(), F.col(f"`{vector}`")).alias("_vector"))
-    joined = own.join(of, F.col("_vector") == F.col("vector"), "left").drop("vector", "_vector")
+    joined = own.join(sort_merged(of), F.col("_vector") == F.col("vector"), "left").drop("vector", "_vector")
     component = F.coalesce("component_id", F.col(f"`{key}`").cast("long"))
     return joined.select(
         *(F.col(f"`{c}`") for c in names), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),

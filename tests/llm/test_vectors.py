@@ -204,3 +204,12 @@ def test_no_tree_keeps_its_vectors():
         assert seen() is None
     finally:
         gc.enable()
+
+
+def test_coded_vectors_are_not_broadcast(vectors):
+    """A vector comes once for each code: many times what Spark takes it for."""
+    rows = vectors.where("vec_id < 40").selectExpr("vec_id AS id", "embedding AS vector", "1L AS copies", "vec_id % 2 AS `group`")
+    bridges = nndescent._proposals(rows, 40, list(range(12)), apart=0.9)
+    assert "Join [id" not in _final_plan(bridges)
+    assert {(r.u - r.v) % 2 for r in bridges.collect()} == {1}
+    assert "HashJoin [_vector" not in _final_plan(nndescent.near_vectors(vectors))
