@@ -4,7 +4,8 @@ The relation of length k has one row per occurrence of a group of k words: its p
 group. It is stored in sorted order of piece and position, chunk by chunk; a piece never leaves its chunk. A round
 
 - counts the groups: a chunk sends each of its distinct groups once, with how often it has it, and Spark sums over chunks;
-- semi-joins: occurrences of groups that are not frequent leave the relation before it grows on;
+- semi-joins: occurrences of groups that are not frequent leave the relation before it grows on, at each chunk that is
+  cogrouped with its frequent groups;
 - merge-joins what is left with itself on piece and the next position. Two groups of k words that overlap in k - 1 make one
   of k + 1, named by the pair of its parts, and the new relation comes out in sorted order.
 
@@ -13,6 +14,9 @@ chunk. Relations lie in buckets of chunks, so the frequent groups come to their
 group's number is the lowest place at which a chunk sent it, so no numbering pass is needed and a rerun of a lost task
 gives the same numbers.
 
+A chunk may have a million groups and more, all of them frequent. Spark has them as plain rows or as one packed value of the
+chunk, never as an array: it would make an object of each element.
+
 Odd rows: a null text is empty, a null language is ``und`` and one with texts of that name; repeated rows count as often as
 they stand; an empty table has no phrases. Further columns are left out.
 """
@@ -28,12 +32,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.sizing import broadcast_if_small
 from .blocks import bucketed, squeeze, unsqueeze
-from .common import release_memory, small_batches, stored, text_parts
+from .common import release_memory, small_batches, sort_merged, stored, text_parts
 
-#: Bytes of text of a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text of a chunk; a longer text is a chunk of its own. A worker needs some 20 times as much where all groups are frequent.
+CHUNK_BYTES = 8 << 20
 #: Bytes of text of a bucket of chunks, and buckets at most: beyond, a bucket has several chunks.
-BUCKET_BYTES, MOST_BUCKETS = 32 << 20, 20_000
+BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 20_000
+#: Groups of a chunk that are sent at once; parts of a language that are ranked apart.
+SENT, PARTS = 1 << 16, 64
 #: A group's number is its chunk's number and, in so many bits, its place among the chunk's groups.
 _PLACE_BITS = 28
 #: A chunk's number is its task's and, in so many bits, its place in the task.
@@ -50,10 +56,9 @@ _WORDS = "chunk long, lang array<string>, word array<string>, n array<int>, rela
 _WORDS_SCHEMA = pa.schema([
     ("chunk", pa.int64()), ("lang", pa.list_(pa.string())), ("word", pa.list_(pa.string())), ("n", pa.list_(pa.int32())), ("relation", pa.binary()),
 ])
-_GROUPS = "chunk long, left array<long>, right array<long>, n array<int>, relation binary"
-_GROUPS_SCHEMA = pa.schema([
-    ("chunk", pa.int64()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())), ("relation", pa.binary()),
-])
+#: ``groups`` holds left, right and n of ``size`` groups.
+_GROUPS = "chunk long, groups binary, size int, relation binary"
+_GROUPS_SCHEMA = pa.schema([("chunk", pa.int64()), ("groups", pa.binary()), ("size", pa.int32()), ("relation", pa.binary())])
 
 
 def _packed(piece: np.ndarray, pos: np.ndarray, group: np.ndarray) -> bytes:
@@ -67,6 +72,19 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(steps), pos, group
 
 
+def _packed_groups(left: np.ndarray, right: np.ndarray, n: np.ndarray) -> bytes:
+    return squeeze(b"".join(x.tobytes() for x in (left.astype(np.int64), right.astype(np.int64), n.astype(np.int32))), 3)
+
+
+def _unpacked_groups(blob: bytes) -> dict[str, pa.Array]:
+    data = unsqueeze(blob)
+    size = len(data) // 20
+    return {
+        "left": pa.array(np.frombuffer(data, np.int64, size)), "right": pa.array(np.frombuffer(data, np.int64, size, 8 * size)),
+        "n": pa.array(np.frombuffer(data, np.int32, size, 16 * size)),
+    }
+
+
 def _list(values) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values if isinstance(values, pa.Array) else pa.array(values))
 
@@ -85,8 +103,7 @@ def _first_relation(number: int, langs: list[str | None], data: np.ndarray, ends
     begins[filled] = inside[filled]
     at = np.flatnonzero(begins)
     # A word is what stands inside from its start on, up to the next start.
-    letters = np.concatenate(([0], np.cumsum(inside, dtype=np.int64)))
-    offsets = np.append(letters[at], letters[-1])
+    offsets = np.concatenate(([0], np.cumsum(np.add.reduceat(inside, at, dtype=np.int64) if len(at) else at)))
     words = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data[inside].tobytes())]
     ).dictionary_encode()
@@ -150,17 +167,33 @@ def _stored_relation(df: DataFrame, buckets: int) -> DataFrame:
 # Group-count, semi-join, merge-join
 
 
+def _sent(relation: DataFrame, by: list[str]) -> DataFrame:
+    """A row for each group of a chunk: ``own``, the columns ``by`` and ``n``, from the arrays or the packed groups of a relation."""
+    packed = "groups" in relation.columns
+    kinds = dict(relation.dtypes)
+    schema = ", ".join(["own long", *(f"{c} {'long' if packed else kinds[c][6:-1]}" for c in by), "n int"])
+    small_batches(relation.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                groups = _unpacked_groups(batch.column("groups")[i].as_py()) if packed else {c: batch.column(c)[i].values for c in (*by, "n")}
+                first = batch.column("chunk")[i].as_py() << _PLACE_BITS
+                for at in range(0, len(groups["n"]), SENT):
+                    part = [groups[c].slice(at, SENT) for c in (*by, "n")]
+                    yield pa.RecordBatch.from_arrays([pa.array(first + at + np.arange(len(part[0]))), *part], ["own", *by, "n"])
+                release_memory()
+
+    return relation.select("chunk", *(["groups"] if packed else [*by, "n"])).mapInArrow(run, schema)
+
+
 def frequent_groups(relation: DataFrame, by: list[str], least: int) -> DataFrame:
     """Groups with at least ``least`` occurrences, stored, one row per chunk that has the group: ``own`` (chunk and place of
     the group in it), ``gid`` (the least of them) and ``f``, its occurrences. The columns ``by``, which name a group, are
     given in the row whose own number is the group's, else null.
     """
-    asked = relation.select("chunk", F.posexplode(F.arrays_zip(*by, "n")).alias("at", "g"))
-    own = F.shiftleft("chunk", _PLACE_BITS).bitwiseOR(F.col("at").cast("long")).alias("own")
     same = Window.partitionBy(*by)
-    counted = asked.select(own, *[F.col(f"g.{c}").alias(c) for c in by], F.col("g.n").alias("n")).withColumns(
-        {"f": F.sum("n").over(same), "gid": F.min("own").over(same)}
-    )
+    counted = _sent(relation, by).withColumns({"f": F.sum("n").over(same), "gid": F.min("own").over(same)})
     named = [F.when(F.col("own") == F.col("gid"), F.col(c)).alias(c) for c in by]
     return stored(counted.where(F.col("f") >= least).select("own", "gid", "f", *named), "setm-frequent")
 
@@ -168,33 +201,35 @@ def frequent_groups(relation: DataFrame, by: list[str], least: int) -> DataFrame
 def next_relation(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     """The relation of the next length, not stored: occurrences of frequent groups, merge-joined with themselves."""
     place = F.col("own").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int").alias("at")
-    told = frequent.groupBy(F.shiftright("own", _PLACE_BITS).alias("chunk")).agg(F.collect_list(F.struct(place, "gid")).alias("told"))
-    small_batches(relation.sparkSession)
+    told = frequent.select(F.shiftright("own", _PLACE_BITS).alias("chunk"), place, "gid")
+    size = F.col("size") if "size" in relation.columns else F.size("n").alias("size")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                told = batch.column("told")[i].values
-                if told is not None:
-                    yield _joined(batch.column("chunk")[i].as_py(), batch.column("relation")[i].as_py(), batch.column("size")[i].as_py(), told)
-                release_memory()
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        if not own.num_rows or not told.num_rows:
+            return _GROUPS_SCHEMA.empty_table()
+        joined = _joined(*(own.column(c)[0].as_py() for c in ("chunk", "relation", "size")), told)
+        release_memory()
+        return pa.Table.from_batches([joined])
 
-    sized = relation.select("chunk", "relation", F.size("n").alias("size"))
-    return sized.join(told, "chunk").mapInArrow(run, _GROUPS)
+    return relation.select("chunk", "relation", size).groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _GROUPS)
 
 
-def _joined(chunk: int, blob: bytes, size: int, told: pa.StructArray) -> pa.RecordBatch:
+def _joined(chunk: int, blob: bytes, size: int, told: pa.Table) -> pa.RecordBatch:
     piece, pos, group = _unpacked(blob)
     gid = np.full(size, -1, np.int64)
-    gid[told.field("at").to_numpy()] = told.field("gid").to_numpy()
+    gid[told.column("at").to_numpy()] = told.column("gid").to_numpy()
+    del told, blob
     kept = gid[group] >= 0
     piece, pos, group = piece[kept], pos[kept], group[kept].astype(np.int64)
     # Both sides are one relation, sorted by piece and position and with one row for each: the partner at the next
     # position of the piece can only be the next row.
     at = np.flatnonzero((piece[1:] == piece[:-1]) & (pos[1:] == pos[:-1] + 1))
     pairs, place, counts = np.unique(group[at] * size + group[at + 1], return_inverse=True, return_counts=True)
-    columns = [_list(x) for x in (gid[pairs // size], gid[pairs % size], counts.astype(np.int32))]
-    return pa.RecordBatch.from_arrays([pa.array([chunk]), *columns, pa.array([_packed(piece[at], pos[at], place)], pa.binary())], schema=_GROUPS_SCHEMA)
+    del group, kept
+    own = _packed(piece[at], pos[at], place)
+    del piece, pos, at, place
+    groups = _packed_groups(gid[pairs // size], gid[pairs % size], counts)
+    return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([groups], pa.binary()), pa.array([len(pairs)], pa.int32()), pa.array([own], pa.binary())], schema=_GROUPS_SCHEMA)
 
 
 # Phrases and their scores
@@ -222,8 +257,7 @@ def mine_phrases(
     """
     relation = word_occurrences(documents, text, lang, chunk_bytes)
     frequent = frequent_groups(relation, ["lang", "word"], least)
-    counts = relation.select(F.explode(F.arrays_zip("lang", "n")).alias("w"))
-    n_words = broadcast_if_small(stored(counts.groupBy("w.lang").agg(F.sum("w.n").alias("n")), "setm-words"))
+    n_words = broadcast_if_small(stored(_sent(relation, ["lang"]).groupBy("lang").agg(F.sum("n").alias("n")), "setm-words"))
     buckets = _buckets(documents.select(F.col(f"`{text}`").alias("text")))
     ones = F.array("f")
     groups = _named(frequent).select("gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", ones.alias("firsts"), ones.alias("lasts"))
@@ -231,7 +265,7 @@ def mine_phrases(
     for length in range(2, longest + 1):
         relation = _stored_relation(next_relation(relation, frequent), buckets)
         frequent = frequent_groups(relation, ["left", "right"], least)
-        part = lambda side, *named: groups.select(F.col("gid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in named])  # noqa: E731, B023
+        part = lambda side, *named: sort_merged(groups.select(F.col("gid").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in named]))  # noqa: E731, B023
         longer = _named(frequent).join(part("left", "lang", "phrase", "firsts"), "left").join(part("right", "last", "lasts"), "right")
         # Occurrences of the phrase's first one, two, ... words, and of its last ones.
         longer = stored(longer.select(
@@ -264,7 +298,10 @@ def _reported(found: list[DataFrame], n_words: DataFrame, top: int | None) -> Da
     phrases = parts[0]
     for part in parts[1:]:
         phrases = phrases.unionByName(part)
-    best = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    ranked = phrases.withColumn("rank", F.row_number().over(best).cast("long"))
+    order = [F.desc("cut.score"), F.desc("a"), F.col("phrase")]
+    if top is not None:  # a language has very many phrases; what is not among the best of its part is not among the best
+        part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+        phrases = phrases.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    ranked = phrases.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     ranked = ranked if top is None else ranked.where(F.col("rank") <= top)
     return ranked.join(n_words, "lang").select("lang", "rank", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")

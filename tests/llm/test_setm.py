@@ -80,3 +80,29 @@ def test_query_equals_sql(spark, sf):
     got = queries.op11_phrases(spark, sf)
     want = db.execute(f"SELECT {', '.join(got.columns)} FROM ({registry.ORACLE_SQL['op11_phrases']})").fetchall()
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_a_chunk_of_many_frequent_groups_is_sent_in_rows(spark, documents, monkeypatch):
+    """Every group is frequent; Spark gets no array of them, and no relation is shuffled."""
+    monkeypatch.setattr(setm, "SENT", 1000)
+    relation = setm.word_occurrences(documents, chunk_bytes=100_000)
+    frequent = setm.frequent_groups(relation, ["lang", "word"], 1)
+    assert frequent.count() == relation.select(F.sum(F.size("word"))).first()[0] > 1000
+    longer = setm.next_relation(relation, frequent)
+    assert longer.collect() and not any(kind.startswith("array") for _, kind in longer.dtypes)
+    plan = longer._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1
+    for row in longer.collect():
+        groups = setm._unpacked_groups(row.groups)
+        assert [len(g) for g in groups.values()] == [row.size] * 3
+        assert Counter(setm._unpacked(row.relation)[2].tolist()) == dict(enumerate(groups["n"].to_pylist()))
+
+
+def test_no_task_ranks_a_language(spark):
+    """The best of each part of a language are ranked again, and no others."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [("en", f"{a} {b}") for i, a in enumerate(words) for b in words[: i + 1]]
+    got = setm.mine_phrases(spark.createDataFrame(rows, "lang string, text string"), longest=2, least=1, top=5)
+    assert sorted(tuple(r) for r in got.collect()) == plain(rows, 2, 1, 50, 5)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"pmod\(xxhash64\(phrase", plan)
