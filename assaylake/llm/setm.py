@@ -39,7 +39,9 @@ CHUNK_BYTES = 8 << 20
 #: Bytes of text of a bucket of chunks, and buckets at most: beyond, a bucket has several chunks.
 BUCKET_BYTES, MOST_BUCKETS = 16 << 20, 20_000
 #: Groups of a chunk that are sent at once; parts of a language that are ranked apart.
-SENT, PARTS = 1 << 16, 64
+SENT, PARTS = 1 << 16, 16
+#: Frequent groups of a task that are packed at once.
+TOLD = 1 << 20
 #: A group's number is its chunk's number and, in so many bits, its place among the chunk's groups.
 _PLACE_BITS = 28
 #: A chunk's number is its task's and, in so many bits, its place in the task.
@@ -198,10 +200,47 @@ def frequent_groups(relation: DataFrame, by: list[str], least: int) -> DataFrame
     return stored(counted.where(F.col("f") >= least).select("own", "gid", "f", *named), "setm-frequent")
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones and so on: those that hardly vary cost nothing when squeezed."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _told(frequent: DataFrame) -> DataFrame:
+    """``chunk`` and ``told``, places of groups in the chunk in ascending order and their numbers, packed; several rows a chunk."""
+
+    def packed(own: np.ndarray, gid: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(own)
+        own, gid = own[order], gid[order]
+        chunk, at = own >> _PLACE_BITS, (own & ((1 << _PLACE_BITS) - 1)).astype(np.int32)
+        cuts = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+        blobs = [
+            squeeze(_planes(np.diff(at[a:b], prepend=np.int32(0))) + _planes(gid[a:b]))
+            for a, b in zip(cuts, np.append(cuts[1:], len(own)), strict=True)
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(chunk[cuts]), pa.array(blobs, pa.binary())], ["chunk", "told"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("own", "gid")])
+            n += batch.num_rows
+            if n >= TOLD:
+                yield packed(*map(np.concatenate, zip(*held, strict=True)))
+                held, n = [], 0
+        if n:
+            yield packed(*map(np.concatenate, zip(*held, strict=True)))
+        release_memory()
+
+    small_batches(frequent.sparkSession)
+    return frequent.select("own", "gid").mapInArrow(run, "chunk long, told binary")
+
+
 def next_relation(relation: DataFrame, frequent: DataFrame) -> DataFrame:
     """The relation of the next length, not stored: occurrences of frequent groups, merge-joined with themselves."""
-    place = F.col("own").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int").alias("at")
-    told = frequent.select(F.shiftright("own", _PLACE_BITS).alias("chunk"), place, "gid")
     size = F.col("size") if "size" in relation.columns else F.size("n").alias("size")
 
     def run(own: pa.Table, told: pa.Table) -> pa.Table:
@@ -211,13 +250,16 @@ def next_relation(relation: DataFrame, frequent: DataFrame) -> DataFrame:
         release_memory()
         return pa.Table.from_batches([joined])
 
-    return relation.select("chunk", "relation", size).groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, _GROUPS)
+    return relation.select("chunk", "relation", size).groupBy("chunk").cogroup(_told(frequent).groupBy("chunk")).applyInArrow(run, _GROUPS)
 
 
 def _joined(chunk: int, blob: bytes, size: int, told: pa.Table) -> pa.RecordBatch:
     piece, pos, group = _unpacked(blob)
     gid = np.full(size, -1, np.int64)
-    gid[told.column("at").to_numpy()] = told.column("gid").to_numpy()
+    for part in told.column("told"):
+        data = unsqueeze(part.as_py())
+        cut = len(data) // 12 * 4
+        gid[np.cumsum(_from_planes(data[:cut], np.int32))] = _from_planes(data[cut:], np.int64)
     del told, blob
     kept = gid[group] >= 0
     piece, pos, group = piece[kept], pos[kept], group[kept].astype(np.int64)
